@@ -1,0 +1,417 @@
+"""Init and ingest: from landed responses to stored tables.
+
+All responses of all entities go through together. The bodies are parsed once
+into staged records; the driver sees only schema metadata. The only loop is
+over tables.
+"""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from landfall.functions.names import quoted
+from landfall.operators.checks import check_unique
+from landfall.operators.drift import detect_drift
+from landfall.operators.infer import infer_record_schema, map_types
+from landfall.operators.keys import apply_key_map, detect_keys, first_rows, key_map
+from landfall.operators.reads import capped_ids
+from landfall.operators.registry import SINGLETON, load_registry, resolve_schema, save_registry
+from landfall.operators.tables import (
+    Store,
+    TableColumn,
+    TableSchema,
+    apply_defaults,
+    create_table,
+    evolve_table,
+    replace_partitions,
+    replace_table,
+    table_exists,
+    table_location,
+    table_schemas,
+)
+from landfall.operators.upsert import ORDER, as_rows, last_wins, project_records, upsert
+from landfall.plans.endpoints import ENDPOINTS, TABLE_KEYS, Endpoint
+from landfall.session import prepare, shared_dir
+from landfall.sources.landing import inject_columns, normalize_response, route_all, with_endpoints
+from landfall.sources.logs import append_discovery, append_run_events
+
+_COLUMN_SCHEMA = (
+    "endpoint string, table_name string, ordinal int, name string, type string, "
+    "nullable boolean, n_records bigint, n_present bigint"
+)
+_TOUCHED_LIST_LIMIT = 1000
+
+
+class IngestError(RuntimeError):
+    """The batch cannot be stored as asked; no table of it was changed by it."""
+
+
+@dataclass(frozen=True)
+class Options:
+    """How a batch is understood.
+
+    ``extra``: fields that are not pinned are ignored (and logged), added to
+    the table (``evolve``), or an error (``fail``). ``missing``: a field that a
+    record lacks leaves the stored value (``null``) or is an error (``fail``).
+    ``rejects``: bad bodies and values are kept aside (``keep``) or an error
+    (``fail``). ``faithful`` keys fan-out tables by ``id`` alone.
+    """
+
+    endpoints: Sequence[Endpoint] = ENDPOINTS
+    keys: Mapping[str, object] = field(default_factory=lambda: dict(TABLE_KEYS))
+    long_ints: bool = False
+    faithful: bool = False
+    extra: str = "ignore"
+    missing: str = "null"
+    rejects: str = "keep"
+    infer: Mapping[str, bool] = field(default_factory=dict)
+
+    def endpoint(self, path: str) -> Endpoint:
+        path = path.rstrip("/")
+        return next((e for e in self.endpoints if e.path.rstrip("/") == path), Endpoint(path))
+
+
+@dataclass
+class Staged:
+    """A parsed batch: its records, its rejects, and its inferred columns."""
+
+    records: DataFrame
+    rejects: DataFrame
+    inferred: DataFrame
+    columns: list
+
+    @property
+    def tables(self) -> list[str]:
+        return sorted({r["table_name"] for r in self.columns})
+
+    def endpoint_of(self, table: str) -> str:
+        return next(r["endpoint"] for r in self.columns if r["table_name"] == table)
+
+
+@dataclass
+class TablePlan:
+    schema: TableSchema
+    endpoint: str
+    parent: str | None
+    keys: list[str]
+    is_primary: bool
+    problem: str | None
+
+
+def stage(landing: DataFrame, options: Options = Options()) -> Staged:
+    """Parse a landing once and keep its records by table in the shared folder.
+
+    The rebalance keeps one body with a very long list, or a table with most
+    of the records, from staying in one task, and the files from being many
+    and small. Later steps read only their table.
+    """
+    spark = prepare(landing.sparkSession)
+    prefixes = {e.path: e.prefix for e in options.endpoints}
+    routed = route_all(with_endpoints(normalize_response(landing), prefixes))
+    path = shared_dir(spark, "records")
+    routed.drop("response_key").hint("rebalance", "table_name").write.partitionBy("table_name").parquet(path)
+    schema = routed.drop("response_key").schema
+    rows = spark.read.schema(schema).parquet(path)
+    good = rows.filter(F.col("problem").isNull()).drop("problem", "rejected_text")
+    bad = rows.filter(F.col("problem").isNotNull()).select(
+        "endpoint", "entity_id", "seq", "table_name", "pos", "problem", "rejected_text"
+    )
+    columns = infer_record_schema(good, **options.infer).select(*_names(_COLUMN_SCHEMA)).collect()
+    return Staged(good, bad, spark.createDataFrame(columns, _COLUMN_SCHEMA), columns)
+
+
+def _names(schema: str) -> list[str]:
+    return [f.strip().split(" ")[0] for f in schema.split(",")]
+
+
+def _with_parents(columns: DataFrame, parents: Mapping[str, str]) -> DataFrame:
+    """Add each table's injected column at the end, NOT NULL, if it lacks it."""
+    for table, parent in parents.items():
+        mine = columns.filter(F.col("table_name") == table)
+        added = mine.groupBy("table_name").agg(
+            F.first("endpoint").alias("endpoint"),
+            (F.max("ordinal") + 1).cast("int").alias("ordinal"),
+            F.max((F.col("name") == parent).cast("int")).alias("present"),
+            F.first("table_key").alias("table_key"),
+        ).filter("present = 0").select(
+            "endpoint", "table_name", "ordinal", F.lit(parent).alias("name"), F.lit("INTEGER").alias("data_type"),
+            F.lit(False).alias("nullable"), F.lit(False).alias("primary_key"), F.lit(False).alias("unique"),
+            F.lit(None).cast("string").alias("default_value"), "table_key",
+            F.lit(None).cast("string").alias("references_table"),
+            F.lit(None).cast("string").alias("references_column"),
+        )
+        columns = columns.unionByName(added)
+    return columns
+
+
+def _plan(store: Store, staged: Staged, options: Options) -> tuple[dict[str, TablePlan], DataFrame, DataFrame, DataFrame]:
+    """Schema, keys and parent of every table of the batch; metadata only."""
+    spark = store.spark
+    registry = load_registry(spark, store.registry_path)
+    registry = spark.createDataFrame(registry.collect(), registry.schema)
+    mapped = map_types(staged.inferred, options.long_ints)
+    resolved = resolve_schema(mapped, registry)
+    parents = {}
+    for table in staged.tables:
+        parent = options.endpoint(staged.endpoint_of(table)).parent_column
+        if parent:
+            parents[table] = parent
+    keymap = key_map(spark, options.keys)
+    columns = apply_key_map(_with_parents(resolved, parents), keymap)
+    columns = spark.createDataFrame(columns.collect(), columns.schema)
+    keys = {
+        r["table_name"]: r
+        for r in detect_keys(columns, keymap, None if options.faithful else parents).collect()
+    }
+    plans = {}
+    for table, schema in table_schemas(columns).items():
+        k = keys[table]
+        plans[table] = TablePlan(
+            schema, staged.endpoint_of(table), parents.get(table), list(k["key_columns"] or []), k["is_primary"],
+            k["problem"],
+        )
+    return plans, columns, mapped, registry
+
+
+def init_tables(store: Store, landing: DataFrame | Staged, options: Options = Options()) -> list[str]:
+    """Create the tables of a landing that do not exist, and pin their schemas.
+
+    Inference uses all responses, so that a list which is empty for one entity
+    does not hide its table. Returns the names of the created tables.
+    """
+    staged = landing if isinstance(landing, Staged) else stage(landing, options)
+    plans, columns, mapped, registry = _plan(store, staged, options)
+    created = [t for t in plans if not table_exists(store, t)]
+    for table in created:
+        create_table(store, plans[table].schema, execute=True, keys=plans[table].keys)
+    if created:
+        new = columns.filter(F.col("table_name").isin(created))
+        drift = detect_drift(mapped.filter(F.col("table_name").isin(created)), registry)
+        save_registry(new, store.registry_path, time.time_ns())
+        events = new.groupBy("table_name").agg(F.first("endpoint").alias("endpoint")).select(
+            "endpoint", F.col("table_name").alias("table"), F.lit("table_created").alias("event")
+        )
+        append_discovery(drift.unionByName(events, allowMissingColumns=True).coalesce(1), store.discovery_path)
+    return created
+
+
+def ingest(
+    store: Store, landing: DataFrame | Staged, options: Options = Options(), init: bool = False
+) -> dict[str, int]:
+    """Upsert all records of a landing into their tables.
+
+    Returns the number of records written per table, not of distinct keys. A
+    table that does not exist is an error, unless ``init`` creates it.
+    """
+    staged = landing if isinstance(landing, Staged) else stage(landing, options)
+    if init:
+        init_tables(store, staged, options)
+    plans, columns, mapped, registry = _plan(store, staged, options)
+    absent = [t for t in plans if not table_exists(store, t)]
+    if absent:
+        raise IngestError(f"Table '{absent[0]}' does not exist. Run init first.")
+    for plan in plans.values():
+        if plan.problem:
+            raise IngestError(plan.problem)
+    if options.rejects == "fail":
+        bad = staged.rejects.take(1)
+        if bad:
+            raise IngestError(f"{bad[0]['endpoint']}: {bad[0]['problem']}: {bad[0]['rejected_text']}")
+    if options.missing == "fail":
+        _refuse_missing(staged)
+    _handle_drift(store, plans, columns, mapped, registry, options)
+    return {table: _ingest_table(store, staged, plan, options) for table, plan in sorted(plans.items())}
+
+
+def _refuse_missing(staged: Staged) -> None:
+    """Every record of a response must have the fields of its first one."""
+    lacking = infer_record_schema(staged.records, per_response=True).filter("n_present < n_records").take(1)
+    if lacking:
+        r = lacking[0]
+        raise IngestError(f"{r['endpoint']}: a record of {r['table_name']} lacks '{r['name']}'")
+
+
+def _handle_drift(store, plans, columns, mapped, registry, options: Options) -> None:
+    drift = detect_drift(mapped, registry).collect()
+    if not drift:
+        return
+    if options.extra == "fail":
+        raise IngestError(f"{drift[0]['table']}: column '{drift[0]['column']}' is not pinned")
+    spark = store.spark
+    append_discovery(spark.createDataFrame(drift, detect_drift(mapped, registry).schema).coalesce(1), store.discovery_path)
+    if options.extra != "evolve":
+        return
+    for table in sorted({d["table"] for d in drift}):
+        schema = plans[table].schema
+        added = [TableColumn(d["column"], d["type"]) for d in drift if d["table"] == table]
+        evolve_table(store, table, added)
+        plans[table].schema = TableSchema(table, (*schema.columns, *added), schema.table_key)
+    evolved = [
+        (plans[t].endpoint, t, i, c.name, c.data_type, c.nullable, c.primary_key, c.unique, c.default,
+         plans[t].schema.table_key, None, None)
+        for t in sorted({d["table"] for d in drift})
+        for i, c in enumerate(plans[t].schema.columns)
+    ]
+    rows = spark.createDataFrame(evolved, columns.select(
+        "endpoint", "table_name", "ordinal", "name", "data_type", "nullable", "primary_key", "unique",
+        "default_value", "table_key", "references_table", "references_column").schema)
+    save_registry(rows, store.registry_path, time.time_ns())
+
+
+def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Options) -> int:
+    spark, table, schema = store.spark, plan.schema.table_name, plan.schema
+    arrived = {r["name"]: r for r in staged.columns if r["table_name"] == table}
+    single = options.keys.get(table) == "singleton" or schema.table_key == SINGLETON
+    injected = [plan.parent] if plan.parent else []
+    if plan.parent and plan.parent not in store.table(table).columns:
+        evolve_table(store, table, [TableColumn(plan.parent, "INTEGER")])
+    stored = {c.lower() for c in store.table(table).columns}
+    made = {*injected, *(["id"] if single else [])}
+    columns = [
+        c for c in schema.columns if c.name in arrived and c.name not in made and c.name.lower() in stored
+    ]
+
+    records = staged.records.filter(F.col("table_name") == table)
+    rows = project_records(records, [(c.name, c.data_type) for c in columns])
+    if plan.parent:
+        spark_type = next((c.spark_type for c in schema.columns if c.name == plan.parent), "int")
+        rows = inject_columns(rows, {plan.parent: F.col("entity_id").cast(spark_type)})
+    if single:
+        rows = first_rows(rows)
+    names = [c.name for c in schema.columns if c.name in {*made, *(c.name for c in columns)}]
+    required = {c.name for c in schema.columns if not c.nullable or c.primary_key} & set(names)
+    required |= set(plan.keys) if plan.is_primary else set()
+    problem = F.col("problem")
+    for name in sorted(required):
+        problem = F.coalesce(problem, F.when(F.col(quoted(name)).isNull(), F.lit(f"null in {name}")))
+    rows = rows.withColumn("problem", problem)
+
+    # One pass checks, counts and reduces the batch; nothing is stored before it is whole.
+    seen = Observation()
+    counted = rows.observe(
+        seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col("problem").isNotNull()).alias("n_bad")
+    )
+    good = counted.filter(F.col("problem").isNull())
+    null_keys = not plan.is_primary
+    uniform = all(arrived[c.name]["n_present"] == arrived[c.name]["n_records"] for c in columns)
+    found = None if uniform else "found"
+    if found:
+        always = F.array(*[F.lit(n) for n in sorted(made)]).cast("array<string>")
+        good = good.withColumn("found", F.array_union("found", always))
+    order = [c for c in ORDER if c not in names]
+    reduced = last_wins(
+        good.select(*[F.col(quoted(n)) for n in names], *order, *([found] if found else [])),
+        plan.keys, order, null_keys=null_keys, found=found,
+    )
+    path = shared_dir(spark, f"batch-{table}")
+    reduced.drop(*order).write.parquet(path)
+    counts = seen.get
+    if counts["n_bad"]:
+        bad = rows.filter(F.col("problem").isNotNull())
+        if options.rejects == "fail":
+            first = bad.select("seq", "pos", "problem").first()
+            raise IngestError(f"{table}: {first['problem']} (response {first['seq']}, record {first['pos']})")
+        bad.select("endpoint", "entity_id", "seq", "pos", "problem", F.lit(table).alias("table_name")).write.mode(
+            "append"
+        ).parquet(store.path("_rejects"))
+
+    incoming = apply_defaults(spark.read.parquet(path), schema) if _has_defaults(schema) else spark.read.parquet(path)
+    optional = [n for n in names if n not in plan.keys] if found else []
+    _merge(store, table, incoming, plan, null_keys, optional, _fits_broadcast(spark, path))
+    return counts["n"] - counts["n_bad"]
+
+
+def _has_defaults(schema: TableSchema) -> bool:
+    return any(c.default is not None for c in schema.columns)
+
+
+def _fits_broadcast(spark: SparkSession, path: str) -> bool:
+    """Whether a staged batch, by its size on disk, is below Spark's own limit."""
+    limit = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB").lower()
+    ) if spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB") != "-1" else -1
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(hadoop_path).getLength() <= limit
+
+
+def _merge(
+    store: Store, table: str, incoming: DataFrame, plan: TablePlan, null_keys: bool, optional: list[str], small: bool
+) -> None:
+    base = store.table(table)
+    parts = store.partition_by.get(table)
+    if parts:
+        touched = incoming.select(*parts).distinct()
+        listed = touched.limit(_TOUCHED_LIST_LIMIT + 1).collect()
+        if len(listed) <= _TOUCHED_LIST_LIMIT and len(parts) == 1:
+            base = base.filter(F.col(quoted(parts[0])).isin([r[0] for r in listed]))
+        else:
+            base = base.join(touched, parts, "left_semi").select(*[F.col(quoted(c)) for c in base.columns])
+        replace_partitions(store, table, upsert(base, incoming, plan.keys, null_keys, small, optional))
+        return
+    first_load = table_location(store, table).rstrip("/").endswith("/v0")
+    merged = (
+        as_rows(incoming, base, optional)
+        if first_load
+        else upsert(base, incoming, plan.keys, null_keys, small, optional)
+    )
+    others = [c.name for c in plan.schema.columns if c.unique and [c.name] != plan.keys and c.name in base.columns]
+
+    def unique(stored: DataFrame) -> None:
+        for name in others:
+            if check_unique(stored, [name]).take(1):
+                raise IngestError(f"{table}: '{name}' is not unique")
+
+    replace_table(store, table, merged, plan.keys, check=unique if others else None)
+
+
+def ingest_fanout(
+    store: Store,
+    landing: DataFrame,
+    parent_ids: DataFrame | None = None,
+    options: Options = Options(),
+    max_ids: int | None = None,
+    init: bool = False,
+) -> dict[str, int]:
+    """Ingest the responses of a parameterised endpoint, all parents in one go.
+
+    ``landing`` holds one endpoint. Only responses of ``parent_ids`` count, by
+    default the ids in the endpoint's parent table; ``max_ids`` takes the first
+    ids in order.
+    """
+    if parent_ids is None:
+        path = landing.select("endpoint").first()
+        endpoint = options.endpoint(path["endpoint"]) if path else None
+        if endpoint is None or endpoint.parent_table is None:
+            raise IngestError("no parent table is known for this endpoint")
+        parent_ids = store.table(endpoint.parent_table).select(endpoint.parent_key)
+    ids = capped_ids(parent_ids, parent_ids.columns[0], max_ids) if max_ids else parent_ids
+    ids = ids.select(F.col(quoted(ids.columns[0])).cast("bigint").alias("entity_id"))
+    return ingest(store, landing.join(ids, "entity_id", "left_semi"), options, init=init)
+
+
+@contextmanager
+def logged_task(store: Store, run_id: str, task: str) -> Iterator[None]:
+    """Log start and end of a task with its duration, and the error if it fails."""
+
+    def log(status: str, duration: float | None = None, error: str | None = None) -> None:
+        row = store.spark.createDataFrame(
+            [(run_id, task, status, duration, error)],
+            "run_id string, task string, status string, duration_s double, error string",
+        )
+        append_run_events(row.coalesce(1), store.run_log_path)
+
+    log("started")
+    begun = time.time()
+    try:
+        yield
+    except Exception as e:
+        log("failed", round(time.time() - begun, 1), str(e))
+        raise
+    log("success", round(time.time() - begun, 1))
