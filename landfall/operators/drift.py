@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -13,37 +13,43 @@ def detect_drift(mapped: DataFrame, registry: DataFrame, full: bool = False) ->
     type. With ``full`` also ``missing_column`` for each pinned name that did
     not arrive, and ``type_change`` with the pinned and the arriving type.
     """
-    tables = mapped.groupBy("table_name").agg(F.first("endpoint").alias("endpoint"))
-    pinned_tables = registry.select("table_name").distinct()
-    arriving = mapped.select("table_name", "name", F.col("data_type").alias("arriving_type"))
-    pinned = registry.select("table_name", "name", F.col("data_type").alias("pinned_type"))
-    pinned = pinned.join(tables.select("table_name"), "table_name", "left_semi")
-    arriving = arriving.join(pinned_tables, "table_name", "left_semi")
-
-    if full:
-        both = arriving.join(pinned, ["table_name", "name"], "full_outer")
-    else:
-        both = arriving.join(pinned, ["table_name", "name"], "left_anti").withColumn(
-            "pinned_type", F.lit(None).cast("string")
+    sides = mapped.select(
+        "endpoint", "table_name", "name", F.col("data_type").alias("now"), F.lit(None).cast("string").alias("was")
+    ).unionByName(
+        registry.select(
+            F.lit(None).cast("string").alias("endpoint"), "table_name", "name",
+            F.lit(None).cast("string").alias("now"), F.col("data_type").alias("was"),
         )
-    event = (
-        F.when(F.col("pinned_type").isNull(), "new_column")
-        .when(F.col("arriving_type").isNull(), "missing_column")
-        .when(F.col("arriving_type") != F.col("pinned_type"), "type_change")
     )
-    changed = event == "type_change"
+    # Schema metadata: a window per table says whether it arrives and is pinned,
+    # and the grouping by column reuses its partitioning.
+    table = Window.partitionBy("table_name")
+    columns = (
+        sides.withColumns({
+            "endpoint": F.max("endpoint").over(table),
+            "arrives": F.max(F.col("now").isNotNull()).over(table),
+            "is_pinned": F.max(F.col("was").isNotNull()).over(table),
+        })
+        .filter("arrives and is_pinned")
+        .groupBy("endpoint", "table_name", "name")
+        .agg(F.max("now").alias("now"), F.max("was").alias("was"))
+    )
+    event = F.when(F.col("was").isNull(), "new_column")
+    if full:
+        event = event.when(F.col("now").isNull(), "missing_column").when(F.col("now") != F.col("was"), "type_change")
+    changed = F.col("event") == "type_change"
     return (
-        both.join(tables, "table_name")
+        columns.withColumn("event", event)
+        .filter(F.col("event").isNotNull())
         .select(
             "endpoint",
             F.col("table_name").alias("table"),
-            event.alias("event"),
+            "event",
             F.col("name").alias("column"),
-            F.when(~changed, F.coalesce("arriving_type", "pinned_type")).alias("type"),
-            F.when(changed, F.col("pinned_type")).alias("was"),
-            F.when(changed, F.col("arriving_type")).alias("now"),
+            F.when(~changed, F.coalesce("now", "was")).alias("type"),
+            F.when(changed, F.col("was")).alias("was"),
+            F.when(changed, F.col("now")).alias("now"),
         )
-        .filter(F.col("event").isNotNull())
         .orderBy("table", "column")
     )
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from landfall.operators.registry import SINGLETON
 from landfall.operators.upsert import ORDER, last_wins
+from landfall.session import local_frame
 
 KEY_MAP_SCHEMA = "table_name string, kind string, key_map_columns array<string>"
 
@@ -19,7 +20,44 @@ def key_map(spark: SparkSession, keys: Mapping[str, object]) -> DataFrame:
         (table, "singleton", None) if key == "singleton" else (table, "unique_on", list(key))
         for table, key in keys.items()
     ]
-    return spark.createDataFrame(rows, KEY_MAP_SCHEMA)
+    return local_frame(spark, rows, KEY_MAP_SCHEMA)
+
+
+def _plus_row(columns: DataFrame, condition: Column, new: Mapping[str, Column]) -> DataFrame:
+    """Emit, next to each row that meets the condition, a further column row.
+
+    ``new`` gives its fields; table-wide ones are taken over, the rest is empty.
+    """
+    taken = ("endpoint", "table_name", "table_key")
+
+    def value(field):
+        made = new.get(field.name, F.col(field.name) if field.name in taken else F.lit(None))
+        return made.cast(field.dataType).alias(field.name)
+
+    names = columns.columns
+    this = F.struct(*names)
+    other = F.struct(*[value(f) for f in columns.schema.fields])
+    rows = F.when(condition, F.array(this, other)).otherwise(F.array(this))
+    return columns.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def add_parents(columns: DataFrame, parents: Mapping[str, str]) -> DataFrame:
+    """Add each table's injected column at its end, NOT NULL, if it lacks it."""
+    parent = by_table(parents)
+    table = Window.partitionBy("table_name")
+    flagged = columns.withColumns({
+        "_last": F.max("ordinal").over(table) == F.col("ordinal"),
+        "_has": F.max(F.coalesce((F.col("name") == parent), F.lit(True))).over(table),
+    })
+    new = {
+        "ordinal": F.col("ordinal") + 1,
+        "name": parent,
+        "data_type": F.lit("INTEGER"),
+        "nullable": F.lit(False),
+        "primary_key": F.lit(False),
+        "unique": F.lit(False),
+    }
+    return _plus_row(flagged, F.col("_last") & ~F.col("_has"), new).select(*columns.columns)
 
 
 def apply_key_map(columns: DataFrame, keymap: DataFrame) -> DataFrame:
@@ -29,35 +67,36 @@ def apply_key_map(columns: DataFrame, keymap: DataFrame) -> DataFrame:
     primary key. A table unique on one column has that column marked unique.
     The key map is fixed configuration, hence the broadcast.
     """
-    joined = columns.join(F.broadcast(keymap), "table_name", "left")
+    table = Window.partitionBy("table_name")
     one_column = (F.col("kind") == "unique_on") & (F.size("key_map_columns") == 1)
-    marked = F.coalesce(one_column & (F.col("name") == F.col("key_map_columns")[0]), F.lit(False))
-    single = F.coalesce((F.col("table_key") == SINGLETON) | (F.col("kind") == "singleton"), F.lit(False))
-    joined = joined.withColumn("unique", F.col("unique") | marked).withColumn("single", single)
-
-    lacking = joined.filter("single").groupBy("table_name").agg(
-        F.first("endpoint").alias("endpoint"),
-        F.first("table_key").alias("table_key"),
-        F.max((F.col("name") == "id").cast("int")).alias("has_id"),
-    ).filter("has_id = 0")
-    added = lacking.select(
-        "endpoint",
-        "table_name",
-        F.lit(0).alias("ordinal"),
-        F.lit("id").alias("name"),
-        F.lit("INTEGER").alias("data_type"),
-        F.lit(False).alias("nullable"),
-        F.lit(True).alias("primary_key"),
-        F.lit(False).alias("unique"),
-        F.lit(None).cast("string").alias("default_value"),
-        "table_key",
-        F.lit(None).cast("string").alias("references_table"),
-        F.lit(None).cast("string").alias("references_column"),
-    )
-    shifted = joined.join(lacking.select("table_name", F.lit(1).alias("shift")), "table_name", "left").withColumn(
-        "ordinal", F.col("ordinal") + F.coalesce("shift", F.lit(0))
+    marked = F.coalesce(one_column & (F.col("name") == F.get("key_map_columns", F.lit(0))), F.lit(False))
+    single = F.coalesce(F.col("table_key") == SINGLETON, F.lit(False)) | F.coalesce(
+        F.col("kind") == "singleton", F.lit(False)
     )
-    return shifted.select(*columns.columns).unionByName(added.select(*columns.columns))
+    lacks_id = single & ~F.max(F.col("name") == "id").over(table)
+    flagged = columns.join(F.broadcast(keymap), "table_name", "left").withColumns({
+        "unique": F.col("unique") | marked,
+        "_first": F.min("ordinal").over(table) == F.col("ordinal"),
+        "_lacks_id": lacks_id,
+    })
+    flagged = flagged.withColumn("ordinal", F.col("ordinal") + F.col("_lacks_id").cast("int"))
+    new = {
+        "ordinal": F.lit(0),
+        "name": F.lit("id"),
+        "data_type": F.lit("INTEGER"),
+        "nullable": F.lit(False),
+        "primary_key": F.lit(True),
+        "unique": F.lit(False),
+    }
+    return _plus_row(flagged, F.col("_first") & F.col("_lacks_id"), new).select(*columns.columns)
+
+
+def by_table(names: Mapping[str, str]) -> Column:
+    """The name configured for the row's table, else null."""
+    result = F.lit(None).cast("string")
+    for table, name in names.items():
+        result = F.when(F.col("table_name") == table, name).otherwise(result)
+    return result
 
 
 def detect_keys(columns: DataFrame, keymap: DataFrame, parents: Mapping[str, str] | None = None) -> DataFrame:
@@ -67,9 +106,7 @@ def detect_keys(columns: DataFrame, keymap: DataFrame, parents: Mapping[str, str
     parent id of tables; such a table keyed by ``id`` alone is keyed by both,
     so that the records of one parent do not replace those of another.
     """
-    parent = F.lit(None).cast("string")
-    for table, column in (parents or {}).items():
-        parent = F.when(F.col("table_name") == table, column).otherwise(parent)
+    parent = by_table(parents or {})
     own = columns.groupBy("table_name").agg(
         F.transform(
             F.array_sort(F.collect_list(F.when(F.col("primary_key"), F.struct("ordinal", "name")))),

@@ -7,9 +7,11 @@ column a storage type and its tests.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from landfall.session import local_frame
+
 DEFINITION_SCHEMA = (
     "name string, primary_key string, "
     "columns array<struct<name:string,data_type:string,tests:array<string>>>, version bigint"
@@ -95,7 +97,7 @@ def save_registry(columns: DataFrame, path: str, version: int) -> None:
 def load_registry(spark: SparkSession, path: str) -> DataFrame:
     """All pinned table columns; none where nothing was ever pinned."""
     if not path_exists(spark, path):
-        return registry_columns(spark.createDataFrame([], DEFINITION_SCHEMA))
+        return registry_columns(local_frame(spark, [], DEFINITION_SCHEMA))
     return registry_columns(latest_definitions(spark.read.schema(DEFINITION_SCHEMA).parquet(path)))
 
 
@@ -107,8 +109,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def resolve_schema(mapped: DataFrame, registry: DataFrame) -> DataFrame:
-    """The pinned schema of each arriving table, else the inferred one."""
-    tables = mapped.groupBy("table_name").agg(F.first("endpoint").alias("from_endpoint"))
-    pinned = registry.join(tables, "table_name").withColumn("endpoint", F.col("from_endpoint"))
-    unpinned = mapped.join(registry.select("table_name").distinct(), "table_name", "left_anti")
-    return pinned.select(*mapped.columns).unionByName(unpinned)
+    """The pinned schema of each arriving table, else the inferred one.
+
+    Both sides are schema metadata; one window per table picks the side.
+    """
+    both = mapped.withColumn("pinned", F.lit(0)).unionByName(registry.withColumn("pinned", F.lit(1)))
+    table = Window.partitionBy("table_name")
+    return (
+        both.withColumns({
+            "arrives": F.min("pinned").over(table) == 0,
+            "side": F.max("pinned").over(table),
+            "endpoint": F.max("endpoint").over(table),
+        })
+        .filter(F.col("arrives") & (F.col("pinned") == F.col("side")))
+        .select(*mapped.columns)
+    )

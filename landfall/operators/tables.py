@@ -230,11 +230,17 @@ def replace_table(
 
 
 def replace_partitions(store: Store, name: str, rows: DataFrame) -> None:
-    """Replace just the partitions that ``rows`` holds."""
-    columns = store.table(name).columns
-    ordered = rows.select(*[F.col(quoted(c)) for c in columns])
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(store.qualify(name))
-    store.spark.catalog.refreshTable(store.qualify(name))
+    """Replace just the partitions that ``rows`` holds.
+
+    The new files are written aside and take the place of the partitions when
+    the whole job is done, so ``rows`` may come from the table itself.
+    """
+    qualified = store.qualify(name)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*store.partition_by[name]).parquet(table_location(store, name))
+    if store.spark.conf.get("spark.sql.catalogImplementation") == "hive":
+        store.spark.catalog.recoverPartitions(qualified)
+    store.spark.catalog.refreshTable(qualified)
 
 
 def drop_old_versions(store: Store, name: str, keep: int = 2) -> list[str]:

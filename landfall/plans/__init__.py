@@ -1,5 +1,5 @@
 from landfall.plans.endpoints import ENDPOINTS, TABLE_KEYS, Endpoint
-from landfall.plans.ingest import (
+from landfall.plans.flow import (
     IngestError,
     Options,
     ingest,

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from landfall.functions.names import quoted
 from landfall.operators.checks import check_unique
 from landfall.operators.drift import detect_drift
 from landfall.operators.infer import infer_record_schema, map_types
-from landfall.operators.keys import apply_key_map, detect_keys, first_rows, key_map
+from landfall.operators.keys import add_parents, apply_key_map, detect_keys, first_rows, key_map
 from landfall.operators.reads import capped_ids
 from landfall.operators.registry import SINGLETON, load_registry, resolve_schema, save_registry
 from landfall.operators.tables import (
@@ -37,7 +39,7 @@ from landfall.operators.tables import (
 )
 from landfall.operators.upsert import ORDER, as_rows, last_wins, project_records, upsert
 from landfall.plans.endpoints import ENDPOINTS, TABLE_KEYS, Endpoint
-from landfall.session import prepare, shared_dir
+from landfall.session import local_frame, prepare, shared_dir
 from landfall.sources.landing import inject_columns, normalize_response, route_all, with_endpoints
 from landfall.sources.logs import append_discovery, append_run_events
 
@@ -46,6 +48,7 @@ _COLUMN_SCHEMA = (
     "nullable boolean, n_records bigint, n_present bigint"
 )
 _TOUCHED_LIST_LIMIT = 1000
+_TABLES_AT_A_TIME = 4
 
 
 class IngestError(RuntimeError):
@@ -123,38 +126,28 @@ def stage(landing: DataFrame, options: Options = Options()) -> Staged:
         "endpoint", "entity_id", "seq", "table_name", "pos", "problem", "rejected_text"
     )
     columns = infer_record_schema(good, **options.infer).select(*_names(_COLUMN_SCHEMA)).collect()
-    return Staged(good, bad, spark.createDataFrame(columns, _COLUMN_SCHEMA), columns)
+    return Staged(good, bad, local_frame(spark, columns, _COLUMN_SCHEMA), columns)
 
 
 def _names(schema: str) -> list[str]:
     return [f.strip().split(" ")[0] for f in schema.split(",")]
 
 
-def _with_parents(columns: DataFrame, parents: Mapping[str, str]) -> DataFrame:
-    """Add each table's injected column at the end, NOT NULL, if it lacks it."""
-    for table, parent in parents.items():
-        mine = columns.filter(F.col("table_name") == table)
-        added = mine.groupBy("table_name").agg(
-            F.first("endpoint").alias("endpoint"),
-            (F.max("ordinal") + 1).cast("int").alias("ordinal"),
-            F.max((F.col("name") == parent).cast("int")).alias("present"),
-            F.first("table_key").alias("table_key"),
-        ).filter("present = 0").select(
-            "endpoint", "table_name", "ordinal", F.lit(parent).alias("name"), F.lit("INTEGER").alias("data_type"),
-            F.lit(False).alias("nullable"), F.lit(False).alias("primary_key"), F.lit(False).alias("unique"),
-            F.lit(None).cast("string").alias("default_value"), "table_key",
-            F.lit(None).cast("string").alias("references_table"),
-            F.lit(None).cast("string").alias("references_column"),
-        )
-        columns = columns.unionByName(added)
-    return columns
+@dataclass
+class BatchPlan:
+    """Plans of all tables, and the metadata they come from."""
 
+    tables: dict[str, TablePlan]
+    columns: DataFrame
+    mapped: DataFrame
+    registry: DataFrame
 
-def _plan(store: Store, staged: Staged, options: Options) -> tuple[dict[str, TablePlan], DataFrame, DataFrame, DataFrame]:
+
+def _plan(store: Store, staged: Staged, options: Options) -> BatchPlan:
     """Schema, keys and parent of every table of the batch; metadata only."""
     spark = store.spark
     registry = load_registry(spark, store.registry_path)
-    registry = spark.createDataFrame(registry.collect(), registry.schema)
+    registry = local_frame(spark, registry.collect(), registry.schema)
     mapped = map_types(staged.inferred, options.long_ints)
     resolved = resolve_schema(mapped, registry)
     parents = {}
@@ -163,8 +156,8 @@ def _plan(store: Store, staged: Staged, options: Options) -> tuple[dict[str, Tab
         if parent:
             parents[table] = parent
     keymap = key_map(spark, options.keys)
-    columns = apply_key_map(_with_parents(resolved, parents), keymap)
-    columns = spark.createDataFrame(columns.collect(), columns.schema)
+    columns = apply_key_map(add_parents(resolved, parents), keymap)
+    columns = local_frame(spark, columns.collect(), columns.schema)
     keys = {
         r["table_name"]: r
         for r in detect_keys(columns, keymap, None if options.faithful else parents).collect()
@@ -176,7 +169,7 @@ def _plan(store: Store, staged: Staged, options: Options) -> tuple[dict[str, Tab
             schema, staged.endpoint_of(table), parents.get(table), list(k["key_columns"] or []), k["is_primary"],
             k["problem"],
         )
-    return plans, columns, mapped, registry
+    return BatchPlan(plans, columns, mapped, registry)
 
 
 def init_tables(store: Store, landing: DataFrame | Staged, options: Options = Options()) -> list[str]:
@@ -186,13 +179,16 @@ def init_tables(store: Store, landing: DataFrame | Staged, options: Options = Op
     does not hide its table. Returns the names of the created tables.
     """
     staged = landing if isinstance(landing, Staged) else stage(landing, options)
-    plans, columns, mapped, registry = _plan(store, staged, options)
-    created = [t for t in plans if not table_exists(store, t)]
+    return _create(store, _plan(store, staged, options))
+
+
+def _create(store: Store, batch: BatchPlan) -> list[str]:
+    created = [t for t in batch.tables if not table_exists(store, t)]
     for table in created:
-        create_table(store, plans[table].schema, execute=True, keys=plans[table].keys)
+        create_table(store, batch.tables[table].schema, execute=True, keys=batch.tables[table].keys)
     if created:
-        new = columns.filter(F.col("table_name").isin(created))
-        drift = detect_drift(mapped.filter(F.col("table_name").isin(created)), registry)
+        new = batch.columns.filter(F.col("table_name").isin(created))
+        drift = detect_drift(batch.mapped.filter(F.col("table_name").isin(created)), batch.registry)
         save_registry(new, store.registry_path, time.time_ns())
         events = new.groupBy("table_name").agg(F.first("endpoint").alias("endpoint")).select(
             "endpoint", F.col("table_name").alias("table"), F.lit("table_created").alias("event")
@@ -207,16 +203,17 @@ def ingest(
     """Upsert all records of a landing into their tables.
 
     Returns the number of records written per table, not of distinct keys. A
-    table that does not exist is an error, unless ``init`` creates it.
+    table that does not exist is an error, unless ``init`` creates it. Tables
+    are independent, so a few are written at a time: the tail of one does not
+    leave the cluster idle.
     """
     staged = landing if isinstance(landing, Staged) else stage(landing, options)
-    if init:
-        init_tables(store, staged, options)
-    plans, columns, mapped, registry = _plan(store, staged, options)
-    absent = [t for t in plans if not table_exists(store, t)]
+    batch = _plan(store, staged, options)
+    created = _create(store, batch) if init else []
+    absent = [t for t in batch.tables if not table_exists(store, t)]
     if absent:
         raise IngestError(f"Table '{absent[0]}' does not exist. Run init first.")
-    for plan in plans.values():
+    for plan in batch.tables.values():
         if plan.problem:
             raise IngestError(plan.problem)
     if options.rejects == "fail":
@@ -225,8 +222,13 @@ def ingest(
             raise IngestError(f"{bad[0]['endpoint']}: {bad[0]['problem']}: {bad[0]['rejected_text']}")
     if options.missing == "fail":
         _refuse_missing(staged)
-    _handle_drift(store, plans, columns, mapped, registry, options)
-    return {table: _ingest_table(store, staged, plan, options) for table, plan in sorted(plans.items())}
+    if len(created) < len(batch.tables):
+        _handle_drift(store, batch, options)
+    plans = [batch.tables[t] for t in sorted(batch.tables)]
+    write = inheritable_thread_target(store.spark)(lambda plan: _ingest_table(store, staged, plan, options))
+    with ThreadPoolExecutor(_TABLES_AT_A_TIME) as pool:
+        counts = list(pool.map(write, plans))
+    return {plan.schema.table_name: n for plan, n in zip(plans, counts, strict=True)}
 
 
 def _refuse_missing(staged: Staged) -> None:
@@ -237,31 +239,28 @@ def _refuse_missing(staged: Staged) -> None:
         raise IngestError(f"{r['endpoint']}: a record of {r['table_name']} lacks '{r['name']}'")
 
 
-def _handle_drift(store, plans, columns, mapped, registry, options: Options) -> None:
-    drift = detect_drift(mapped, registry).collect()
+def _handle_drift(store: Store, batch: BatchPlan, options: Options) -> None:
+    events = detect_drift(batch.mapped, batch.registry)
+    drift = events.collect()
     if not drift:
         return
     if options.extra == "fail":
         raise IngestError(f"{drift[0]['table']}: column '{drift[0]['column']}' is not pinned")
-    spark = store.spark
-    append_discovery(spark.createDataFrame(drift, detect_drift(mapped, registry).schema).coalesce(1), store.discovery_path)
+    append_discovery(local_frame(store.spark, drift, events.schema).coalesce(1), store.discovery_path)
     if options.extra != "evolve":
         return
+    evolved = []
     for table in sorted({d["table"] for d in drift}):
-        schema = plans[table].schema
+        plan = batch.tables[table]
         added = [TableColumn(d["column"], d["type"]) for d in drift if d["table"] == table]
         evolve_table(store, table, added)
-        plans[table].schema = TableSchema(table, (*schema.columns, *added), schema.table_key)
-    evolved = [
-        (plans[t].endpoint, t, i, c.name, c.data_type, c.nullable, c.primary_key, c.unique, c.default,
-         plans[t].schema.table_key, None, None)
-        for t in sorted({d["table"] for d in drift})
-        for i, c in enumerate(plans[t].schema.columns)
-    ]
-    rows = spark.createDataFrame(evolved, columns.select(
-        "endpoint", "table_name", "ordinal", "name", "data_type", "nullable", "primary_key", "unique",
-        "default_value", "table_key", "references_table", "references_column").schema)
-    save_registry(rows, store.registry_path, time.time_ns())
+        plan.schema = TableSchema(table, (*plan.schema.columns, *added), plan.schema.table_key)
+        evolved += [
+            (plan.endpoint, table, i, c.name, c.data_type, c.nullable, c.primary_key, c.unique, c.default,
+             plan.schema.table_key, *(c.references or (None, None)))
+            for i, c in enumerate(plan.schema.columns)
+        ]
+    save_registry(local_frame(store.spark, evolved, batch.columns.schema), store.registry_path, time.time_ns())
 
 
 def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Options) -> int:
@@ -401,7 +400,8 @@ def logged_task(store: Store, run_id: str, task: str) -> Iterator[None]:
     """Log start and end of a task with its duration, and the error if it fails."""
 
     def log(status: str, duration: float | None = None, error: str | None = None) -> None:
-        row = store.spark.createDataFrame(
+        row = local_frame(
+            store.spark,
             [(run_id, task, status, duration, error)],
             "run_id string, task string, status string, duration_s double, error string",
         )

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -33,3 +37,14 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="landfall-")
         spark.conf.set(CHECKPOINT_KEY, base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def local_frame(spark: SparkSession, rows: Iterable[Sequence], schema: str | StructType) -> DataFrame:
+    """Driver-side metadata as a DataFrame whose size the optimizer knows.
+
+    Going through Arrow gives a local relation, so that joins with it need no
+    shuffle; a list of rows would be an opaque RDD of unknown size.
+    """
+    struct = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    records = [dict(zip(struct.names, tuple(r), strict=True)) for r in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(struct)), schema=struct)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from landfall.operators.tables import Store
-from landfall.plans.ingest import Options, ingest
+from landfall.plans.flow import Options, ingest
 from landfall.session import prepare
 from landfall.sources.landing import LANDING_SCHEMA
 
