@@ -43,9 +43,6 @@ SPECIAL_TEXT = r"(?i)^\s*[+-]?(inf|infinity|nan)\s*$"
 DATE_TEXT = r"^\s*\d{4,}-\d{1,2}-\d{1,2}"
 WIDE_INTEGER = r"^DECIMAL\((19|[23]\d),0\)"
 
-_INT_RANGE = {"INTEGER": (-(2**31), 2**31 - 1), "BIGINT": (-(2**63), 2**63 - 1)}
-
-
 def value_kind(v: Column) -> Column:
     """Spark's own type text of a variant value; null where it is absent."""
     return F.schema_of_variant(v)
@@ -109,49 +106,34 @@ def _is_nested(kind: Column) -> Column:
 
 
 def _to_integer(v: Column, kind: Column, data_type: str) -> Column:
-    low, high = _INT_RANGE[data_type]
     spark_type = SPARK_TYPES[data_type]
     text = F.try_variant_get(v, "$", "string")
-    whole = F.try_variant_get(v, "$", "bigint")
-    fraction = F.bround(F.try_variant_get(v, "$", "double").try_cast("decimal(38,8)"), 0)
-    from_text = F.round(
-        F.coalesce(text.try_cast("decimal(38,8)"), text.try_cast("double").try_cast("decimal(38,8)")), 0
-    )
-    within = lambda c: F.when((c >= F.lit(low)) & (c <= F.lit(high)), c.cast(spark_type))
+    number = F.coalesce(text.try_cast("decimal(38,8)"), text.try_cast("double").try_cast("decimal(38,8)"))
+    # Floats round half to even, numeric text half up.
     return (
-        F.when(kind == "BIGINT", within(whole))
-        .when(kind == "STRING", F.when(text.rlike(NUMERIC_TEXT), within(from_text)))
+        F.when(kind == "STRING", F.when(text.rlike(NUMERIC_TEXT), F.round(number, 0).try_cast(spark_type)))
         .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("int").cast(spark_type))
-        .when(_is_number(kind), within(fraction))
+        .when(_is_number(kind), F.bround(number, 0).try_cast(spark_type))
     )
 
 
 def _to_double(v: Column, kind: Column) -> Column:
     text = F.try_variant_get(v, "$", "string")
-    return (
-        F.when(_is_number(kind), F.try_variant_get(v, "$", "double"))
-        .when(kind == "STRING", F.when(text.rlike(NUMERIC_TEXT) | text.rlike(SPECIAL_TEXT), text.try_cast("double")))
-        .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("int").cast("double"))
-    )
+    return F.when(
+        kind == "STRING", F.when(text.rlike(NUMERIC_TEXT) | text.rlike(SPECIAL_TEXT), text.try_cast("double"))
+    ).when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("int").cast("double"))
 
 
 def _to_boolean(v: Column, kind: Column) -> Column:
     text = F.lower(F.try_variant_get(v, "$", "string"))
-    return (
-        F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
-        .when(_is_number(kind), F.try_variant_get(v, "$", "double") != 0)
-        .when(kind == "STRING", F.when(text.isin(TRUE_TEXT), True).when(text.isin(FALSE_TEXT), False))
+    return F.when(_is_number(kind), F.try_variant_get(v, "$", "double") != 0).when(
+        kind == "STRING", F.when(text.isin(TRUE_TEXT), True).when(text.isin(FALSE_TEXT), False)
     )
 
 
-def _to_timestamp(v: Column, kind: Column) -> Column:
-    text = F.try_variant_get(v, "$", "string")
-    return F.when((kind == "STRING") & text.rlike(DATE_TEXT), text.try_cast("timestamp_ntz"))
-
-
 def _to_text(v: Column, kind: Column) -> Column:
     return (
-        F.when(kind.isin("STRING", "BIGINT", "BOOLEAN"), F.try_variant_get(v, "$", "string"))
+        F.when(kind.isin("BIGINT", "BOOLEAN"), F.try_variant_get(v, "$", "string"))
         .when(_is_nested(kind), json_column(v))
         .when(_is_number(kind), _number_text(v, kind))
     )
@@ -159,13 +141,21 @@ def _to_text(v: Column, kind: Column) -> Column:
 
 def _to_json_text(v: Column, kind: Column) -> Column:
     text = F.try_variant_get(v, "$", "string")
-    return (
-        F.when(_is_nested(kind), json_column(v))
-        .when(kind == "STRING", F.when(F.try_parse_json(text).isNotNull(), text))
-        .when(kind != "VOID", _to_text(v, kind))
+    return F.when(kind == "STRING", F.when(F.try_parse_json(text).isNotNull(), text)).when(
+        kind != "VOID", _to_text(v, kind)
     )
 
 
+def _rarely(rule, v: Column, kind: Column) -> Column:
+    """``rule`` kept out of the generated code.
+
+    A lambda body is not inlined. The rules for values of an unexpected type
+    are long; inlined once per column they make one method that is too big for
+    the JIT compiler, and then every row is slow.
+    """
+    return F.element_at(F.transform(F.array(F.struct(v.alias("v"), kind.alias("k"))), lambda x: rule(x["v"], x["k"])), 1)
+
+
 def cast_value(v: Column, kind: Column, data_type: str) -> Column:
     """Value of a variant as ``data_type``; null where it cannot be stored.
 
@@ -174,12 +164,19 @@ def cast_value(v: Column, kind: Column, data_type: str) -> Column:
     dropped, 32-bit overflow is an error. A null result for a value that is
     present and not JSON null marks the error.
     """
-    if data_type in _INT_RANGE:
-        return _to_integer(v, kind, data_type)
-    rule = {
-        "DOUBLE": _to_double,
-        "BOOLEAN": _to_boolean,
-        "TIMESTAMP": _to_timestamp,
-        "JSON": _to_json_text,
-    }.get(data_type, _to_text)
-    return rule(v, kind)
+    spark_type = SPARK_TYPES.get(data_type, "string")
+    value = F.try_variant_get(v, "$", spark_type)
+    other = F.when(kind.isNull() | (kind == "VOID"), None)
+    if data_type in ("INTEGER", "BIGINT"):
+        rule = lambda x, k: _to_integer(x, k, data_type)
+        return F.when(kind == "BIGINT", value).otherwise(other.otherwise(_rarely(rule, v, kind)))
+    if data_type == "DOUBLE":
+        return F.when(_is_number(kind), value).otherwise(other.otherwise(_rarely(_to_double, v, kind)))
+    if data_type == "BOOLEAN":
+        return F.when(kind == "BOOLEAN", value).otherwise(other.otherwise(_rarely(_to_boolean, v, kind)))
+    if data_type == "TIMESTAMP":
+        text = F.try_variant_get(v, "$", "string")
+        return F.when((kind == "STRING") & text.rlike(DATE_TEXT), text.try_cast("timestamp_ntz"))
+    if data_type == "JSON":
+        return F.when(_is_nested(kind), json_column(v)).otherwise(other.otherwise(_rarely(_to_json_text, v, kind)))
+    return F.when(kind == "STRING", value).otherwise(other.otherwise(_rarely(_to_text, v, kind)))

@@ -20,17 +20,20 @@ def _field_stats(records: DataFrame, per_response: bool) -> DataFrame:
     field and type of each task. All buffers have a fixed width, so that it
     is a hash aggregation; hence the packed record order instead of a struct.
     """
-    order = F.col("seq").cast("decimal(19,0)") * F.lit(10**10).cast("decimal(11,0)") + F.col("pos")
+    order = F.col("pos")
+    if not per_response:
+        order = F.col("seq").cast("decimal(19,0)") * F.lit(10**10).cast("decimal(11,0)") + order
+    group = ["endpoint", "table_name", *(_PER_RESPONSE if per_response else [])]
     rows = records.select(
-        "endpoint", "table_name", *(_PER_RESPONSE if per_response else []), "keys", "record",
-        F.col("pos").alias("record_pos"), order.cast("decimal(30,0)").alias("record_order"),
+        *group, "keys", "record",
+        F.when(F.col("pos") == 0, F.col("seq")).alias("head_seq"),
+        order.alias("record_order"),
     )
     fields = rows.lateralJoin(rows.sparkSession.tvf.variant_explode_outer(F.col("record").outer()))
-    group = ["endpoint", "table_name", *(_PER_RESPONSE if per_response else [])]
     kinds = fields.select(
         *group, F.col("key").alias("name"), "value", value_kind(F.col("value")).alias("kind"),
-        "record_pos", "record_order",
-        F.when(F.col("record_pos") == 0, F.array_position(F.col("keys"), F.col("key")).cast("int")).alias("ordinal"),
+        "record_order", "head_seq",
+        F.when(F.col("head_seq").isNotNull(), F.array_position(F.col("keys"), F.col("key")).cast("int")).alias("ordinal"),
         (F.coalesce(F.col("pos"), F.lit(0)) == 0).cast("int").alias("is_first_field"),
     )
     typed = kinds.withColumn("type", value_type(F.col("value"), F.col("kind")))
@@ -38,8 +41,8 @@ def _field_stats(records: DataFrame, per_response: bool) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.sum("is_first_field").alias("n_heads"),
         F.min("record_order").alias("first_order"),
-        F.min("record_pos").alias("first_pos"),
-        F.min_by("ordinal", "record_order").alias("ordinal"),
+        F.min("head_seq").alias("head_seq"),
+        F.min_by("ordinal", "head_seq").alias("ordinal"),
     )
 
 
@@ -65,7 +68,7 @@ def infer_record_schema(
     group = ["table_name", *(_PER_RESPONSE if per_response else [])]
     known = F.col("type") != "null"
     if per_response:
-        known = known & (F.col("first_pos") < LOOK_AHEAD)
+        known = known & (F.col("first_order") < LOOK_AHEAD)
     names = stats.groupBy(*group, "name").agg(
         F.min_by("endpoint", "first_order").alias("endpoint"),
         F.min_by(F.when(known, F.col("type")), F.when(known, F.struct("first_order", "type"))).alias("first_type"),
@@ -73,7 +76,8 @@ def infer_record_schema(
         F.sum("n").alias("n_present"),
         F.sum("n_heads").alias("n_heads"),
         F.min("first_order").alias("first_order"),
-        F.min_by("ordinal", "first_order").alias("ordinal"),
+        F.min("head_seq").alias("head_seq"),
+        F.min_by("ordinal", "head_seq").alias("ordinal"),
         F.max((F.col("type") == "float").cast("int")).alias("has_float"),
         F.min(F.col("type").isin("int", "float", "null").cast("int")).alias("only_numbers"),
     )
@@ -82,7 +86,7 @@ def infer_record_schema(
     names = names.select(
         "*",
         F.sum("n_heads").over(table).alias("n_records"),
-        (F.col("first_order") == F.min("first_order").over(table)).alias("in_first"),
+        F.coalesce(F.col("head_seq") == F.min("head_seq").over(table), F.lit(False)).alias("in_first"),
     ).filter(F.col("name").isNotNull())
     if not union_keys:
         names = names.filter("in_first")

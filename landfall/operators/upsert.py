@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,9 @@ def cast_record(records: DataFrame, columns: Sequence[tuple[str, str]], carried:
 
     ``columns`` is ``(name, storage type)`` pairs. Adds ``problems``, the names
     of the columns whose value does not fit, and ``found``, the names present
-    in the record; a JSON null is present. Nested values become compact JSON.
+    in the record, where a JSON null is present. ``found`` is null where all
+    are, and ``problems`` may be null where there are none: the common case
+    then costs nothing. Nested values become compact JSON.
     """
     raw = records.select(
         *carried,
@@ -32,18 +35,32 @@ def cast_record(records: DataFrame, columns: Sequence[tuple[str, str]], carried:
             for i, (_, t) in enumerate(columns)
         ],
     )
-    bad = [
-        F.when(F.col(f"c{i}").isNull() & (F.col(f"k{i}") != "VOID"), F.lit(n)) for i, (n, _) in enumerate(columns)
-    ]
-    found = [F.when(F.col(f"k{i}").isNotNull(), F.lit(n)) for i, (n, _) in enumerate(columns)]
+    names = [n for n, _ in columns]
+    misfit = [F.col(f"c{i}").isNull() & (F.col(f"k{i}") != "VOID") for i in range(len(columns))]
+    present = [F.col(f"k{i}").isNotNull() for i in range(len(columns))]
     return typed.select(
         *carried,
-        *[F.col(f"c{i}").alias(n) for i, (n, _) in enumerate(columns)],
-        F.array_compact(F.array(*bad)).alias("problems"),
-        F.array_compact(F.array(*found)).alias("found"),
+        *[F.col(f"c{i}").alias(n) for i, n in enumerate(names)],
+        F.when(~_all([F.col(f"c{i}").isNotNull() for i in range(len(columns))]), _names_where(misfit, names)).alias(
+            "problems"
+        ),
+        F.when(~_all(present), _names_where(present, names)).alias("found"),
     )
 
 
+def _all(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions, F.lit(True))
+
+
+def _names_where(conditions: Sequence[Column], names: Sequence[str]) -> Column:
+    return F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, n in zip(conditions, names, strict=True)]))
+
+
+def is_found(found: str, name: str) -> Column:
+    """Whether the record had the field; a null list stands for all of them."""
+    return F.col(found).isNull() | F.array_contains(F.col(found), name)
+
+
 def project_records(
     records: DataFrame,
     columns: Sequence[tuple[str, str]],
@@ -58,17 +75,14 @@ def project_records(
     rows = cast_record(records, columns, carried)
     lacking = F.array_except(F.array(*[F.lit(n) for n, _ in columns]), F.col("found"))
     problem = F.when(F.size("problems") > 0, F.concat(F.lit("does not fit: "), F.array_join("problems", ", ")))
-    problem = problem.when(F.size("found") == 0, F.lit("no known field"))
+    problem = problem.when(F.col("found").isNotNull() & (F.size("found") == 0), F.lit("no known field"))
     if missing == "fail":
-        problem = problem.when(F.size(lacking) > 0, F.concat(F.lit("missing: "), F.array_join(lacking, ", ")))
+        problem = problem.when(F.col("found").isNotNull(), F.concat(F.lit("missing: "), F.array_join(lacking, ", ")))
     return rows.withColumn("problem", problem).drop("problems")
 
 
 def _no_null(keys: Sequence[str]) -> Column:
-    result = F.lit(True)
-    for k in keys:
-        result = result & F.col(quoted(k)).isNotNull()
-    return result
+    return _all([F.col(quoted(k)).isNotNull() for k in keys])
 
 
 def _spread_null_keys(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -89,8 +103,8 @@ def last_wins(
     share of the rows is one row per task when it reaches the shuffle. With
     ``null_keys=False`` the keys are known to be set.
 
-    With ``found``, a column of present column names, the result is taken per
-    column: a later row that lacks a column leaves the earlier value. Each
+    With ``found``, a column of present column names (null: all), the result is
+    taken per column: a later row that lacks a column leaves the earlier value. Each
     value column becomes a struct ``{v}``, null where no row had the column.
     """
     rest = [c for c in df.columns if c not in {*keys, found}]
@@ -103,7 +117,7 @@ def last_wins(
         last = grouped.agg(F.max_by(F.struct(*[F.col(quoted(c)) for c in rest]), position).alias("_row"))
         return last.select(*[F.col(quoted(k)) for k in keys], *[F.col("_row")[c].alias(c) for c in rest])
     values = [c for c in rest if c not in order]
-    has = lambda c: F.array_contains(F.col(found), c)
+    has = lambda c: is_found(found, c)
     return grouped.agg(
         *[
             F.max_by(F.when(has(c), F.struct(F.col(quoted(c)).alias("v"))), F.when(has(c), position)).alias(c)

@@ -40,7 +40,7 @@ from landfall.operators.tables import (
 from landfall.operators.upsert import ORDER, as_rows, last_wins, project_records, upsert
 from landfall.plans.endpoints import ENDPOINTS, TABLE_KEYS, Endpoint
 from landfall.session import local_frame, prepare, shared_dir
-from landfall.sources.landing import inject_columns, normalize_response, route_all, with_endpoints
+from landfall.sources.landing import inject_columns, route_all, with_endpoints
 from landfall.sources.logs import append_discovery, append_run_events
 
 _COLUMN_SCHEMA = (
@@ -116,7 +116,7 @@ def stage(landing: DataFrame, options: Options = Options()) -> Staged:
     """
     spark = prepare(landing.sparkSession)
     prefixes = {e.path: e.prefix for e in options.endpoints}
-    routed = route_all(with_endpoints(normalize_response(landing), prefixes))
+    routed = route_all(with_endpoints(landing, prefixes))
     path = shared_dir(spark, "records")
     routed.drop("response_key").hint("rebalance", "table_name").write.partitionBy("table_name").parquet(path)
     schema = routed.drop("response_key").schema

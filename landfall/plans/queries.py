@@ -610,7 +610,7 @@ def U4_cast_record(spark, sf):
         ("maybe", "INTEGER"), ("wide", "INTEGER"),
     ]
     cast = cast_record(records, columns)
-    return cast.withColumn("problems", F.array_join("problems", ",")).drop("found")
+    return cast.withColumn("problems", F.coalesce(F.array_join("problems", ","), F.lit(""))).drop("found")
 
 
 @query

@@ -15,12 +15,17 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings that results depend on.
+    """Apply the run-time settings the engine relies on.
 
     A JSON object that repeats a key keeps the last value, as most JSON
     readers do; Spark's default is to refuse the whole document.
+
+    Stages whose generated method is beyond what HotSpot compiles run as
+    separate operators instead, as Spark's documentation advises for HotSpot:
+    parsing, routing and casting would else run interpreted.
     """
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

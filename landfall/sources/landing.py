@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.functions.names import table_name_col
-from landfall.functions.values import value_kind
 
 LANDING_SCHEMA = "endpoint string, entity_id bigint, seq bigint, body string"
 
 _BLANKS = " \t\r\n"
+# Bodies that hold nothing: an empty object, null, false, zero, empty text.
+_FALSY = r'^(\{\s*\}|null|false|-?0(\.0*)?([eE][+-]?\d+)?|"")$'
+_LONGEST_FALSY = 256
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -96,53 +98,54 @@ def route_all(landing: DataFrame) -> DataFrame:
     # In an array, text after the document makes the parse fail or adds an element.
     parsed = landing.withColumn("whole", F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))))
     malformed = F.col("whole").isNull() | F.variant_get(F.col("whole"), "$[1]", "variant").isNotNull()
-    falsy = body.rlike(r'^(\{\s*\}|null|false|-?0(\.0*)?([eE][+-]?\d+)?|"")$')
+    falsy = (F.octet_length(body) <= _LONGEST_FALSY) & body.rlike(_FALSY)
     problem = (
         F.when(malformed, "malformed body")
         .when(falsy, "empty response")
         .when(~(body.startswith("{") & body.endswith("}")), "not an object")
     )
-    parsed = parsed.withColumn("problem", problem)
     base = ["endpoint", "entity_id", "seq", "prefix", "problem", "body"]
-    docs = _explode(
-        parsed.select(*base, F.when(F.col("problem").isNull(), F.col("whole")).alias("whole")), "whole"
-    ).select(*base, F.col("value").alias("doc"))
+    parsed = parsed.withColumn("problem", problem).select(
+        *base, F.when(F.col("problem").isNull(), F.col("whole")).alias("whole")
+    )
+    docs = _explode(parsed, "whole").select(*base, F.col("value").alias("doc"))
 
+    # An empty struct is the cheapest cast that only an object allows.
+    is_object = lambda path: F.try_variant_get(F.col("member"), path, "struct<>").isNotNull()
     members = _explode(docs, "doc").select(
         *base, F.col("key").alias("response_key"), F.col("value").alias("member")
     )
-    members = members.withColumn("head", F.variant_get(F.col("member"), "$[0]", "variant"))
-    members = members.withColumn(
-        "kind", F.when(F.col("head").isNull(), value_kind(F.col("member"))).otherwise(
-            F.concat(F.lit("LIST OF "), value_kind(F.col("head")))
-        )
-    )
-    is_list = F.col("kind").startswith("LIST OF OBJECT")
-    is_object = F.col("kind").startswith("OBJECT")
-    members = members.filter(is_list | is_object | F.col("problem").isNotNull()).select(
+    members = members.withColumn("is_list", F.coalesce(is_object("$[0]"), F.lit(False)))
+    members = members.withColumn("is_object", ~F.col("is_list") & F.coalesce(is_object("$"), F.lit(False)))
+    members = members.select(
         "endpoint", "entity_id", "seq", "problem", "response_key",
         F.when(F.col("problem").isNull(), table_name_col(F.col("prefix"), F.col("response_key"))).alias("table_name"),
         F.when(F.col("problem").isNotNull(), body).alias("rejected_text"),
-        _head_keys(body, F.col("response_key"), is_list).alias("head_keys"),
-        is_list.alias("is_list"),
-        F.when(is_object, F.col("member")).alias("object"),
-        F.col("member"),
+        _head_keys(body, F.col("response_key"), F.col("is_list")).alias("head_keys"),
+        "is_list",
+        "is_object",
+        F.when(F.col("is_object"), F.col("member")).alias("object"),
+        F.when(F.col("is_list"), F.col("member")).alias("list"),
     )
 
-    rows = _explode(members, "member")
-    in_list = F.coalesce(F.col("is_list"), F.lit(False))
-    rows = rows.filter(in_list | F.coalesce(F.col("pos"), F.lit(0)).eqNullSafe(0)).select(
+    # The filter needs the position in all its parts, which keeps it up here: pushed
+    # below the explode it would evaluate the casts of the members once more.
+    rows = _explode(members, "list")
+    single = F.col("is_object") | F.col("problem").isNotNull()
+    kept = (F.col("is_list") & F.col("pos").isNotNull()) | (single & F.col("pos").isNull())
+    rows = rows.filter(kept).select(
         "endpoint", "entity_id", "seq", "response_key", "table_name", "problem", "rejected_text",
-        F.when(in_list, F.col("pos")).otherwise(0).alias("pos"),
-        F.when(in_list, F.col("value")).otherwise(F.col("object")).alias("record"),
-        F.when(in_list & (F.col("pos") > 0), None).otherwise(F.col("head_keys")).alias("keys"),
+        F.coalesce("pos", F.lit(0)).alias("pos"),
+        F.when(F.col("is_list"), F.col("value")).otherwise(F.col("object")).alias("record"),
+        F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("head_keys")).alias("keys"),
+    )
+    odd = F.col("problem").isNull() & F.try_variant_get(F.col("record"), "$", "struct<>").isNull()
+    return rows.withColumn("odd", odd).select(
+        "endpoint", "entity_id", "seq", "response_key", "table_name",
+        F.when(F.col("odd"), "record is not an object").otherwise(F.col("problem")).alias("problem"),
+        F.when(F.col("odd"), F.to_json("record")).otherwise(F.col("rejected_text")).alias("rejected_text"),
+        "pos", "record", "keys",
     )
-    # An empty struct is the cheapest cast that only an object allows.
-    is_record = F.try_variant_get(F.col("record"), "$", "struct<>").isNotNull()
-    bad = F.col("problem").isNull() & ~is_record
-    return rows.withColumn(
-        "rejected_text", F.when(bad, F.to_json(F.col("record"))).otherwise(F.col("rejected_text"))
-    ).withColumn("problem", F.when(bad, "record is not an object").otherwise(F.col("problem")))
 
 
 def route_records(landing: DataFrame) -> DataFrame:
