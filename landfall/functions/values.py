@@ -146,14 +146,9 @@ def _to_json_text(v: Column, kind: Column) -> Column:
     )
 
 
-def _rarely(rule, v: Column, kind: Column) -> Column:
-    """``rule`` kept out of the generated code.
-
-    A lambda body is not inlined. The rules for values of an unexpected type
-    are long; inlined once per column they make one method that is too big for
-    the JIT compiler, and then every row is slow.
-    """
-    return F.element_at(F.transform(F.array(F.struct(v.alias("v"), kind.alias("k"))), lambda x: rule(x["v"], x["k"])), 1)
+def _to_timestamp(v: Column, kind: Column) -> Column:
+    text = F.try_variant_get(v, "$", "string")
+    return F.when((kind == "STRING") & text.rlike(DATE_TEXT), text.try_cast("timestamp_ntz"))
 
 
 def cast_value(v: Column, kind: Column, data_type: str) -> Column:
@@ -164,19 +159,35 @@ def cast_value(v: Column, kind: Column, data_type: str) -> Column:
     dropped, 32-bit overflow is an error. A null result for a value that is
     present and not JSON null marks the error.
     """
-    spark_type = SPARK_TYPES.get(data_type, "string")
-    value = F.try_variant_get(v, "$", spark_type)
-    other = F.when(kind.isNull() | (kind == "VOID"), None)
+    value = F.try_variant_get(v, "$", SPARK_TYPES.get(data_type, "string"))
     if data_type in ("INTEGER", "BIGINT"):
-        rule = lambda x, k: _to_integer(x, k, data_type)
-        return F.when(kind == "BIGINT", value).otherwise(other.otherwise(_rarely(rule, v, kind)))
+        return F.when(kind == "BIGINT", value).otherwise(_to_integer(v, kind, data_type))
     if data_type == "DOUBLE":
-        return F.when(_is_number(kind), value).otherwise(other.otherwise(_rarely(_to_double, v, kind)))
+        return F.when(_is_number(kind), value).otherwise(_to_double(v, kind))
     if data_type == "BOOLEAN":
-        return F.when(kind == "BOOLEAN", value).otherwise(other.otherwise(_rarely(_to_boolean, v, kind)))
+        return F.when(kind == "BOOLEAN", value).otherwise(_to_boolean(v, kind))
+    if data_type == "TIMESTAMP":
+        return _to_timestamp(v, kind)
+    if data_type == "JSON":
+        return F.when(_is_nested(kind), json_column(v)).otherwise(_to_json_text(v, kind))
+    return F.when(kind == "STRING", value).otherwise(_to_text(v, kind))
+
+
+def usual_value(record: Column, path: str, data_type: str) -> Column:
+    """``cast_value`` of a field for values of the usual form, else null.
+
+    Short, and without a look at the type of the value: only text casts to
+    binary, and a whole number is the same as an integer and as a double.
+    """
+    get = lambda t: F.try_variant_get(record, path, t)
+    if data_type in ("INTEGER", "BIGINT"):
+        whole = get(SPARK_TYPES[data_type])
+        return F.when((whole == get("double")) & whole.between(-(2**52), 2**52), whole)
+    if data_type in ("DOUBLE", "BOOLEAN"):
+        return F.when(get("binary").isNull(), get(SPARK_TYPES[data_type]))
     if data_type == "TIMESTAMP":
-        text = F.try_variant_get(v, "$", "string")
-        return F.when((kind == "STRING") & text.rlike(DATE_TEXT), text.try_cast("timestamp_ntz"))
+        return F.when(get("string").rlike(DATE_TEXT), get("string").try_cast("timestamp_ntz"))
     if data_type == "JSON":
-        return F.when(_is_nested(kind), json_column(v)).otherwise(other.otherwise(_rarely(_to_json_text, v, kind)))
-    return F.when(kind == "STRING", value).otherwise(other.otherwise(_rarely(_to_text, v, kind)))
+        text = json_column(F.variant_get(record, path, "variant"))
+        return F.when(F.ascii(text).isin(ord("{"), ord("[")), text)
+    return F.when(get("binary").isNotNull(), get("string"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions.names import quoted, variant_path
-from landfall.functions.values import SPARK_TYPES, cast_value, value_kind
+from landfall.functions.values import SPARK_TYPES, cast_value, usual_value, value_kind
 
 ORDER = ["seq", "entity_id", "pos"]
 
@@ -22,30 +22,62 @@ def cast_record(records: DataFrame, columns: Sequence[tuple[str, str]], carried:
     in the record, where a JSON null is present. ``found`` is null where all
     are, and ``problems`` may be null where there are none: the common case
     then costs nothing. Nested values become compact JSON.
+
+    A record whose values all have the usual form, or are JSON null, is done
+    with short generated code. Any other goes through the full rules, which
+    stand in a lambda: that is not inlined, so the method stays small enough
+    to be compiled however many columns there are.
     """
-    raw = records.select(
+    names = [n for n, _ in columns]
+    usual = records.select(
+        *carried, "record",
+        *[usual_value(F.col("record"), variant_path(n), t).alias(f"u{i}") for i, (n, t) in enumerate(columns)],
+    )
+    clear = [
+        F.col(f"u{i}").isNotNull() | F.is_variant_null(F.variant_get(F.col("record"), variant_path(n), "variant"))
+        for i, n in enumerate(names)
+    ]
+    full = F.when(~F.coalesce(_all(clear), F.lit(False)), _full_cast(F.col("record"), columns))
+    done = usual.withColumn("full", full)
+    return done.select(
         *carried,
-        *[F.variant_get(F.col("record"), variant_path(n), "variant").alias(f"v{i}") for i, (n, _) in enumerate(columns)],
+        *[
+            F.when(F.col("full").isNull(), F.col(f"u{i}")).otherwise(F.col("full")[f"c{i}"]).alias(n)
+            for i, n in enumerate(names)
+        ],
+        F.col("full")["problems"].alias("problems"),
+        F.col("full")["found"].alias("found"),
+    )
+
+
+def _full_cast(record: Column, columns: Sequence[tuple[str, str]]) -> Column:
+    """Struct of all columns by the full rules, with problems and found."""
+    names = [n for n, _ in columns]
+    n = range(len(columns))
+    raw = lambda r: F.struct(
+        *[F.variant_get(r, variant_path(name), "variant").alias(f"v{i}") for i, name in enumerate(names)]
     )
-    kinds = raw.select("*", *[value_kind(F.col(f"v{i}")).alias(f"k{i}") for i in range(len(columns))])
-    typed = kinds.select(
-        "*",
+    kinds = lambda x: F.struct(
+        *[x[f"v{i}"].alias(f"v{i}") for i in n], *[value_kind(x[f"v{i}"]).alias(f"k{i}") for i in n]
+    )
+    typed = lambda x: F.struct(
         *[
-            cast_value(F.col(f"v{i}"), F.col(f"k{i}"), t).cast(SPARK_TYPES.get(t, "string")).alias(f"c{i}")
+            cast_value(x[f"v{i}"], x[f"k{i}"], t).cast(SPARK_TYPES.get(t, "string")).alias(f"c{i}")
             for i, (_, t) in enumerate(columns)
         ],
+        *[x[f"k{i}"].alias(f"k{i}") for i in n],
     )
-    names = [n for n, _ in columns]
-    misfit = [F.col(f"c{i}").isNull() & (F.col(f"k{i}") != "VOID") for i in range(len(columns))]
-    present = [F.col(f"k{i}").isNotNull() for i in range(len(columns))]
-    return typed.select(
-        *carried,
-        *[F.col(f"c{i}").alias(n) for i, n in enumerate(names)],
-        F.when(~_all([F.col(f"c{i}").isNotNull() for i in range(len(columns))]), _names_where(misfit, names)).alias(
-            "problems"
-        ),
-        F.when(~_all(present), _names_where(present, names)).alias("found"),
+    checked = lambda x: F.struct(
+        *[x[f"c{i}"].alias(f"c{i}") for i in n],
+        _names_where([x[f"c{i}"].isNull() & (x[f"k{i}"] != "VOID") for i in n], names).alias("problems"),
+        F.when(
+            ~_all([x[f"k{i}"].isNotNull() for i in n]), _names_where([x[f"k{i}"].isNotNull() for i in n], names)
+        ).alias("found"),
     )
+    steps = F.array(record)
+    for step in (raw, kinds, typed, checked):
+        steps = F.transform(steps, step)
+    return F.element_at(steps, 1)
 
 
 def _all(conditions: Sequence[Column]) -> Column:
