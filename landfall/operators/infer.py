@@ -24,8 +24,9 @@ def _field_stats(records: DataFrame, per_response: bool) -> DataFrame:
     if not per_response:
         order = F.col("seq").cast("decimal(19,0)") * F.lit(10**10).cast("decimal(11,0)") + order
     group = ["endpoint", "table_name", *(_PER_RESPONSE if per_response else [])]
+    keys = F.col("keys") if "keys" in records.columns else F.lit(None).cast("array<string>")
     rows = records.select(
-        *group, "keys", "record",
+        *group, keys.alias("keys"), "record",
         F.when(F.col("pos") == 0, F.col("seq")).alias("head_seq"),
         order.alias("record_order"),
     )
@@ -62,8 +63,16 @@ def infer_record_schema(
     among its first six records. ``union_keys`` keeps names that appear only
     later; ``widen`` makes a mix of int and float a float.
 
-    The record order is ``(seq, pos)``; ``seq`` is unique per response.
+    The record order is ``(seq, pos)``; ``seq`` is unique per response. Records
+    without ``keys`` give the columns of a table in the order of their names.
     """
+    return infer_with_heads(records, per_response, union_keys, widen).drop("table_seq")
+
+
+def infer_with_heads(
+    records: DataFrame, per_response: bool = False, union_keys: bool = False, widen: bool = False
+) -> DataFrame:
+    """``infer_record_schema`` with the ``seq`` of each table's first record."""
     stats = _field_stats(records, per_response)
     group = ["table_name", *(_PER_RESPONSE if per_response else [])]
     known = F.col("type") != "null"
@@ -86,14 +95,16 @@ def infer_record_schema(
     names = names.select(
         "*",
         F.sum("n_heads").over(table).alias("n_records"),
-        F.coalesce(F.col("head_seq") == F.min("head_seq").over(table), F.lit(False)).alias("in_first"),
-    ).filter(F.col("name").isNotNull())
+        F.min("head_seq").over(table).alias("table_seq"),
+    ).withColumn("in_first", F.coalesce(F.col("head_seq") == F.col("table_seq"), F.lit(False))).filter(F.col("name").isNotNull())
     if not union_keys:
         names = names.filter("in_first")
     column_type = F.coalesce(F.col("first_type"), F.lit("str"))
     if widen:
         column_type = F.when((F.col("has_float") == 1) & (F.col("only_numbers") == 1), "float").otherwise(column_type)
-    position = table.orderBy(F.col("in_first").desc(), "ordinal", "first_order", "name")
+    position = table.orderBy(
+        F.col("in_first").desc(), "ordinal", F.when(~F.col("in_first"), F.col("first_order")), "name"
+    )
     return names.select(
         "endpoint",
         *group,
@@ -103,6 +114,7 @@ def infer_record_schema(
         (F.col("n_values") < F.col("n_records")).alias("nullable"),
         "n_records",
         "n_present",
+        "table_seq",
     )
 
 

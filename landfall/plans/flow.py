@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from landfall.functions.names import quoted
 from landfall.operators.checks import check_unique
 from landfall.operators.drift import detect_drift
-from landfall.operators.infer import infer_record_schema, map_types
+from landfall.operators.infer import infer_record_schema, infer_with_heads, map_types
 from landfall.operators.keys import add_parents, apply_key_map, detect_keys, first_rows, key_map
 from landfall.operators.reads import capped_ids
 from landfall.operators.registry import SINGLETON, load_registry, resolve_schema, save_registry
@@ -110,23 +110,53 @@ class TablePlan:
 def stage(landing: DataFrame, options: Options = Options()) -> Staged:
     """Parse a landing once and keep its records by table in the shared folder.
 
-    The rebalance keeps one body with a very long list, or a table with most
-    of the records, from staying in one task, and the files from being many
-    and small. Later steps read only their table.
+    Map-only: each task writes a file per table it meets, so a table with most
+    of the records is spread as the landing is, and a body with a very long
+    list becomes a file whose row groups are read apart. Later steps read only
+    their table.
     """
     spark = prepare(landing.sparkSession)
-    prefixes = {e.path: e.prefix for e in options.endpoints}
-    routed = route_all(with_endpoints(landing, prefixes))
+    landing = with_endpoints(landing, {e.path: e.prefix for e in options.endpoints})
+    # Key order needs the text; it is looked up below for first responses only.
+    routed = route_all(landing).drop("response_key", "keys")
     path = shared_dir(spark, "records")
-    routed.drop("response_key").hint("rebalance", "table_name").write.partitionBy("table_name").parquet(path)
-    schema = routed.drop("response_key").schema
-    rows = spark.read.schema(schema).parquet(path)
+    routed.write.partitionBy("table_name").parquet(path)
+    rows = spark.read.schema(routed.schema).parquet(path)
     good = rows.filter(F.col("problem").isNull()).drop("problem", "rejected_text")
     bad = rows.filter(F.col("problem").isNotNull()).select(
         "endpoint", "entity_id", "seq", "table_name", "pos", "problem", "rejected_text"
     )
-    columns = infer_record_schema(good, **options.infer).select(*_names(_COLUMN_SCHEMA)).collect()
-    return Staged(good, bad, local_frame(spark, columns, _COLUMN_SCHEMA), columns)
+    found = infer_with_heads(good, **options.infer).collect()
+    columns = _in_text_order(landing, [r.asDict() for r in found])
+    rows = [tuple(c[n] for n in _names(_COLUMN_SCHEMA)) for c in columns]
+    return Staged(good, bad, local_frame(spark, rows, _COLUMN_SCHEMA), columns)
+
+
+def _in_text_order(landing: DataFrame, columns: list[dict]) -> list[dict]:
+    """Inferred columns in the order of the text of each table's first record.
+
+    Reads the responses that hold first records, at most one per table; the
+    filter on ``seq`` reaches a parquet landing.
+    """
+    heads = {(c["table_name"], c["table_seq"]) for c in columns}
+    if not heads:
+        return columns
+    first = landing.filter(F.col("seq").isin(sorted({seq for _, seq in heads})))
+    texts = route_all(first).filter(F.col("problem").isNull() & F.col("keys").isNotNull())
+    keys = {
+        r["table_name"]: list(dict.fromkeys(r["keys"]))
+        for r in texts.select("table_name", "seq", "keys").collect()
+        if (r["table_name"], r["seq"]) in heads
+    }
+    tables: dict[str, list[dict]] = {}
+    for c in columns:
+        tables.setdefault(c["table_name"], []).append(c)
+    for table, own in tables.items():
+        position = {name: i for i, name in enumerate(keys.get(table, []))}
+        own.sort(key=lambda c: (position.get(c["name"], len(position)), c["ordinal"]))
+        for i, c in enumerate(own):
+            c["ordinal"] = i
+    return [c for own in tables.values() for c in own]
 
 
 def _names(schema: str) -> list[str]:
