@@ -52,7 +52,7 @@ _TABLES_AT_A_TIME = 4
 
 
 class IngestError(RuntimeError):
-    """The batch cannot be stored as asked; no table of it was changed by it."""
+    """The batch cannot be stored as asked. A table takes a batch whole or not at all."""
 
 
 @dataclass(frozen=True)

@@ -54,7 +54,6 @@ from landfall.plans.samples import (
     customer_landing,
     fanout_landing,
     landing,
-    lineitem_landing,
     load,
     new_store,
     order_landing,
@@ -790,6 +789,3 @@ def R6_failures(spark, sf):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land, infer, create, load, reload, read back: the whole way once."""
     return U7_ingest(prepare(spark), sf_dir)
-
-
-__all__ = ["QUERIES", "flagship", "lineitem_landing"]

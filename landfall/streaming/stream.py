@@ -24,7 +24,7 @@ def ingest_stream(
 
     Start it again for the files that came since. A batch that is replayed
     after a failure changes nothing more, as the upsert is by key and the order
-    of rows comes from the data.
+    of rows comes from the data; only rows with a null key are inserted again.
     """
     spark = prepare(store.spark)
     reader = spark.readStream.schema(LANDING_SCHEMA).format(fmt)
