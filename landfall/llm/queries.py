@@ -8,9 +8,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall.llm.bpe import encode_decode
 from landfall.llm.exact_dedup import exact_dedup
 from landfall.llm.language_id import evidence_of_documents, evidence_of_pages, identify
+from landfall.llm.line_dedup import line_dedup
 from landfall.llm.packing import pack_documents
+from landfall.llm.quality_rules import quality_rules
+from landfall.llm.sharding import shards_in_shared_folder
 from landfall.llm.simhash import simhash_groups
 from landfall.llm.substring_dedup import substring_dedup
 
@@ -41,6 +45,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup(documents(spark, sf_dir), 5)
+    return done.select("row.doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """The packing's digest: pieces with a checksum in place of their ids."""
     done = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), SEQUENCE, 0)
@@ -51,6 +60,25 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest of the written shards, read back; law: row counts one apart at most."""
+    done = shards_in_shared_folder(documents(spark, sf_dir), 16)
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    return done.select(
+        "row.doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return encode_decode(documents(spark, sf_dir), path, public_tokenizers.PATTERN, digests=True)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring_dedup(documents(spark, sf_dir), 13)
     return done.select("row.doc_id", "n_words", "n_removed", "kept_sha256")
@@ -68,12 +96,30 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
+    "op3_line_dedup": op3_line_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_sharding": op5_sharding,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_bpe": op7_bpe,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
 }
 
 ORACLES = {
+    "op3_line_dedup": r"""
+        WITH lines AS (
+            SELECT doc_id, source, j, line, trim(line, E' \t\n\x0b\x0c\r') AS bare
+            FROM (SELECT doc_id, source, unnest(string_split(coalesce(text, ''), E'\n')) AS line,
+                         generate_subscripts(string_split(coalesce(text, ''), E'\n'), 1) AS j FROM documents)
+        ), spread AS (
+            SELECT bare FROM lines WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= 5
+        ), judged AS (
+            SELECT lines.*, bare IN (SELECT bare FROM spread) AS gone FROM lines
+        )
+        SELECT doc_id, count(*) FILTER (bare <> '') AS n_lines, count(*) FILTER (gone) AS n_removed,
+               sha256(coalesce(string_agg(line, E'\n' ORDER BY j) FILTER (NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id
+    """,
     "op1_exact_dedup": """
         WITH texts AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
