@@ -12,6 +12,7 @@ from landfall.llm.bpe import encode_decode
 from landfall.llm.exact_dedup import exact_dedup
 from landfall.llm.language_id import evidence_of_documents, evidence_of_pages, identify
 from landfall.llm.line_dedup import line_dedup
+from landfall.llm.lm_scoring import lm_scoring
 from landfall.llm.packing import pack_documents
 from landfall.llm.quality_rules import quality_rules
 from landfall.llm.sharding import shards_in_shared_folder
@@ -93,6 +94,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe": op7_bpe,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLES = {
