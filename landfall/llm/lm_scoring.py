@@ -80,7 +80,7 @@ class Vocabulary:
         return np.append(np.where(known, places, self.model_words), self.model_words + 1).astype(np.int32)
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, share: int, rounds: int, replica_tokens: int) -> Gru:
+def train(texts: DataFrame, vocabulary: Vocabulary, share: int, rounds: int, replica_tokens: int, least_tokens: int) -> Gru:
     """The average of copies trained on their parts of the sample, round by round."""
     spark = texts.sparkSession
     model = Gru(vocabulary.symbol_counts)
@@ -97,7 +97,9 @@ def train(texts: DataFrame, vocabulary: Vocabulary, share: int, rounds: int, rep
             for batch in batches:
                 for rows in by_size(batch, "text", 4 << 20):
                     stream = np.concatenate([vocabulary.symbols(vocabulary.places(t)[1]) for t in rows["text"]])
-                    own.train(stream)
+                    # A short part is read again, as a few hundred steps teach little.
+                    for _ in range(min(8, max(1, -(-least_tokens // len(stream))))):
+                        own.train(stream, rate=0.02)
                     learned += len(stream)
             if learned:
                 flat = own.pack()
@@ -147,7 +149,7 @@ def _score(vocabulary: Vocabulary, model: Gru):
 
 def lm_scoring(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_words: int = 4096, head_words: int = 65536,
-    share: int = 8, rounds: int = 2, replica_tokens: int = 200_000,
+    share: int = 4, rounds: int = 2, replica_tokens: int = 200_000, least_tokens: int = 400_000,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     ship(docs.sparkSession)
@@ -159,7 +161,7 @@ def lm_scoring(
     n_texts = texts.filter("not held_out").count()
     head = words.orderBy(F.desc("n"), "word").limit(head_words).collect()
     vocabulary = Vocabulary([(bytes(r.word), r.n) for r in head], model_words, amounts.words, amounts.tokens or 0, n_texts)
-    model = train(texts, vocabulary, share, rounds, replica_tokens)
+    model = train(texts, vocabulary, share, rounds, replica_tokens, least_tokens)
     scored = staged(per_batch(texts, SCORED, _score(vocabulary, model)), "scored")
     tail = scored.select("row_key", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("row_key", F.col("t.tail").alias("word"), F.col("t.times").alias("times"))
     counted = tail.join(words, "word", "left").groupBy("row_key").agg(
