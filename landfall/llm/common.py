@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from landfall.session import shared_dir
 
@@ -69,10 +69,15 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(str(archive))
 
 
-def per_batch(frame: DataFrame, schema: str, work: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]) -> DataFrame:
+def with_row(row: DataType, rest: str) -> StructType:
+    """A schema of the payload ``row``, whatever its names, and further columns."""
+    return StructType([StructField("row", row), *StructType.fromDDL(rest)])
+
+
+def per_batch(frame: DataFrame, schema: str | StructType, work: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]) -> DataFrame:
     """``mapInArrow`` for a generator that takes batches and yields dicts of columns."""
     ship(frame.sparkSession)
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    arrow = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in work(batches):

@@ -53,6 +53,23 @@ def count_words(texts: DataFrame) -> DataFrame:
     return staged(parts.groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
+def most_frequent(words: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The most frequent words, by whole steps of frequency as long as ``most`` words do not overflow.
+
+    Only counts of words by step and the words taken come to the driver.
+    """
+    step = F.floor(8 * F.log2("n"))
+    border, taken = None, 0
+    for r in words.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        taken += r["count"]
+        if taken > most:
+            break
+        border = r.step
+    if border is None:
+        return []
+    return sorted(((bytes(r.word), r.n) for r in words.filter(step >= border).collect()), key=lambda w: (-w[1], w[0]))
+
+
 class Vocabulary:
     """The head's words and counts, and what the whole corpus amounts to."""
 
@@ -123,7 +140,7 @@ def _score(vocabulary: Vocabulary, model: Gru):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         key = TaskContext.get().partitionId() << 36
         for batch in batches:
-            for rows in by_size(batch, "text", 24 << 20):
+            for rows in by_size(batch, "text", 12 << 20):
                 out = {c.split()[0]: [] for c in SCORED.split(", ")}
                 symbols = []
                 for text in rows["text"]:
@@ -149,7 +166,7 @@ def _score(vocabulary: Vocabulary, model: Gru):
 
 def lm_scoring(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_words: int = 4096, head_words: int = 65536,
-    share: int = 4, rounds: int = 2, replica_tokens: int = 200_000, least_tokens: int = 400_000,
+    share: int = 4, rounds: int = 2, replica_tokens: int = 200_000, least_tokens: int = 250_000,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     ship(docs.sparkSession)
@@ -159,8 +176,7 @@ def lm_scoring(
     words = count_words(texts)
     amounts = words.agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).first()
     n_texts = texts.filter("not held_out").count()
-    head = words.orderBy(F.desc("n"), "word").limit(head_words).collect()
-    vocabulary = Vocabulary([(bytes(r.word), r.n) for r in head], model_words, amounts.words, amounts.tokens or 0, n_texts)
+    vocabulary = Vocabulary(most_frequent(words, head_words), model_words, amounts.words, amounts.tokens or 0, n_texts)
     model = train(texts, vocabulary, share, rounds, replica_tokens, least_tokens)
     scored = staged(per_batch(texts, SCORED, _score(vocabulary, model)), "scored")
     tail = scored.select("row_key", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("row_key", F.col("t.tail").alias("word"), F.col("t.times").alias("times"))

@@ -115,7 +115,7 @@ class LocalSearch:
         return self.full + [[i for _, i in b] for b in self.open if b]
 
     def _improve(self, giver: int) -> bool:
-        """The change by which a fuller bin gains most, if there is any."""
+        """The change that fills a fuller bin to the brim, or else by which one gains most, if there is any."""
         best = None
         first = bisect_left(self.by_fill, (self.fill[giver], -1))
         for fill, taker in self.by_fill[first : first + self.takers]:
@@ -125,13 +125,13 @@ class LocalSearch:
             for given in reversed(self.open[giver]):
                 for back in self._back(items, given[0], room):
                     gain = given[0] - sum(n for n, _ in back)
-                    if 0 < gain <= room and (best is None or gain > best[0]):
-                        best = gain, taker, given, back
-            if best and best[0] == room:
+                    if 0 < gain <= room and (best is None or (gain == room, gain) > best[:2]):
+                        best = gain == room, gain, taker, given, back
+            if best and best[0]:
                 break
         if best is None:
             return False
-        gain, taker, given, back = best
+        _, gain, taker, given, back = best
         self.open[giver].remove(given)
         insort(self.open[taker], given)
         for item in back:

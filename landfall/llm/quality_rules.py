@@ -80,10 +80,10 @@ def base_statistics(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
 def transformed(rows: DataFrame) -> DataFrame:
     """The vector of each row with words."""
     def share(part: str, whole: str) -> Column:
-        return F.ln(1 + 100 * F.col(part) / F.col(whole))
+        return F.ln(1 + 100 * F.try_divide(part, whole))
 
     return rows.withColumns({
-        "words": F.ln(F.col("n_words").cast("double")), "word_length": F.ln(F.col("word_chars") / F.col("n_words")),
+        "words": F.ln(F.nullif("n_words", F.lit(0)).cast("double")), "word_length": F.ln(F.try_divide("word_chars", "n_words")),
         "symbols": share("n_symbols", "word_chars"), "lines": share("n_dup_lines", "n_lines"), "repeats": share("n_repeat_words", "n_words"),
     })
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import quoted, ship, text_of
+from landfall.llm.common import quoted, ship, text_of, with_row
 from landfall.session import shared_dir
 
 
@@ -50,7 +50,6 @@ def shuffle_into_shards(
     first = np.cumsum(counts) - counts
     rows = int(counts.sum())
     borders = np.array([-(-s * rows // shards) for s in range(shards)], np.int64)
-    kind = dealt.schema["row"].dataType
 
     def write_bucket(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -63,7 +62,7 @@ def shuffle_into_shards(
             "row": table.column("row").take(pa.array(order)), "shard": pa.array(shard, pa.int32()), "slot": pa.array(place - borders[shard], pa.int64()),
         })
 
-    done = dealt.groupBy("bucket").applyInArrow(write_bucket, f"row {kind.simpleString()}, shard int, slot long")
+    done = dealt.groupBy("bucket").applyInArrow(write_bucket, with_row(dealt.schema["row"].dataType, "shard int, slot long"))
     done.write.partitionBy("shard").parquet(path)
     return spark.read.schema(done.schema).parquet(path)
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import columns_of, per_batch, quoted, staged, text_of
+from landfall.llm.common import columns_of, per_batch, quoted, staged, text_of, with_row
 from landfall.llm.words import mixed, spans_hash, word_hashes, word_spans
 
 GRAM = 4
@@ -299,10 +299,8 @@ def substring_dedup(
         F.col(quoted(id_col)).cast("long").alias("doc_id"), text_of(text_col).cast("binary").alias("text"),
     )
     marked = whole.join(by_doc, "doc_id", "left").select("row", "text", "marks")
-    kind = marked.schema["row"].dataType.simpleString()
-    return per_batch(
-        marked, f"row {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string", _remove(window)
-    )
+    schema = with_row(marked.schema["row"].dataType, "n_words long, n_removed long, kept_sha256 string, kept_text string")
+    return per_batch(marked, schema, _remove(window))
 
 
 def cut_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
