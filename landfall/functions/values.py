@@ -108,7 +108,8 @@ def _is_nested(kind: Column) -> Column:
 def _to_integer(v: Column, kind: Column, data_type: str) -> Column:
     spark_type = SPARK_TYPES[data_type]
     text = F.try_variant_get(v, "$", "string")
-    number = F.coalesce(text.try_cast("decimal(38,8)"), text.try_cast("double").try_cast("decimal(38,8)"))
+    # Digits enough for any 64-bit integer, and places enough to round once.
+    number = F.coalesce(text.try_cast("decimal(38,18)"), text.try_cast("double").try_cast("decimal(38,18)"))
     # Floats round half to even, numeric text half up.
     return (
         F.when(kind == "STRING", F.when(text.rlike(NUMERIC_TEXT), F.round(number, 0).try_cast(spark_type)))

@@ -70,9 +70,14 @@ def infer_record_schema(
 
 
 def infer_with_heads(
-    records: DataFrame, per_response: bool = False, union_keys: bool = False, widen: bool = False
+    records: DataFrame, per_response: bool = False, union_keys: bool = False, widen: bool = False,
+    every_response: bool = False,
 ) -> DataFrame:
-    """``infer_record_schema`` with the ``seq`` of each table's first record."""
+    """``infer_record_schema`` with the ``seq`` of each table's first record.
+
+    ``every_response`` takes the names of the first record of every response,
+    in the order of the responses, and not of the table's first one only.
+    """
     stats = _field_stats(records, per_response)
     group = ["table_name", *(_PER_RESPONSE if per_response else [])]
     known = F.col("type") != "null"
@@ -98,7 +103,8 @@ def infer_with_heads(
         F.min("head_seq").over(table).alias("table_seq"),
     ).withColumn("in_first", F.coalesce(F.col("head_seq") == F.col("table_seq"), F.lit(False))).filter(F.col("name").isNotNull())
     if not union_keys:
-        names = names.filter("in_first")
+        # Names of the first record of any response, or of the table's first response only.
+        names = names.filter("head_seq IS NOT NULL" if every_response else "in_first")
     column_type = F.coalesce(F.col("first_type"), F.lit("str"))
     if widen:
         column_type = F.when((F.col("has_float") == 1) & (F.col("only_numbers") == 1), "float").otherwise(column_type)

@@ -8,10 +8,13 @@ over tables.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -47,7 +50,6 @@ _COLUMN_SCHEMA = (
     "endpoint string, table_name string, ordinal int, name string, type string, "
     "nullable boolean, n_records bigint, n_present bigint"
 )
-_TOUCHED_LIST_LIMIT = 1000
 _TABLES_AT_A_TIME = 4
 
 
@@ -126,7 +128,7 @@ def stage(landing: DataFrame, options: Options = Options()) -> Staged:
     bad = rows.filter(F.col("problem").isNotNull()).select(
         "endpoint", "entity_id", "seq", "table_name", "pos", "problem", "rejected_text"
     )
-    found = infer_with_heads(good, **options.infer).collect()
+    found = infer_with_heads(good, **{"every_response": True, **options.infer}).collect()
     columns = _in_text_order(landing, [r.asDict() for r in found])
     rows = [tuple(c[n] for n in _names(_COLUMN_SCHEMA)) for c in columns]
     return Staged(good, bad, local_frame(spark, rows, _COLUMN_SCHEMA), columns)
@@ -186,7 +188,7 @@ def _plan(store: Store, staged: Staged, options: Options) -> BatchPlan:
         if parent:
             parents[table] = parent
     keymap = key_map(spark, options.keys)
-    columns = apply_key_map(add_parents(resolved, parents), keymap)
+    columns = apply_key_map(add_parents(resolved, parents, "BIGINT" if options.long_ints else "INTEGER"), keymap)
     columns = local_frame(spark, columns.collect(), columns.schema)
     keys = {
         r["table_name"]: r
@@ -250,12 +252,15 @@ def ingest(
         bad = staged.rejects.take(1)
         if bad:
             raise IngestError(f"{bad[0]['endpoint']}: {bad[0]['problem']}: {bad[0]['rejected_text']}")
+    batch_id = uuid.uuid4().hex
+    if options.rejects != "fail" and not staged.rejects.isEmpty():
+        _keep_rejects(store, batch_id, "responses", staged.rejects)
     if options.missing == "fail":
         _refuse_missing(staged)
     if len(created) < len(batch.tables):
         _handle_drift(store, batch, options)
     plans = [batch.tables[t] for t in sorted(batch.tables)]
-    write = inheritable_thread_target(store.spark)(lambda plan: _ingest_table(store, staged, plan, options))
+    write = inheritable_thread_target(store.spark)(lambda plan: _ingest_table(store, staged, plan, options, batch_id))
     with ThreadPoolExecutor(_TABLES_AT_A_TIME) as pool:
         counts = list(pool.map(write, plans))
     return {plan.schema.table_name: n for plan, n in zip(plans, counts, strict=True)}
@@ -293,13 +298,13 @@ def _handle_drift(store: Store, batch: BatchPlan, options: Options) -> None:
     save_registry(local_frame(store.spark, evolved, batch.columns.schema), store.registry_path, time.time_ns())
 
 
-def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Options) -> int:
+def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Options, batch_id: str) -> int:
     spark, table, schema = store.spark, plan.schema.table_name, plan.schema
     arrived = {r["name"]: r for r in staged.columns if r["table_name"] == table}
     single = options.keys.get(table) == "singleton" or schema.table_key == SINGLETON
     injected = [plan.parent] if plan.parent else []
     if plan.parent and plan.parent not in store.table(table).columns:
-        evolve_table(store, table, [TableColumn(plan.parent, "INTEGER")])
+        evolve_table(store, table, [TableColumn(plan.parent, "BIGINT" if options.long_ints else "INTEGER")])
     stored = {c.lower() for c in store.table(table).columns}
     made = {*injected, *(["id"] if single else [])}
     columns = [
@@ -310,7 +315,9 @@ def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Option
     rows = project_records(records, [(c.name, c.data_type) for c in columns])
     if plan.parent:
         spark_type = next((c.spark_type for c in schema.columns if c.name == plan.parent), "int")
-        rows = inject_columns(rows, {plan.parent: F.col("entity_id").cast(spark_type)})
+        rows = inject_columns(rows, {plan.parent: F.col("entity_id").try_cast(spark_type)})
+        unfit = F.col("entity_id").isNotNull() & F.col(quoted(plan.parent)).isNull()
+        rows = rows.withColumn("problem", F.coalesce("problem", F.when(unfit, f"{plan.parent} does not fit")))
     if single:
         rows = first_rows(rows)
     names = [c.name for c in schema.columns if c.name in {*made, *(c.name for c in columns)}]
@@ -346,9 +353,9 @@ def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Option
         if options.rejects == "fail":
             first = bad.select("seq", "pos", "problem").first()
             raise IngestError(f"{table}: {first['problem']} (response {first['seq']}, record {first['pos']})")
-        bad.select("endpoint", "entity_id", "seq", "pos", "problem", F.lit(table).alias("table_name")).write.mode(
-            "append"
-        ).parquet(store.path("_rejects"))
+        _keep_rejects(store, batch_id, table, bad.withColumns({
+            "table_name": F.lit(table), "rejected_text": F.lit(None).cast("string"),
+        }))
 
     incoming = apply_defaults(spark.read.parquet(path), schema) if _has_defaults(schema) else spark.read.parquet(path)
     optional = [n for n in names if n not in plan.keys] if found else []
@@ -356,6 +363,12 @@ def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Option
     return counts["n"] - counts["n_bad"]
 
 
+def _keep_rejects(store: Store, batch_id: str, part: str, bad: DataFrame) -> None:
+    """Rejects of one batch and table, in a folder of their own: tables are written side by side."""
+    rows = bad.select("endpoint", "entity_id", "seq", "pos", "problem", "table_name", "rejected_text")
+    rows.write.mode("overwrite").parquet(f"{store.path('_rejects')}/batch={batch_id}/part={part}")
+
+
 def _has_defaults(schema: TableSchema) -> bool:
     return any(c.default is not None for c in schema.columns)
 
@@ -375,21 +388,6 @@ def _merge(
 ) -> None:
     base = store.table(table)
     parts = store.partition_by.get(table)
-    if parts:
-        touched = incoming.select(*parts).distinct()
-        listed = touched.limit(_TOUCHED_LIST_LIMIT + 1).collect()
-        if len(listed) <= _TOUCHED_LIST_LIMIT and len(parts) == 1:
-            base = base.filter(F.col(quoted(parts[0])).isin([r[0] for r in listed]))
-        else:
-            base = base.join(touched, parts, "left_semi").select(*[F.col(quoted(c)) for c in base.columns])
-        replace_partitions(store, table, upsert(base, incoming, plan.keys, null_keys, small, optional))
-        return
-    first_load = table_location(store, table).rstrip("/").endswith("/v0")
-    merged = (
-        as_rows(incoming, base, optional)
-        if first_load
-        else upsert(base, incoming, plan.keys, null_keys, small, optional)
-    )
     others = [c.name for c in plan.schema.columns if c.unique and [c.name] != plan.keys and c.name in base.columns]
 
     def unique(stored: DataFrame) -> None:
@@ -397,6 +395,22 @@ def _merge(
             if check_unique(stored, [name]).take(1):
                 raise IngestError(f"{table}: '{name}' is not unique")
 
+    if parts:
+        touched = incoming.select(*[F.col(quoted(p)).alias(f"touched_{i}") for i, p in enumerate(parts)]).distinct()
+        # A null partition is a partition like any other.
+        same = reduce(and_, [F.col(quoted(p)).eqNullSafe(F.col(f"touched_{i}")) for i, p in enumerate(parts)])
+        merged = upsert(base.join(touched, same, "left_semi"), incoming, plan.keys, null_keys, small, optional)
+        if others:
+            rest = base.join(touched, same, "left_anti")
+            unique(merged.select(*others).unionByName(rest.select(*others)))
+        replace_partitions(store, table, merged)
+        return
+    first_load = table_location(store, table).rstrip("/").endswith("/v0") and base.isEmpty()
+    merged = (
+        as_rows(incoming, base, optional)
+        if first_load
+        else upsert(base, incoming, plan.keys, null_keys, small, optional)
+    )
     replace_table(store, table, merged, plan.keys, check=unique if others else None)
 
 

@@ -19,7 +19,8 @@ LANDING_SCHEMA = "endpoint string, entity_id bigint, seq bigint, body string"
 _BLANKS = " \t\r\n"
 # Bodies that hold nothing: an empty object, null, false, zero, empty text.
 _FALSY = r'^(\{\s*\}|null|false|-?0(\.0*)?([eE][+-]?\d+)?|"")$'
-_LONGEST_FALSY = 256
+# A variant holds no more; a larger body parses to null.
+_LARGEST_BODY = 128 << 20
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -27,7 +28,7 @@ def read_landing(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
 
     ``parquet`` and ``json`` hold landing rows as they are. ``files`` holds one
     body per file at ``<endpoint path>/<seq>.json``; a path segment that is a
-    number is the entity id. Parquet is the layout for large volumes: columns
+    number is the entity id, and a file name without digits has no ``seq``. Parquet is the layout for large volumes: columns
     are pruned and ``endpoint`` filters reach the scan.
     """
     if fmt == "files":
@@ -39,7 +40,7 @@ def read_landing(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
         return text.select(
             F.regexp_replace(folder, r"(^|/)\d+(?=/|$)", r"$1{id}").alias("endpoint"),
             F.nullif(F.regexp_extract(folder, r"(?:^|/)(\d+)(?:/|$)", 1), F.lit("")).cast("bigint").alias("entity_id"),
-            F.regexp_extract(inner, r"(\d+)\.[^./]*$", 1).cast("bigint").alias("seq"),
+            F.nullif(F.regexp_extract(inner, r"(\d+)\.[^./]*$", 1), F.lit("")).cast("bigint").alias("seq"),
             F.col("value").alias("body"),
         )
     return spark.read.schema(LANDING_SCHEMA).format(fmt).load(path)
@@ -98,9 +99,9 @@ def route_all(landing: DataFrame) -> DataFrame:
     # In an array, text after the document makes the parse fail or adds an element.
     parsed = landing.withColumn("whole", F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))))
     malformed = F.col("whole").isNull() | F.variant_get(F.col("whole"), "$[1]", "variant").isNotNull()
-    falsy = (F.octet_length(body) <= _LONGEST_FALSY) & body.rlike(_FALSY)
+    falsy = body.rlike(_FALSY)
     problem = (
-        F.when(malformed, "malformed body")
+        F.when(malformed, F.when(F.octet_length(body) >= _LARGEST_BODY, "body too large").otherwise("malformed body"))
         .when(falsy, "empty response")
         .when(~(body.startswith("{") & body.endswith("}")), "not an object")
     )

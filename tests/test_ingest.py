@@ -75,7 +75,7 @@ def test_rejects(spark, store):
     assert ingest(store, data) == {"t": 1}
     assert tuples(store.table("t")) == [(1, 1)]
     assert tuples(spark.read.parquet(store.path("_rejects")), "pos", "problem") == [
-        (1, "does not fit: n"), (2, "null in id"),
+        (0, "malformed body"), (1, "does not fit: n"), (2, "null in id"),
     ]
     assert tuples(stage(data).rejects, "problem", "rejected_text") == [("malformed body", "{oops")]
     with pytest.raises(IngestError, match="does not fit: n"):
@@ -185,3 +185,33 @@ def test_hot_parent(spark, store):
     options = Options(endpoints=(Endpoint("r/{id}", parent_column="parent"),))
     assert ingest(store, land(spark, *data), options, init=True) == {"t": 900}
     assert store.table("t").count() == 900
+
+
+def test_field_of_a_later_response_is_stored(spark, store):
+    data = land(spark, ("x", '{"t":[{"id":1,"a":1}]}'), ("x", '{"t":[{"id":2,"a":2,"b":3}]}'))
+    ingest(store, data, init=True)
+    assert tuples(store.table("t"), "id", "a", "b") == [(1, 1, None), (2, 2, 3)]
+
+
+def test_rejects_of_many_tables_and_bodies_are_kept(spark, store):
+    good = "{" + ",".join(f'"t{i}":[{{"id":1,"n":1}}]' for i in range(6)) + "}"
+    ingest(store, land(spark, ("x", good)), init=True)
+    bad = "{" + ",".join(f'"t{i}":[{{"id":2,"n":"bad"}}]' for i in range(6)) + "}"
+    ingest(store, land(spark, ("x", bad), ("x", "{oops")))
+    kept = spark.read.parquet(store.path("_rejects"))
+    assert sorted(r.problem for r in kept.collect() if r.problem == "malformed body") == ["malformed body"]
+    assert {r.table_name for r in kept.collect() if r.problem != "malformed body"} == {f"t{i}" for i in range(6)}
+
+
+def test_rows_stored_before_the_first_ingest_stay(spark, store):
+    data = land(spark, ("x", '{"t":[{"id":1,"a":1}]}'))
+    init_tables(store, data)
+    spark.sql(f"INSERT INTO {store.qualify('t')} SELECT 9 AS id, 9 AS a")
+    ingest(store, data)
+    assert tuples(store.table("t"), "id", "a") == [(1, 1), (9, 9)]
+
+
+def test_integers_round_once(spark, store):
+    ingest(store, land(spark, ("x", '{"t":[{"id":1,"n":1}]}')), init=True)
+    ingest(store, land(spark, ("x", '{"t":[{"id":2,"n":1.4999999999},{"id":3,"n":"1.4999999999"},{"id":4,"n":2.5}]}')))
+    assert tuples(store.table("t"), "id", "n") == [(1, 1), (2, 1), (3, 1), (4, 2)]
