@@ -65,18 +65,24 @@ class Options:
     the table (``evolve``), or an error (``fail``). ``missing``: a field that a
     record lacks leaves the stored value (``null``) or is an error (``fail``).
     ``rejects``: bad bodies and values are kept aside (``keep``) or an error
-    (``fail``). ``faithful`` keys fan-out tables by ``id`` alone.
+    (``fail``). ``wide_parents`` stores parent ids as BIGINT; as INTEGER, an id
+    that does not fit is a reject. ``faithful`` keys fan-out tables by ``id`` alone.
     """
 
     endpoints: Sequence[Endpoint] = ENDPOINTS
     keys: Mapping[str, object] = field(default_factory=lambda: dict(TABLE_KEYS))
     long_ints: bool = False
+    wide_parents: bool = False
     faithful: bool = False
     extra: str = "ignore"
     missing: str = "null"
     rejects: str = "keep"
     infer: Mapping[str, bool] = field(default_factory=dict)
 
+    @property
+    def parent_type(self) -> str:
+        return "BIGINT" if self.wide_parents else "INTEGER"
+
     def endpoint(self, path: str) -> Endpoint:
         path = path.rstrip("/")
         return next((e for e in self.endpoints if e.path.rstrip("/") == path), Endpoint(path))
@@ -188,7 +194,7 @@ def _plan(store: Store, staged: Staged, options: Options) -> BatchPlan:
         if parent:
             parents[table] = parent
     keymap = key_map(spark, options.keys)
-    columns = apply_key_map(add_parents(resolved, parents, "BIGINT" if options.long_ints else "INTEGER"), keymap)
+    columns = apply_key_map(add_parents(resolved, parents, options.parent_type), keymap)
     columns = local_frame(spark, columns.collect(), columns.schema)
     keys = {
         r["table_name"]: r
@@ -304,7 +310,7 @@ def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Option
     single = options.keys.get(table) == "singleton" or schema.table_key == SINGLETON
     injected = [plan.parent] if plan.parent else []
     if plan.parent and plan.parent not in store.table(table).columns:
-        evolve_table(store, table, [TableColumn(plan.parent, "BIGINT" if options.long_ints else "INTEGER")])
+        evolve_table(store, table, [TableColumn(plan.parent, options.parent_type)])
     stored = {c.lower() for c in store.table(table).columns}
     made = {*injected, *(["id"] if single else [])}
     columns = [
