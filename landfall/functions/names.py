@@ -7,8 +7,16 @@ from pyspark.sql import functions as F
 
 
 def table_name_col(prefix: Column, key: Column) -> Column:
-    """``prefix_key``, or ``key`` where there is no prefix; ``-`` becomes ``_``."""
-    return F.translate(F.concat_ws("_", F.nullif(prefix, F.lit("")), key), "-", "_")
+    """``prefix_key``, or ``key`` where there is no prefix; ``-`` becomes ``_``.
+
+    A name with other characters than letters, digits and ``_``, which no
+    catalog takes, has them replaced and the name's checksum added, so that it
+    does not fall together with another.
+    """
+    name = F.translate(F.concat_ws("_", F.nullif(prefix, F.lit("")), key), "-", "_")
+    checksum = F.lpad(F.lower(F.hex(F.crc32(name))), 8, "0")
+    odd = F.concat_ws("_", F.regexp_replace(name, "[^A-Za-z0-9_]", "_"), checksum)
+    return F.when(name.rlike("^$|[^A-Za-z0-9_]"), odd).otherwise(name)
 
 
 def response_key_col(table: Column, prefix: Column) -> Column:

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landfall.functions.names import quoted
+
 
 def _all_set(columns: list[str]):
     result = F.lit(True)
     for c in columns:
-        result = result & F.col(c).isNotNull()
+        result = result & F.col(quoted(c)).isNotNull()
     return result
 
 
@@ -17,7 +19,7 @@ def check_unique(df: DataFrame, columns: list[str]) -> DataFrame:
     """Key values held by more than one row. Null keys are all distinct."""
     return (
         df.filter(_all_set(columns))
-        .groupBy(*columns)
+        .groupBy(*map(quoted, columns))
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
     )
@@ -25,7 +27,7 @@ def check_unique(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def check_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     """Number of nulls in each column, in one pass: (column, n_null)."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    counts = df.agg(*[F.count_if(F.col(quoted(c)).isNull()).alias(c) for c in columns])
     return counts.unpivot([], columns, "column", "n_null")
 
 
@@ -34,7 +36,7 @@ def check_primary_key(df: DataFrame, columns: list[str]) -> DataFrame:
     duplicated = check_unique(df, columns).withColumn("problem", F.lit("duplicate key"))
     nulls = (
         df.filter(~_all_set(columns))
-        .groupBy(*columns)
+        .groupBy(*map(quoted, columns))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("problem", F.lit("null key"))
     )
@@ -50,8 +52,8 @@ def check_foreign_key(
     that a hot reference is one row per task in the shuffle. With ``rows`` the
     offending child rows themselves; there run-time skew splitting serves.
     """
-    parents = parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull())
-    present = child.filter(F.col(column).isNotNull())
+    parents = parent.select(F.col(quoted(parent_column)).alias(column)).filter(F.col(quoted(column)).isNotNull())
+    present = child.filter(F.col(quoted(column)).isNotNull())
     if not rows:
-        present = present.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+        present = present.groupBy(quoted(column)).agg(F.count(F.lit(1)).alias("n"))
     return present.join(parents, column, "left_anti")

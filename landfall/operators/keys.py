@@ -130,9 +130,9 @@ def detect_keys(columns: DataFrame, keymap: DataFrame, parents: Mapping[str, str
     )
 
 
-def first_rows(rows: DataFrame) -> DataFrame:
+def first_rows(rows: DataFrame, id_column: str = "id") -> DataFrame:
     """The first record of each response, with ``id`` 1 whatever it held."""
-    return rows.filter(F.col("pos") == 0).withColumn("id", F.lit(1))
+    return rows.filter(F.col("pos") == 0).withColumn(id_column, F.lit(1))
 
 
 def as_singleton(rows: DataFrame, group: Sequence[str] = ()) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _TASK = ["run_id", "task"]
@@ -22,20 +22,25 @@ def run_summary(events: DataFrame) -> DataFrame:
     )
 
 
-def latest_state(events: DataFrame, order: Sequence[str] = ("time",)) -> DataFrame:
-    """The last event of each task in a run."""
+def _order(events: DataFrame, order: Sequence[str] | None) -> Column:
+    """By time, and by number where the log has one."""
+    return F.struct(*(order or [c for c in ("time", "number") if c in events.columns]))
+
+
+def latest_state(events: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    """The last event of each task in a run, by time and number unless ``order`` is given."""
     rest = [c for c in events.columns if c not in _TASK]
-    last = F.max_by(F.struct(*rest), F.struct(*order))
+    last = F.max_by(F.struct(*rest), _order(events, order))
     return events.groupBy(*_TASK).agg(last.alias("s")).select(*_TASK, "s.*")
 
 
-def progress(events: DataFrame, order: Sequence[str] = ("time",), known: DataFrame | None = None) -> DataFrame:
+def progress(events: DataFrame, order: Sequence[str] | None = None, known: DataFrame | None = None) -> DataFrame:
     """Latest progress of each task, with the percentage to one decimal.
 
     ``current_id`` is the last one given. With ``known``, rows of (run_id,
     task), progress of other tasks is ignored.
     """
-    position = F.struct(*order)
+    position = _order(events, order)
     given = F.col("current_id").isNotNull()
     latest = events.filter(F.col("current").isNotNull()).groupBy(*_TASK).agg(
         F.max_by(F.struct("current", "total"), position).alias("s"),
@@ -65,7 +70,7 @@ def task_durations(events: DataFrame) -> DataFrame:
     )
 
 
-def failures(events: DataFrame, order: Sequence[str] = ("time",)) -> DataFrame:
+def failures(events: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """The last failure of each task in a run, with its error text."""
     failed = events.filter(F.col("status") == "failed")
     return latest_state(failed, order)

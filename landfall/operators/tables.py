@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.functions.names import quoted
@@ -36,6 +36,13 @@ class TableColumn:
     def spark_type(self) -> str:
         return SPARK_TYPES.get(self.data_type, "string")
 
+    @property
+    def ddl(self) -> str:
+        """The column in a CREATE TABLE statement."""
+        null = "" if self.nullable else " NOT NULL"
+        default = "" if self.default is None else f" DEFAULT {self.default}"
+        return f"{quoted(self.name)} {self.spark_type.upper()}{null}{default}"
+
 
 @dataclass(frozen=True)
 class TableSchema:
@@ -129,14 +136,6 @@ def create_table(
     ingest and the checks do.
     """
     name = schema.table_name
-    lines = []
-    for c in schema.columns:
-        parts = [quoted(c.name), c.spark_type.upper()]
-        if not c.nullable:
-            parts.append("NOT NULL")
-        if c.default is not None:
-            parts.append(f"DEFAULT {c.default}")
-        lines.append(" ".join(parts))
     properties = {
         "primary_key": ", ".join(schema.primary_key),
         "unique": ", ".join(c.name for c in schema.columns if c.unique),
@@ -148,7 +147,7 @@ def create_table(
         part
         for part in [
             f"CREATE TABLE {'IF NOT EXISTS ' if if_not_exists else ''}{store.qualify(name)} (",
-            "  " + ",\n  ".join(lines),
+            "  " + ",\n  ".join(c.ddl for c in schema.columns),
             ") USING parquet",
             _layout(store, name, keys or schema.primary_key),
             f"LOCATION {_literal(store.path(name, 'v0'))}",
@@ -181,11 +180,9 @@ def evolve_table(store: Store, name: str, columns: Sequence[TableColumn]) -> lis
     return [c.name for c in new]
 
 
-def apply_defaults(incoming: DataFrame, schema: TableSchema) -> DataFrame:
-    """Give columns the batch does not have their default, for inserted rows."""
-    lacking = {c.name: F.expr(c.default).cast(c.spark_type) for c in schema.columns
-               if c.default is not None and c.name not in incoming.columns}
-    return incoming.withColumns(lacking) if lacking else incoming
+def column_defaults(schema: TableSchema) -> dict[str, Column]:
+    """What inserted rows get in columns they lack; a matched row keeps its value."""
+    return {c.name: F.expr(c.default).cast(c.spark_type) for c in schema.columns if c.default is not None}
 
 
 def table_location(store: Store, name: str) -> str:
@@ -271,7 +268,7 @@ def snapshot_table(store: Store, name: str, when: datetime | None = None, folder
 
 
 __all__ = [
-    "Store", "TableColumn", "TableSchema", "apply_defaults", "create_table", "drop_old_versions", "evolve_table",
+    "Store", "TableColumn", "TableSchema", "column_defaults", "create_table", "drop_old_versions", "evolve_table",
     "path_exists", "replace_partitions", "replace_table", "snapshot_table", "table_exists", "table_location",
     "table_schemas",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,12 +14,17 @@ from landfall.functions.values import SPARK_TYPES, cast_value, usual_value, valu
 ORDER = ["seq", "entity_id", "pos"]
 
 
-def cast_record(records: DataFrame, columns: Sequence[tuple[str, str]], carried: Sequence[str] = ()) -> DataFrame:
+def cast_record(
+    records: DataFrame, columns: Sequence[tuple[str, str]], carried: Sequence[str] = (),
+    aliases: Sequence[str] | None = None,
+) -> DataFrame:
     """Records as typed columns, with what could not be stored.
 
-    ``columns`` is ``(name, storage type)`` pairs. Adds ``problems``, the names
-    of the columns whose value does not fit, and ``found``, the names present
-    in the record, where a JSON null is present. ``found`` is null where all
+    ``columns`` is ``(name, storage type)`` pairs. ``aliases`` names the typed
+    columns, where fields may be called like one of our own; by default they
+    bear the names of the fields. Adds ``problems``, the names of the fields
+    whose value does not fit, and ``found``, the typed columns present in the
+    record, where a JSON null is present. ``found`` is null where all
     are, and ``problems`` may be null where there are none: the common case
     then costs nothing. Nested values become compact JSON.
 
@@ -29,6 +34,7 @@ def cast_record(records: DataFrame, columns: Sequence[tuple[str, str]], carried:
     to be compiled however many columns there are.
     """
     names = [n for n, _ in columns]
+    aliases = names if aliases is None else list(aliases)
     usual = records.select(
         *carried, "record",
         *[usual_value(F.col("record"), variant_path(n), t).alias(f"u{i}") for i, (n, t) in enumerate(columns)],
@@ -37,20 +43,20 @@ def cast_record(records: DataFrame, columns: Sequence[tuple[str, str]], carried:
         F.col(f"u{i}").isNotNull() | F.is_variant_null(F.variant_get(F.col("record"), variant_path(n), "variant"))
         for i, n in enumerate(names)
     ]
-    full = F.when(~F.coalesce(_all(clear), F.lit(False)), _full_cast(F.col("record"), columns))
+    full = F.when(~F.coalesce(_all(clear), F.lit(False)), _full_cast(F.col("record"), columns, aliases))
     done = usual.withColumn("full", full)
     return done.select(
         *carried,
         *[
             F.when(F.col("full").isNull(), F.col(f"u{i}")).otherwise(F.col("full")[f"c{i}"]).alias(n)
-            for i, n in enumerate(names)
+            for i, n in enumerate(aliases)
         ],
         F.col("full")["problems"].alias("problems"),
         F.col("full")["found"].alias("found"),
     )
 
 
-def _full_cast(record: Column, columns: Sequence[tuple[str, str]]) -> Column:
+def _full_cast(record: Column, columns: Sequence[tuple[str, str]], aliases: Sequence[str]) -> Column:
     """Struct of all columns by the full rules, with problems and found."""
     names = [n for n, _ in columns]
     n = range(len(columns))
@@ -71,7 +77,7 @@ def _full_cast(record: Column, columns: Sequence[tuple[str, str]]) -> Column:
         *[x[f"c{i}"].alias(f"c{i}") for i in n],
         _names_where([x[f"c{i}"].isNull() & (x[f"k{i}"] != "VOID") for i in n], names).alias("problems"),
         F.when(
-            ~_all([x[f"k{i}"].isNotNull() for i in n]), _names_where([x[f"k{i}"].isNotNull() for i in n], names)
+            ~_all([x[f"k{i}"].isNotNull() for i in n]), _names_where([x[f"k{i}"].isNotNull() for i in n], aliases)
         ).alias("found"),
     )
     steps = F.array(record)
@@ -98,14 +104,17 @@ def project_records(
     columns: Sequence[tuple[str, str]],
     missing: str = "null",
     carried: Sequence[str] = ("endpoint", "entity_id", "seq", "pos"),
+    aliases: Sequence[str] | None = None,
 ) -> DataFrame:
     """Records as rows of the column list; fields outside it are dropped.
 
     ``missing`` says what a field that a record lacks means: ``null``, or
     ``fail`` to mark the row as a reject. A row with ``problem`` set is one.
+    ``aliases`` as in ``cast_record``.
     """
-    rows = cast_record(records, columns, carried)
-    lacking = F.array_except(F.array(*[F.lit(n) for n, _ in columns]), F.col("found"))
+    rows = cast_record(records, columns, carried, aliases)
+    shown = aliases or [n for n, _ in columns]
+    lacking = _names_where([~is_found("found", a) for a in shown], [n for n, _ in columns])
     problem = F.when(F.size("problems") > 0, F.concat(F.lit("does not fit: "), F.array_join("problems", ", ")))
     problem = problem.when(F.col("found").isNotNull() & (F.size("found") == 0), F.lit("no known field"))
     if missing == "fail":
@@ -158,14 +167,18 @@ def last_wins(
     ).drop(*spread)
 
 
-def as_rows(incoming: DataFrame, base: DataFrame, optional: Sequence[str] = ()) -> DataFrame:
-    """Incoming rows in the columns of ``base``, null in those they lack."""
+def as_rows(
+    incoming: DataFrame, base: DataFrame, optional: Sequence[str] = (), defaults: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Incoming rows in the columns of ``base``; the default, or null, in those they lack."""
+    defaults = defaults or {}
 
     def value(field) -> Column:
+        default = defaults.get(field.name, F.lit(None)).cast(field.dataType)
         if field.name not in incoming.columns:
-            return F.lit(None).cast(field.dataType)
+            return default
         column = F.col(quoted(field.name))
-        return column["v"] if field.name in optional else column
+        return F.when(column.isNotNull(), column["v"]).otherwise(default) if field.name in optional else column
 
     return incoming.select(*[value(f).alias(f.name) for f in base.schema.fields])
 
@@ -177,48 +190,61 @@ def upsert(
     null_keys: bool = True,
     small: bool = False,
     optional: Sequence[str] = (),
+    defaults: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """``base`` after ``incoming``, which holds each set key at most once.
 
     On a key match only the incoming columns are replaced, by null too;
-    otherwise the row is inserted, with null in columns it lacks. Rows with a
-    null key match nothing. Columns in ``optional`` are structs ``{v}`` where a
-    null struct leaves the old value.
+    otherwise the row is inserted, with the default, or null, in columns it
+    lacks. Rows with a null key match nothing. Columns in ``optional`` are
+    structs ``{v}`` where a null struct leaves the old value.
 
     The general plan is one full outer join on the keys. ``small`` says the
     caller has measured ``incoming`` as fit to broadcast; then ``base`` is
-    neither shuffled nor sorted.
+    neither shuffled nor sorted. Columns may have any name: the join works
+    with ``k``, ``o`` and ``n`` and a number for keys, old and new values.
     """
-    keys = list(keys)
+    keys, defaults = list(keys), defaults or {}
     columns = base.columns
     sent = [c for c in columns if c in incoming.columns and c not in keys]
     kept = [c for c in columns if c not in incoming.columns]
+    on = [f"k{i}" for i in range(len(keys))]
     key_cols = [F.col(quoted(k)) for k in keys]
+    named_keys = [c.alias(k) for c, k in zip(key_cols, on, strict=True)]
+    at = {c: i for i, c in enumerate(columns)}
 
-    new = incoming.select(*key_cols, *[F.col(quoted(c)).alias(f"_new_{c}") for c in sent], F.lit(1).alias("_in"))
+    old = base.select(
+        *named_keys, *[F.col(quoted(c)).alias(f"o{i}") for c, i in at.items() if c not in keys], F.lit(1).alias("stored")
+    )
+    new = incoming.select(*named_keys, *[F.col(quoted(c)).alias(f"n{at[c]}") for c in sent], F.lit(1).alias("arrives"))
 
     def value(name: str) -> Column:
-        arrived, old = F.col(quoted(f"_new_{name}")), F.col(quoted(name))
+        if name in keys:
+            return F.col(on[keys.index(name)])
+        rest = F.col(f"o{at[name]}")
+        if name in defaults:
+            rest = F.when(F.col("stored").isNull(), defaults[name].cast(base.schema[name].dataType)).otherwise(rest)
+        if name in kept:
+            return rest
+        arrived = F.col(f"n{at[name]}")
         if name in optional:
-            return F.when(arrived.isNotNull(), arrived["v"]).otherwise(old)
-        return F.when(F.col("_in") == 1, arrived).otherwise(old)
+            return F.when(arrived.isNotNull(), arrived["v"]).otherwise(rest)
+        return F.when(F.col("arrives") == 1, arrived).otherwise(rest)
 
-    merged = [F.col(quoted(c)) if c in keys or c in kept else value(c).alias(c) for c in columns]
+    merged = [value(c).alias(c) for c in columns]
 
     if small:
         if not kept and not optional:
             # Every column arrives: matched rows are simply replaced.
-            old = base.join(F.broadcast(incoming.select(*key_cols)), keys, "left_anti")
-            return old.select(*[F.col(quoted(c)) for c in columns]).unionByName(as_rows(incoming, base))
-        updated = base.join(F.broadcast(new), keys, "left").select(*merged)
+            rest = base.join(F.broadcast(incoming.select(*key_cols)), keys, "left_anti")
+            return rest.select(*[F.col(quoted(c)) for c in columns]).unionByName(as_rows(incoming, base))
+        updated = old.join(F.broadcast(new), on, "left").select(*merged)
         matched = base.select(*key_cols).join(F.broadcast(incoming.select(*key_cols)), keys, "left_semi")
-        return updated.unionByName(as_rows(incoming.join(matched, keys, "left_anti"), base, optional))
+        return updated.unionByName(as_rows(incoming.join(matched, keys, "left_anti"), base, optional, defaults))
 
-    on = list(keys)
-    old = base
     if null_keys:
         # Equal numbers for set keys; negative against positive for null ones.
-        old = _spread_null_keys(base, keys, "_spread")
-        new = _spread_null_keys(new, keys, "_spread").withColumn("_spread", -F.col("_spread"))
-        on = [*keys, "_spread"]
+        old = _spread_null_keys(old, on, "spread")
+        new = _spread_null_keys(new, on, "spread").withColumn("spread", -F.col("spread"))
+        on = [*on, "spread"]
     return old.join(new, on, "full_outer").select(*merged)

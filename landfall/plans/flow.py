@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -31,7 +31,7 @@ from landfall.operators.tables import (
     Store,
     TableColumn,
     TableSchema,
-    apply_defaults,
+    column_defaults,
     create_table,
     evolve_table,
     replace_partitions,
@@ -96,6 +96,7 @@ class Staged:
     rejects: DataFrame
     inferred: DataFrame
     columns: list
+    unusable: list = field(default_factory=list)
 
     @property
     def tables(self) -> list[str]:
@@ -135,9 +136,24 @@ def stage(landing: DataFrame, options: Options = Options()) -> Staged:
         "endpoint", "entity_id", "seq", "table_name", "pos", "problem", "rejected_text"
     )
     found = infer_with_heads(good, **{"every_response": True, **options.infer}).collect()
-    columns = _in_text_order(landing, [r.asDict() for r in found])
+    columns, unusable = _usable(_in_text_order(landing, [r.asDict() for r in found]))
     rows = [tuple(c[n] for n in _names(_COLUMN_SCHEMA)) for c in columns]
-    return Staged(good, bad, local_frame(spark, rows, _COLUMN_SCHEMA), columns)
+    return Staged(good, bad, local_frame(spark, rows, _COLUMN_SCHEMA), columns, unusable)
+
+
+def _usable(columns: list[dict]) -> tuple[list[dict], list[dict]]:
+    """Columns a table can have, and those it cannot.
+
+    Column names do not differ in case alone: the first one in order is the
+    column. A name with both quote signs has no path in a record.
+    """
+    seen, good, bad = set(), [], []
+    for c in sorted(columns, key=lambda c: (c["table_name"], c["ordinal"])):
+        name = (c["table_name"], c["name"].lower())
+        fits = name not in seen and not {'"', "'"} <= set(c["name"])
+        seen.add(name)
+        (good if fits else bad).append(c)
+    return good, bad
 
 
 def _in_text_order(landing: DataFrame, columns: list[dict]) -> list[dict]:
@@ -184,6 +200,10 @@ class BatchPlan:
 def _plan(store: Store, staged: Staged, options: Options) -> BatchPlan:
     """Schema, keys and parent of every table of the batch; metadata only."""
     spark = store.spark
+    alike = {t.lower(): t for t in staged.tables}
+    for table in staged.tables:
+        if alike[table.lower()] != table:
+            raise IngestError(f"tables '{table}' and '{alike[table.lower()]}' differ in case only")
     registry = load_registry(spark, store.registry_path)
     registry = local_frame(spark, registry.collect(), registry.schema)
     mapped = map_types(staged.inferred, options.long_ints)
@@ -261,6 +281,8 @@ def ingest(
     batch_id = uuid.uuid4().hex
     if options.rejects != "fail" and not staged.rejects.isEmpty():
         _keep_rejects(store, batch_id, "responses", staged.rejects)
+    if staged.unusable:
+        _log_unusable(store, staged, options)
     if options.missing == "fail":
         _refuse_missing(staged)
     if len(created) < len(batch.tables):
@@ -272,6 +294,16 @@ def ingest(
     return {plan.schema.table_name: n for plan, n in zip(plans, counts, strict=True)}
 
 
+def _log_unusable(store: Store, staged: Staged, options: Options) -> None:
+    """Fields that no column can hold are logged, or an error."""
+    if options.extra == "fail":
+        c = staged.unusable[0]
+        raise IngestError(f"{c['table_name']}: no column can be called '{c['name']}'")
+    rows = [(c["endpoint"], c["table_name"], "unusable_name", c["name"]) for c in staged.unusable]
+    events = local_frame(store.spark, rows, "endpoint string, table string, event string, column string")
+    append_discovery(events.coalesce(1), store.discovery_path)
+
+
 def _refuse_missing(staged: Staged) -> None:
     """Every record of a response must have the fields of its first one."""
     lacking = infer_record_schema(staged.records, per_response=True).filter("n_present < n_records").take(1)
@@ -318,20 +350,25 @@ def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Option
     ]
 
     records = staged.records.filter(F.col("table_name") == table)
-    rows = project_records(records, [(c.name, c.data_type) for c in columns])
+    # A field may be called like one of our own columns: the batch is known as c0, c1, ... until it is staged.
+    names = [c.name for c in schema.columns if c.name in {*made, *(c.name for c in columns)}]
+    own = {n: f"c{i}" for i, n in enumerate(names)}
+    if not set(plan.keys) <= set(own):
+        raise IngestError(f"{table}: the batch has no {', '.join(sorted(set(plan.keys) - set(own)))}")
+    keys = [own[k] for k in plan.keys]
+    rows = project_records(records, [(c.name, c.data_type) for c in columns], aliases=[own[c.name] for c in columns])
     if plan.parent:
         spark_type = next((c.spark_type for c in schema.columns if c.name == plan.parent), "int")
-        rows = inject_columns(rows, {plan.parent: F.col("entity_id").try_cast(spark_type)})
-        unfit = F.col("entity_id").isNotNull() & F.col(quoted(plan.parent)).isNull()
+        rows = inject_columns(rows, {own[plan.parent]: F.col("entity_id").try_cast(spark_type)})
+        unfit = F.col("entity_id").isNotNull() & F.col(own[plan.parent]).isNull()
         rows = rows.withColumn("problem", F.coalesce("problem", F.when(unfit, f"{plan.parent} does not fit")))
     if single:
-        rows = first_rows(rows)
-    names = [c.name for c in schema.columns if c.name in {*made, *(c.name for c in columns)}]
+        rows = first_rows(rows, own["id"])
     required = {c.name for c in schema.columns if not c.nullable or c.primary_key} & set(names)
     required |= set(plan.keys) if plan.is_primary else set()
     problem = F.col("problem")
     for name in sorted(required):
-        problem = F.coalesce(problem, F.when(F.col(quoted(name)).isNull(), F.lit(f"null in {name}")))
+        problem = F.coalesce(problem, F.when(F.col(own[name]).isNull(), F.lit(f"null in {name}")))
     rows = rows.withColumn("problem", problem)
 
     # One pass checks, counts and reduces the batch; nothing is stored before it is whole.
@@ -344,15 +381,13 @@ def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Option
     uniform = all(arrived[c.name]["n_present"] == arrived[c.name]["n_records"] for c in columns)
     found = None if uniform else "found"
     if found:
-        always = F.array(*[F.lit(n) for n in sorted(made)]).cast("array<string>")
+        always = F.array(*[F.lit(own[n]) for n in names if n in made]).cast("array<string>")
         good = good.withColumn("found", F.array_union("found", always))
-    order = [c for c in ORDER if c not in names]
     reduced = last_wins(
-        good.select(*[F.col(quoted(n)) for n in names], *order, *([found] if found else [])),
-        plan.keys, order, null_keys=null_keys, found=found,
+        good.select(*own.values(), *ORDER, *([found] if found else [])), keys, ORDER, null_keys=null_keys, found=found
     )
     path = shared_dir(spark, f"batch-{table}")
-    reduced.drop(*order).write.parquet(path)
+    reduced.drop(*ORDER).write.parquet(path)
     counts = seen.get
     if counts["n_bad"]:
         bad = rows.filter(F.col("problem").isNotNull())
@@ -363,7 +398,7 @@ def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Option
             "table_name": F.lit(table), "rejected_text": F.lit(None).cast("string"),
         }))
 
-    incoming = apply_defaults(spark.read.parquet(path), schema) if _has_defaults(schema) else spark.read.parquet(path)
+    incoming = spark.read.parquet(path).select(*[F.col(c).alias(n) for n, c in own.items()])
     optional = [n for n in names if n not in plan.keys] if found else []
     _merge(store, table, incoming, plan, null_keys, optional, _fits_broadcast(spark, path))
     return counts["n"] - counts["n_bad"]
@@ -375,10 +410,6 @@ def _keep_rejects(store: Store, batch_id: str, part: str, bad: DataFrame) -> Non
     rows.write.mode("overwrite").parquet(f"{store.path('_rejects')}/batch={batch_id}/part={part}")
 
 
-def _has_defaults(schema: TableSchema) -> bool:
-    return any(c.default is not None for c in schema.columns)
-
-
 def _fits_broadcast(spark: SparkSession, path: str) -> bool:
     """Whether a staged batch, by its size on disk, is below Spark's own limit."""
     limit = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
@@ -392,7 +423,7 @@ def _fits_broadcast(spark: SparkSession, path: str) -> bool:
 def _merge(
     store: Store, table: str, incoming: DataFrame, plan: TablePlan, null_keys: bool, optional: list[str], small: bool
 ) -> None:
-    base = store.table(table)
+    base, defaults = store.table(table), column_defaults(plan.schema)
     parts = store.partition_by.get(table)
     others = [c.name for c in plan.schema.columns if c.unique and [c.name] != plan.keys and c.name in base.columns]
 
@@ -405,7 +436,7 @@ def _merge(
         touched = incoming.select(*[F.col(quoted(p)).alias(f"touched_{i}") for i, p in enumerate(parts)]).distinct()
         # A null partition is a partition like any other.
         same = reduce(and_, [F.col(quoted(p)).eqNullSafe(F.col(f"touched_{i}")) for i, p in enumerate(parts)])
-        merged = upsert(base.join(touched, same, "left_semi"), incoming, plan.keys, null_keys, small, optional)
+        merged = upsert(base.join(touched, same, "left_semi"), incoming, plan.keys, null_keys, small, optional, defaults)
         if others:
             rest = base.join(touched, same, "left_anti")
             unique(merged.select(*others).unionByName(rest.select(*others)))
@@ -413,9 +444,9 @@ def _merge(
         return
     first_load = table_location(store, table).rstrip("/").endswith("/v0") and base.isEmpty()
     merged = (
-        as_rows(incoming, base, optional)
+        as_rows(incoming, base, optional, defaults)
         if first_load
-        else upsert(base, incoming, plan.keys, null_keys, small, optional)
+        else upsert(base, incoming, plan.keys, null_keys, small, optional, defaults)
     )
     replace_table(store, table, merged, plan.keys, check=unique if others else None)
 
@@ -430,37 +461,57 @@ def ingest_fanout(
 ) -> dict[str, int]:
     """Ingest the responses of a parameterised endpoint, all parents in one go.
 
-    ``landing`` holds one endpoint. Only responses of ``parent_ids`` count, by
-    default the ids in the endpoint's parent table; ``max_ids`` takes the first
-    ids in order.
+    ``landing`` may hold several endpoints. Only responses of ``parent_ids``
+    count, by default the ids in the parent table of their own endpoint;
+    ``max_ids`` takes the first ids of each in order.
     """
-    if parent_ids is None:
-        path = landing.select("endpoint").first()
-        endpoint = options.endpoint(path["endpoint"]) if path else None
-        if endpoint is None or endpoint.parent_table is None:
-            raise IngestError("no parent table is known for this endpoint")
-        parent_ids = store.table(endpoint.parent_table).select(endpoint.parent_key)
-    ids = capped_ids(parent_ids, parent_ids.columns[0], max_ids) if max_ids else parent_ids
-    ids = ids.select(F.col(quoted(ids.columns[0])).cast("bigint").alias("entity_id"))
-    return ingest(store, landing.join(ids, "entity_id", "left_semi"), options, init=init)
+
+    def ids_of(parents: DataFrame) -> DataFrame:
+        ids = capped_ids(parents, parents.columns[0], max_ids) if max_ids else parents
+        return ids.select(F.col(quoted(ids.columns[0])).cast("bigint").alias("entity_id"))
+
+    if parent_ids is not None:
+        return ingest(store, landing.join(ids_of(parent_ids), "entity_id", "left_semi"), options, init=init)
+    name = F.rtrim(F.trim("endpoint"), F.lit("/"))
+    paths = sorted(r[0] for r in landing.select(name).distinct().collect())  # endpoints are configuration
+    endpoints = [options.endpoint(path) for path in paths]
+    if not endpoints or any(e.parent_table is None for e in endpoints):
+        raise IngestError("no parent table is known for this endpoint")
+    known = [
+        ids_of(store.table(e.parent_table).select(quoted(e.parent_key))).withColumn("own_path", F.lit(path))
+        for path, e in zip(paths, endpoints, strict=True)
+    ]
+    wanted = landing.withColumn("own_path", name).join(reduce(DataFrame.union, known), ["own_path", "entity_id"], "left_semi")
+    return ingest(store, wanted.drop("own_path"), options, init=init)
 
 
 @contextmanager
-def logged_task(store: Store, run_id: str, task: str) -> Iterator[None]:
-    """Log start and end of a task with its duration, and the error if it fails."""
+def logged_task(store: Store, run_id: str, task: str) -> Iterator[Callable[..., None]]:
+    """Log start and end of a task with its duration, and the error if it fails.
+
+    Gives a function that logs progress: ``report(current, total, current_id)``.
+    """
 
-    def log(status: str, duration: float | None = None, error: str | None = None) -> None:
+    def log(
+        status: str, duration: float | None = None, error: str | None = None, current: int | None = None,
+        total: int | None = None, current_id: object = None,
+    ) -> None:
+        shown = None if current_id is None else str(current_id)
         row = local_frame(
             store.spark,
-            [(run_id, task, status, duration, error)],
-            "run_id string, task string, status string, duration_s double, error string",
+            [(run_id, task, status, time.time_ns(), duration, error, current, total, shown)],
+            "run_id string, task string, status string, number bigint, duration_s double, error string, "
+            "current bigint, total bigint, current_id string",
         )
         append_run_events(row.coalesce(1), store.run_log_path)
 
+    def report(current: int, total: int, current_id: object = None) -> None:
+        log("running", current=current, total=total, current_id=current_id)
+
     log("started")
     begun = time.time()
     try:
-        yield
+        yield report
     except Exception as e:
         log("failed", round(time.time() - begun, 1), str(e))
         raise

@@ -47,7 +47,7 @@ from landfall.operators import (
     task_durations,
     upsert,
 )
-from landfall.operators.tables import apply_defaults, replace_table
+from landfall.operators.tables import column_defaults, replace_table
 from landfall.plans.flow import Options, ingest, ingest_fanout, init_tables
 from landfall.plans.samples import (
     ENDPOINTS,
@@ -455,7 +455,9 @@ def K9_column_default(spark, sf):
     store = new_store(spark)
     create_table(store, schema, execute=True)
     batch = load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    replace_table(store, "orders", upsert(store.table("orders"), apply_defaults(batch, schema), ["o_orderkey"], False))
+    replace_table(store, "orders", upsert(
+        store.table("orders"), batch, ["o_orderkey"], False, defaults=column_defaults(schema)
+    ))
     return store.table("orders")
 
 

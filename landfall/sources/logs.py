@@ -8,7 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RUN_SCHEMA = "run_id string, task string, status string, time timestamp, duration_s double, error string"
+RUN_SCHEMA = (
+    "run_id string, task string, status string, time timestamp, number bigint, duration_s double, error string, "
+    "current bigint, total bigint, current_id string"
+)
 DISCOVERY_SCHEMA = (
     "time timestamp, endpoint string, table string, event string, "
     "column string, type string, was string, now string"
@@ -26,7 +29,11 @@ def _append(events: DataFrame, schema: str, path: str) -> None:
 
 
 def append_run_events(events: DataFrame, path: str) -> None:
-    """Append task events: run_id, task, status, and duration_s or error."""
+    """Append task events: run_id, task, status, and duration_s or error.
+
+    Events of progress have current, total and current_id. ``number`` orders
+    events of equal time.
+    """
     _append(events, RUN_SCHEMA, path)
 
 
