@@ -75,6 +75,14 @@ _LINES = """
     FROM orders, (VALUES (0), (1)) AS t(n)
 """
 
+_PROGRESS = f"""
+        SELECT run_id, task, current, CAST(total AS BIGINT) AS total, round(current / total * 100, 1) AS pct, current_id
+        FROM (
+            SELECT run_id, task, arg_max(current, time) AS current, 9 AS total,
+                   arg_max(current_id, time) FILTER (current_id IS NOT NULL) AS current_id
+            FROM ({_RUNS}) WHERE current IS NOT NULL GROUP BY run_id, task
+        )"""
+
 ORACLES: dict[str, str] = {
     "L1_read_landing": """
         SELECT 'customer/{id}' AS endpoint, c_custkey AS entity_id, c_custkey AS seq, c_name AS name,
@@ -209,6 +217,10 @@ ORACLES: dict[str, str] = {
         SELECT o_orderkey, o_custkey FROM orders
         WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)""",
     "K9_column_default": "SELECT o_orderkey, o_totalprice, 'new' AS state FROM orders",
+    "K9_default_keeps_stored": """
+        SELECT o_orderkey, o_totalprice + 1 AS o_totalprice,
+               CASE WHEN o_orderkey % 2 = 0 THEN lower(o_orderstatus) ELSE 'new' END AS state
+        FROM orders""",
     "T1_create_table": "SELECT p_partkey AS id, p_name AS name, p_retailprice AS price FROM part",
     "T3_table_exists": "SELECT count(*) AS n, true AS parts, false AS absent FROM part",
     "T4_init_tables": """
@@ -279,6 +291,11 @@ ORACLES: dict[str, str] = {
         SELECT 'profile', c_custkey, c_custkey, CAST(NULL AS DOUBLE),
                CASE WHEN c_custkey % 2 = 0 THEN 'new ' ELSE '' END || c_mktsegment
         FROM customer""",
+    "U7_field_names": """
+        SELECT o_orderkey AS id, o_totalprice + CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS pos, o_custkey AS seq,
+               o_orderstatus AS endpoint, o_custkey % 7 AS entity_id, lower(o_orderstatus) AS found,
+               o_orderpriority AS problems, CASE WHEN o_orderkey % 4 = 2 THEN 'again' ELSE 'p' || o_custkey END AS problem
+        FROM orders""",
     "U8_ingest_simple": """
         SELECT 'orders' AS table_name, o_orderkey AS id, o_orderstatus AS status, o_totalprice AS price, o_orderdate AS dt
         FROM orders
@@ -295,6 +312,13 @@ ORACLES: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY id ORDER BY orderkey DESC) AS r
             FROM ({_LINES}) WHERE customer_id % 3 <> 0
         ) WHERE r = 1""",
+    "U9_two_endpoints": f"""
+        SELECT 'sales' AS kind, customer_id AS parent_id, id, price FROM (
+            SELECT *, row_number() OVER (PARTITION BY customer_id, id ORDER BY orderkey DESC) AS r
+            FROM ({_LINES}) WHERE customer_id % 3 <> 0 AND customer_id IN (SELECT c_custkey FROM customer)
+        ) WHERE r = 1
+        UNION ALL
+        SELECT 'notes', s_suppkey, 1, s_acctbal FROM supplier WHERE s_suppkey % 2 = 0""",
     "U9_partitioned": """
         SELECT o_orderkey AS id, o_totalprice + CASE WHEN o_custkey % 5 = 2 THEN 1 ELSE 0 END AS price,
                o_custkey % 5 AS region
@@ -314,13 +338,8 @@ ORACLES: dict[str, str] = {
         SELECT run_id, task, status, time, error FROM (
             SELECT *, row_number() OVER (PARTITION BY run_id, task ORDER BY time DESC) AS r FROM ({_RUNS})
         ) WHERE r = 1""",
-    "R3_progress": f"""
-        SELECT run_id, task, current, CAST(total AS BIGINT) AS total, round(current / total * 100, 1) AS pct, current_id
-        FROM (
-            SELECT run_id, task, arg_max(current, time) AS current, 9 AS total,
-                   arg_max(current_id, time) FILTER (current_id IS NOT NULL) AS current_id
-            FROM ({_RUNS}) WHERE current IS NOT NULL GROUP BY run_id, task
-        )""",
+    "R3_progress": _PROGRESS,
+    "R3_progress_from_log": _PROGRESS,
     "R4_task_durations": f"""
         SELECT run_id, task, status, round_even((epoch_us(ended) - epoch_us(begun)) / 1e6, 1) AS duration_s
         FROM (

@@ -48,6 +48,7 @@ from landfall.operators import (
     upsert,
 )
 from landfall.operators.tables import column_defaults, replace_table
+from landfall.plans.endpoints import Endpoint
 from landfall.plans.flow import Options, ingest, ingest_fanout, init_tables
 from landfall.plans.samples import (
     ENDPOINTS,
@@ -461,6 +462,26 @@ def K9_column_default(spark, sf):
     return store.table("orders")
 
 
+@query
+def K9_default_keeps_stored(spark, sf):
+    """Stored rows keep their value when a batch without the column meets them."""
+    schema = TableSchema("orders", (
+        TableColumn("o_orderkey", "BIGINT", False, True), TableColumn("o_totalprice", "DOUBLE"),
+        TableColumn("state", "TEXT", default="'new'"),
+    ))
+    store = new_store(spark)
+    create_table(store, schema, execute=True)
+    orders = load(spark, sf, "orders")
+    replace_table(store, "orders", orders.filter("o_orderkey % 2 = 0").select(
+        "o_orderkey", "o_totalprice", F.lower("o_orderstatus").alias("state")
+    ))
+    batch = orders.select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    replace_table(store, "orders", upsert(
+        store.table("orders"), batch, ["o_orderkey"], False, defaults=column_defaults(schema)
+    ))
+    return store.table("orders")
+
+
 @query
 def T1_create_table(spark, sf):
     """Create from an inferred schema, then fill."""
@@ -683,6 +704,53 @@ def U8_ingest_simple(spark, sf):
     return store.table("orders").select(F.lit("orders").alias("table_name"), "id", "status", "price", "dt").union(single)
 
 
+@query
+def U7_field_names(spark, sf):
+    """Fields called like our own columns; the second load lacks one of them in some records."""
+    store = new_store(spark)
+    record = lambda *more: F.struct(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("pos"), F.col("o_custkey").alias("seq"),
+        F.col("o_orderstatus").alias("endpoint"), (F.col("o_custkey") % 7).alias("entity_id"),
+        F.lower("o_orderstatus").alias("found"), F.col("o_orderpriority").alias("problems"), *more,
+    )
+    problem = F.concat(F.lit("p"), F.col("o_custkey")).alias("problem")
+    orders = load(spark, sf, "orders")
+    ingest(store, landing(orders, "orders", "o_orderkey", to_body(F.array(record(problem)))), LONG, init=True)
+    body = F.when(F.col("o_orderkey") % 4 == 0, to_body(F.array(record()))).otherwise(
+        to_body(F.array(record(F.lit("again").alias("problem"))))
+    )
+    again = orders.filter("o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    ingest(store, landing(again, "orders", "o_orderkey", body), LONG)
+    return store.table("orders")
+
+
+@query
+def U9_two_endpoints(spark, sf):
+    """Responses of two endpoints in one landing, each with parents of its own."""
+    store = new_store(spark)
+    endpoints = (
+        Endpoint("customer-orders/{id}", prefix="sales", parent_column="customer_id", parent_table="customers"),
+        Endpoint("supplier-notes/{id}", prefix="supplier", parent_column="supplier_id", parent_table="suppliers"),
+    )
+    options = Options(endpoints=endpoints, long_ints=True)
+    owner = lambda key: to_body(F.array(F.struct(F.col(key).alias("id"))))
+    customers = load(spark, sf, "customer").filter("c_custkey % 3 <> 0")
+    suppliers = load(spark, sf, "supplier").filter("s_suppkey % 2 = 0")
+    ingest(store, landing(customers, "customers", "c_custkey", owner("c_custkey")).union(
+        landing(suppliers.withColumn("n", F.col("s_suppkey") + 10**12), "suppliers", "n", owner("s_suppkey"))
+    ), options, init=True)
+    note = F.struct(F.array(F.struct(F.lit(1).alias("id"), F.col("s_acctbal").alias("price"))).alias("notes"))
+    notes = landing(
+        load(spark, sf, "supplier").withColumn("n", F.col("s_suppkey") + 10**12), "supplier-notes/{id}", "n", to_body(note),
+        "s_suppkey",
+    )
+    ingest_fanout(store, fanout_landing(spark, sf).union(notes), options=options, init=True)
+    sales = store.table("sales_lines").select(F.lit("sales").alias("kind"), "customer_id", "id", "price")
+    return sales.union(store.table("supplier_notes").select(F.lit("notes"), "supplier_id", "id", "price")).select(
+        "kind", F.col("customer_id").cast("bigint").alias("parent_id"), "id", "price"
+    )
+
+
 def _fanout(spark, sf, options):
     store = new_store(spark)
     customers = load(spark, sf, "customer").select("c_custkey").filter("c_custkey % 3 <> 0")
@@ -772,6 +840,17 @@ def R3_progress(spark, sf):
     return progress(run_events(spark, sf))
 
 
+@query
+def R3_progress_from_log(spark, sf):
+    """As read back from a log that the events were appended to."""
+    path = shared_dir(spark, "runs")
+    log = run_events(spark, sf).withColumns({
+        "time": F.col("time").cast("timestamp"), "current_id": F.col("current_id").cast("string")
+    })
+    append_run_events(log, path)
+    return progress(read_run_events(spark, path)).withColumn("current_id", F.col("current_id").cast("bigint"))
+
+
 @query
 def R4_task_durations(spark, sf):
     return task_durations(run_events(spark, sf))

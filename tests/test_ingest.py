@@ -1,7 +1,7 @@
 import pytest
 from helpers import land, tuples
 
-from landfall.operators import load_registry
+from landfall.operators import latest_state, load_registry, progress
 from landfall.plans import Endpoint, IngestError, Options, ingest, ingest_fanout, init_tables, logged_task, stage
 from landfall.sources import LANDING_SCHEMA, read_discovery, read_run_events
 from landfall.streaming import ingest_stream
@@ -215,3 +215,46 @@ def test_integers_round_once(spark, store):
     ingest(store, land(spark, ("x", '{"t":[{"id":1,"n":1}]}')), init=True)
     ingest(store, land(spark, ("x", '{"t":[{"id":2,"n":1.4999999999},{"id":3,"n":"1.4999999999"},{"id":4,"n":2.5}]}')))
     assert tuples(store.table("t"), "id", "n") == [(1, 1), (2, 1), (3, 1), (4, 2)]
+
+
+def test_fields_may_be_called_like_our_own_columns(spark, store):
+    names = ["pos", "seq", "endpoint", "entity_id", "found", "problem", "problems", "record", "_in", "_spread", "k0", "c1", "o1"]
+    record = lambda i, v, own=names: "{" + ",".join([f'"id":{i}', *(f'"{n}":"{v}"' for n in own)]) + "}"
+    ingest(store, land(spark, ("x", f'{{"t":[{record(1, "a")},{record(2, "b")}]}}')), init=True)
+    again = f'{{"t":[{record(2, "c")},{record(3, "d", names[1:])},{record(1, "e", names[:5])}]}}'
+    assert ingest(store, land(spark, ("x", again))) == {"t": 3}
+    n = len(names)
+    assert tuples(store.table("t"), "id", *names) == [
+        (1, *["e"] * 5, *["a"] * (n - 5)), (2, *["c"] * n), (3, None, *["d"] * (n - 1)),
+    ]
+
+
+def test_odd_names_do_not_stop_a_batch(spark, store):
+    body = """{"a.b":[{"id":1,"v.w":2}],"t":[{"id":1,"ID":7,"x'\\"y":3,"sp ace":4}]}"""
+    counts = ingest(store, land(spark, ("x", body)), init=True)
+    odd = next(name for name in counts if name != "t")
+    assert odd.startswith("a_b_") and tuples(store.table(odd)) == [(1, 2)]
+    assert store.table("t").columns == ["id", "sp ace"] and tuples(store.table("t")) == [(1, 4)]
+    assert {e[1] for e in events(store, "unusable_name")} == {"ID", "x'\"y"}
+    with pytest.raises(IngestError, match="differ in case only"):
+        ingest(store, land(spark, ("x", '{"u":[{"id":1}],"U":[{"id":1}]}')), init=True)
+
+
+def test_fanout_of_two_endpoints_uses_the_parents_of_each(spark, store):
+    ingest(store, land(spark, ("x", '{"events":[{"id":1}],"elements":[{"id":8}]}')), init=True)
+    both = land(
+        spark, ("event/{id}/live", 1, '{"elements":[{"id":5}]}'), ("event/{id}/live", 8, '{"elements":[{"id":6}]}'),
+        ("element-summary/{id}", 8, '{"fixtures":[{"id":7}]}'), ("element-summary/{id}", 1, '{"fixtures":[{"id":9}]}'),
+    )
+    assert ingest_fanout(store, both, init=True) == {"element_summary_fixtures": 1, "event_live_elements": 1}
+    assert tuples(store.table("element_summary_fixtures"), "id", "element_id") == [(7, 8)]
+    assert tuples(store.table("event_live_elements"), "id", "event_id") == [(5, 1)]
+
+
+def test_progress_comes_back_from_the_log(spark, store):
+    with logged_task(store, "r", "fan-out") as report:
+        report(1, 4, 17)
+        report(3, 4, 19)
+    log = read_run_events(spark, store.run_log_path)
+    assert tuples(progress(log)) == [("r", "fan-out", 3, 4, 75.0, "19")]
+    assert tuples(latest_state(log), "task", "status") == [("fan-out", "success")]
