@@ -17,8 +17,9 @@ from functools import reduce
 from operator import and_
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from landfall.functions.names import quoted
 from landfall.operators.checks import check_unique
@@ -42,7 +43,7 @@ from landfall.operators.tables import (
 )
 from landfall.operators.upsert import ORDER, as_rows, last_wins, project_records, upsert
 from landfall.plans.endpoints import ENDPOINTS, TABLE_KEYS, Endpoint
-from landfall.session import local_frame, prepare, shared_dir
+from landfall.session import local_frame, prepare, remove_dir, shared_dir
 from landfall.sources.landing import inject_columns, route_all, with_endpoints
 from landfall.sources.logs import append_discovery, append_run_events
 
@@ -90,13 +91,17 @@ class Options:
 
 @dataclass
 class Staged:
-    """A parsed batch: its records, its rejects, and its inferred columns."""
+    """A parsed batch: its records, its rejects, and its inferred columns.
+
+    ``path`` is the folder of the records; who staged the batch removes it.
+    """
 
     records: DataFrame
     rejects: DataFrame
     inferred: DataFrame
     columns: list
-    unusable: list = field(default_factory=list)
+    unusable: list
+    path: str
 
     @property
     def tables(self) -> list[str]:
@@ -124,6 +129,8 @@ def stage(landing: DataFrame, options: Options = Options()) -> Staged:
     list becomes a file whose row groups are read apart. Later steps read only
     their table.
     """
+    if options.infer.get("per_response"):
+        raise ValueError("per_response is for infer_schema; an ingest has the names of every response")
     spark = prepare(landing.sparkSession)
     landing = with_endpoints(landing, {e.path: e.prefix for e in options.endpoints})
     # Key order needs the text; it is looked up below for first responses only.
@@ -138,7 +145,7 @@ def stage(landing: DataFrame, options: Options = Options()) -> Staged:
     found = infer_with_heads(good, **{"every_response": True, **options.infer}).collect()
     columns, unusable = _usable(_in_text_order(landing, [r.asDict() for r in found]))
     rows = [tuple(c[n] for n in _names(_COLUMN_SCHEMA)) for c in columns]
-    return Staged(good, bad, local_frame(spark, rows, _COLUMN_SCHEMA), columns, unusable)
+    return Staged(good, bad, local_frame(spark, rows, _COLUMN_SCHEMA), columns, unusable, path)
 
 
 def _usable(columns: list[dict]) -> tuple[list[dict], list[dict]]:
@@ -236,8 +243,21 @@ def init_tables(store: Store, landing: DataFrame | Staged, options: Options = Op
     Inference uses all responses, so that a list which is empty for one entity
     does not hide its table. Returns the names of the created tables.
     """
-    staged = landing if isinstance(landing, Staged) else stage(landing, options)
-    return _create(store, _plan(store, staged, options))
+    with _staged(landing, options) as staged:
+        return _create(store, _plan(store, staged, options))
+
+
+@contextmanager
+def _staged(landing: DataFrame | Staged, options: Options) -> Iterator[Staged]:
+    """The batch as it is, or staged for the time of its use."""
+    if isinstance(landing, Staged):
+        yield landing
+        return
+    staged = stage(landing, options)
+    try:
+        yield staged
+    finally:
+        remove_dir(landing.sparkSession, staged.path)
 
 
 def _create(store: Store, batch: BatchPlan) -> list[str]:
@@ -265,7 +285,11 @@ def ingest(
     are independent, so a few are written at a time: the tail of one does not
     leave the cluster idle.
     """
-    staged = landing if isinstance(landing, Staged) else stage(landing, options)
+    with _staged(landing, options) as staged:
+        return _ingest(store, staged, options, init)
+
+
+def _ingest(store: Store, staged: Staged, options: Options, init: bool) -> dict[str, int]:
     batch = _plan(store, staged, options)
     created = _create(store, batch) if init else []
     absent = [t for t in batch.tables if not table_exists(store, t)]
@@ -387,7 +411,8 @@ def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Option
         good.select(*own.values(), *ORDER, *([found] if found else [])), keys, ORDER, null_keys=null_keys, found=found
     )
     path = shared_dir(spark, f"batch-{table}")
-    reduced.drop(*ORDER).write.parquet(path)
+    reduced, size = reduced.drop(*ORDER), Observation()
+    reduced.observe(size, F.sum(_row_bytes(reduced)).alias("n")).write.parquet(path)
     counts = seen.get
     if counts["n_bad"]:
         bad = rows.filter(F.col("problem").isNotNull())
@@ -400,7 +425,10 @@ def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Option
 
     incoming = spark.read.parquet(path).select(*[F.col(c).alias(n) for n, c in own.items()])
     optional = [n for n in names if n not in plan.keys] if found else []
-    _merge(store, table, incoming, plan, null_keys, optional, _fits_broadcast(spark, path))
+    # What a broadcast of the batch takes in memory was measured as it was written.
+    small = (size.get["n"] or 0) <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    _merge(store, table, incoming, plan, null_keys, optional, small)
+    remove_dir(spark, path)
     return counts["n"] - counts["n_bad"]
 
 
@@ -410,14 +438,17 @@ def _keep_rejects(store: Store, batch_id: str, part: str, bad: DataFrame) -> Non
     rows.write.mode("overwrite").parquet(f"{store.path('_rejects')}/batch={batch_id}/part={part}")
 
 
-def _fits_broadcast(spark: SparkSession, path: str) -> bool:
-    """Whether a staged batch, by its size on disk, is below Spark's own limit."""
-    limit = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB").lower()
-    ) if spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB") != "-1" else -1
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(hadoop_path).getLength() <= limit
+def _row_bytes(rows: DataFrame) -> Column:
+    """Bytes of a row in memory, at most: 16 a column, and its text."""
+    total = F.lit(16 * (len(rows.columns) + 1))
+    for f in rows.schema.fields:
+        value, kind = F.col(quoted(f.name)), f.dataType
+        if isinstance(kind, StructType):
+            value, kind = value["v"], kind["v"].dataType
+            total = total + 16
+        if isinstance(kind, StringType):
+            total = total + F.coalesce(F.octet_length(value), F.lit(0))
+    return total.cast("long")
 
 
 def _merge(

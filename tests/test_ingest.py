@@ -1,3 +1,5 @@
+import pathlib
+
 import pytest
 from helpers import land, tuples
 
@@ -258,3 +260,33 @@ def test_progress_comes_back_from_the_log(spark, store):
     log = read_run_events(spark, store.run_log_path)
     assert tuples(progress(log)) == [("r", "fan-out", 3, 4, 75.0, "19")]
     assert tuples(latest_state(log), "task", "status") == [("fan-out", "success")]
+
+
+def test_an_ingest_leaves_nothing_in_the_shared_folder(spark, store):
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    here = lambda: {f.name for f in shared.glob("*") if f.name.startswith(("records-", "batch-"))}
+    before = here()
+    ingest(store, land(spark, ("x", '{"t":[{"id":1,"v":"a"}]}')), init=True)
+    ingest(store, land(spark, ("x", '{"t":[{"id":1,"v":"b"},{"id":2,"v":"c"}]}')))
+    assert here() == before
+    assert tuples(store.table("t")) == [(1, "b"), (2, "c")]
+    own = stage(land(spark, ("x", '{"t":[{"id":3,"v":"d"}]}')))
+    ingest(store, own)
+    assert own.records.count() == 1
+
+
+@pytest.mark.parametrize("limit", ["10MB", "100"])
+def test_merge_with_and_without_broadcast(spark, store, limit):
+    ingest(store, land(spark, ("x", '{"t":[{"id":1,"v":"a","w":1},{"id":2,"v":"b","w":2}]}')), init=True)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        ingest(store, land(spark, ("x", '{"t":[{"id":3,"v":null,"w":4},{"id":2,"v":"' + "x" * 200 + '"}]}')))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert tuples(store.table("t")) == [(1, "a", 1), (2, "x" * 200, 2), (3, None, 4)]
+
+
+def test_an_ingest_does_not_infer_per_response(spark, store):
+    with pytest.raises(ValueError, match="per_response"):
+        ingest(store, land(spark, ("x", '{"t":[{"id":1}]}')), Options(infer={"per_response": True}), init=True)
