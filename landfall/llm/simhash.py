@@ -1,8 +1,10 @@
 """SimHash near-dedup: a self-join of the binary trie of all fingerprints.
 
 Fingerprints are made in map tasks and folded to different ones. The trie is
-cut at a depth at which a subtrie fits a task; each pair of subtries whose
-prefixes differ in no more bits than allowed is one task. A task descends both
+cut at a depth at which an even subtrie fits a task; each pair of subtries whose
+prefixes differ in no more bits than allowed is one task. Pairs that hold more
+(near copies crowd under one prefix) are split further down, with the bits that
+their prefixes leave of the budget, until they fit. A task descends both
 subtries together, adds up differing bits and drops a pair of nodes as soon as
 the budget is exceeded. What it links it reports as a spanning star for each
 group, never as all pairs; the stars are then joined to components.
@@ -21,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landfall.llm.common import columns_of, per_batch, quoted, ship, staged, text_of
@@ -190,20 +192,61 @@ def _pair_task(depth: int, budget: int):
     return work
 
 
+def _flips(width: int, most: int) -> list[int]:
+    """All numbers of ``width`` bits with ``most`` set ones at most."""
+    return [sum(1 << b for b in bits) for k in range(min(most, width) + 1) for bits in combinations(range(width), k)]
+
+
+def _any_of(flips: list[int]) -> Column:
+    return F.explode(F.array(*(F.lit(f).cast("long") for f in flips))).alias("flip")
+
+
+def _subtrie_pairs(nodes: DataFrame, depth: int, max_bits: int) -> DataFrame:
+    """(fp, low, high): each fingerprint in all pairs of its prefix with a near one."""
+    head = F.shiftrightunsigned("fp", 64 - depth)
+    near = F.col("own").bitwiseXOR(F.col("flip"))
+    pairs = nodes.select("fp", head.alias("own"), _any_of(_flips(depth, max_bits)))
+    return pairs.select("fp", F.least("own", near).alias("low"), F.greatest("own", near).alias("high"))
+
+
+def _split_pairs(pairs: DataFrame, depth: int, more: int, max_bits: int) -> DataFrame:
+    """The pairs of subtries ``more`` bits further down, as far as the budget goes."""
+    base = F.lit(1 << more).cast("long")
+    spent = F.bit_count(F.col("low").bitwiseXOR(F.col("high")))
+    tail = F.shiftrightunsigned("fp", 64 - depth - more).bitwiseAND((1 << more) - 1)
+    is_low = F.shiftrightunsigned("fp", 64 - depth) == F.col("low")
+    down = pairs.select("fp", "low", "high", is_low.alias("is_low"), tail.alias("tail"), spent.alias("spent"), _any_of(_flips(more, max_bits)))
+    down = down.filter(F.col("spent") + F.bit_count("flip") <= max_bits)
+    near = F.col("tail").bitwiseXOR(F.col("flip"))
+    low = F.col("low") * base + F.when(F.col("is_low"), F.col("tail")).otherwise(near)
+    high = F.col("high") * base + F.when(F.col("is_low"), near).otherwise(F.col("tail"))
+    return down.select("fp", F.least(low, high).alias("low"), F.greatest(low, high).alias("high"))
+
+
 def link_stars(nodes: DataFrame, max_bits: int, leaves: int = 1 << 20, least_depth: int = 4) -> DataFrame:
-    """Stars (u, v) that connect what any links of the different fingerprints ``fp`` connect."""
+    """Stars (u, v) that connect what any links of the different fingerprints ``fp`` connect.
+
+    A task takes ``4 * leaves`` fingerprints at most (64 at least).
+    """
     ship(nodes.sparkSession)
     count = nodes.count()
-    depth = least_depth
+    depth, more = least_depth, 4
     while count >> depth > leaves:
         depth += 1
-    flips = [sum(1 << b for b in bits) for k in range(min(max_bits, depth) + 1) for bits in combinations(range(depth), k)]
-    head = F.shiftrightunsigned("fp", 64 - depth)
-    pairs = nodes.select("fp", head.alias("own"), F.explode(F.array(*(F.lit(f).cast("long") for f in flips))).alias("flip")).select(
-        "fp", F.least("own", F.col("own").bitwiseXOR(F.col("flip"))).alias("low"),
-        F.greatest("own", F.col("own").bitwiseXOR(F.col("flip"))).alias("high"),
-    )
-    return pairs.groupBy("low", "high").applyInPandas(_pair_task(depth, max_bits), "u long, v long")
+    pairs = _subtrie_pairs(nodes, depth, max_bits)
+    most = max(64, 4 * leaves)  # a pair at depth 60 has 32 at most
+    stars = None
+    while True:
+        heavy = staged(pairs.groupBy("low", "high").count().filter(F.col("count") > most).select("low", "high"), "heavy-pairs")
+        last = heavy.isEmpty()
+        light = pairs if last else pairs.join(heavy, ["low", "high"], "left_anti")
+        found = light.groupBy("low", "high").applyInPandas(_pair_task(depth, max_bits), "u long, v long")
+        stars = found if stars is None else stars.unionByName(found)
+        if last:
+            return stars
+        crowded = pairs.join(heavy, ["low", "high"], "left_semi")
+        pairs = staged(_split_pairs(crowded, depth, more, max_bits), "split-pairs")
+        depth += more
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
