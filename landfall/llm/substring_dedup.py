@@ -5,7 +5,10 @@ that its smallest 4-word hash (its minimizer) names; consecutive windows with
 the same minimizer travel as one segment, so equal windows of any documents
 meet in one shard, and a fifth as many rows move as there are words. In a
 shard, segments with the same words fold to their first document at once;
-what remains is one representative of each different segment. Where a shard
+what remains is one representative of each different segment. A shard that
+holds a large share of all segments (a passage in a third of all documents) is
+spread over many tasks by document first; each of them folds its part, and the
+few that are left are folded together. Where a shard
 has several, their words are fetched, a suffix automaton of the segments of
 smaller documents is built, and every segment is streamed through it: at each
 word the matching statistic tells the longest suffix the reference has, and a
@@ -39,8 +42,8 @@ from landfall.llm.common import columns_of, per_batch, quoted, staged, text_of,
 from landfall.llm.words import mixed, spans_hash, word_hashes, word_spans
 
 GRAM = 4
-SEGMENT = "doc_id long, shard long, class long, start int, n int"
-FOUND = "doc_id long, shard long, start int, n int, marked boolean"
+SEGMENT = "doc_id long, shard long, class long, start int, n int, spread int"
+FOUND = "doc_id long, shard long, class long, start int, n int, spread int, marked boolean"
 WORDS = "doc_id long, shard long, start int, n int, words binary, window binary"
 
 
@@ -70,7 +73,14 @@ def segments(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np
     return least[starts].view(np.int64), spans_hash(words, starts, ends + window - 1).view(np.int64), starts, ends - starts
 
 
-def _cut(window: int):
+def _cut(window: int, crowded: np.ndarray, tasks: int):
+    """Segments of all texts; ``spread`` is the part of a crowded shard, else -1."""
+
+    def columns(parts: list[tuple]) -> dict:
+        doc, shard, kind, start, n = map(np.concatenate, zip(*parts, strict=True))
+        part = (mixed(doc.view(np.uint64)) % np.uint64(tasks)).astype(np.int32)
+        return _columns(SEGMENT, (doc, shard, kind, start, n, np.where(np.isin(shard, crowded), part, -1)))
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             parts = []
@@ -80,10 +90,10 @@ def _cut(window: int):
                 parts.append((np.full(len(shard), doc_id, np.int64), shard, kind, start, n))
                 rows += len(shard)
                 if rows > 500_000:
-                    yield _columns(SEGMENT, map(np.concatenate, zip(*parts, strict=True)))
+                    yield columns(parts)
                     parts, rows = [], 0
             if parts:
-                yield _columns(SEGMENT, map(np.concatenate, zip(*parts, strict=True)))
+                yield columns(parts)
 
     return work
 
@@ -93,18 +103,22 @@ def _columns(schema: str, columns) -> dict:
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Rows come by shard, class, document: marks repeats of a class, passes on one row of each class.
+    """Rows come by shard, part, class, document: marks repeats of a class, passes on one row of each class.
 
-    The only state is the last row: its shard, class and first document, and
-    whether its shard's first class still waits for a second one.
+    Of a crowded shard's part, all rows of a class's first document are passed
+    on, as another part may have an earlier one. The only state is the last
+    row: its shard, part, class and first document, and whether its shard's
+    first class still waits for a second one.
     """
-    last_shard = last_class = first_doc = None
-    waiting: tuple[int, int, int, int] | None = None
+    last_shard = last_part = last_class = first_doc = None
+    waiting: tuple | None = None
     for batch in batches:
-        doc, shard, kind, start, n = (batch.column(c).to_numpy() for c in ("doc_id", "shard", "class", "start", "n"))
+        doc, shard, kind, start, n, part = (batch.column(c).to_numpy() for c in ("doc_id", "shard", "class", "start", "n", "spread"))
         if not len(doc):
             continue
-        new_shard = np.concatenate(([shard[0] != last_shard], shard[1:] != shard[:-1]))
+        new_shard = np.concatenate((
+            [shard[0] != last_shard or part[0] != last_part], (shard[1:] != shard[:-1]) | (part[1:] != part[:-1]),
+        ))
         new_class = new_shard | np.concatenate(([kind[0] != last_class], kind[1:] != kind[:-1]))
         at = np.maximum.accumulate(np.where(new_class, np.arange(len(doc)), -1))
         first = np.where(at >= 0, doc[at], first_doc if first_doc is not None else 0)
@@ -113,19 +127,48 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         # A shard's first class is passed on once a second one comes.
         follows = np.append(~new_shard[opens[1:]], False)
         if waiting is not None and not new_shard[0] and len(opens) and not new_shard[opens[0]]:
-            yield _columns(FOUND, ([waiting[0]], [waiting[1]], [waiting[2]], [waiting[3]], [False]))
+            yield _columns(FOUND, ([v] for v in waiting))
             waiting = None
         out = marked.copy()
         out[opens] = ~new_shard[opens] | follows
+        out |= part >= 0
         if out.any():
-            yield _columns(FOUND, (doc[out], shard[out], start[out], n[out], marked[out]))
+            yield _columns(FOUND, (doc[out], shard[out], kind[out], start[out], n[out], part[out], marked[out]))
         if len(opens):
             k = opens[-1]
-            if new_shard[k]:
-                waiting = (doc[k], shard[k], start[k], n[k])
-            elif not out[k] or not new_shard[k]:
-                waiting = None
-        last_shard, last_class, first_doc = shard[-1], kind[-1], first[-1]
+            waiting = (doc[k], shard[k], kind[k], start[k], n[k], part[k], False) if new_shard[k] and not out[k] else None
+        last_shard, last_part, last_class, first_doc = shard[-1], part[-1], kind[-1], first[-1]
+
+
+def crowded_shards(known: DataFrame, window: int, sample: int, least: int) -> np.ndarray:
+    """The shards that a task should not take alone: ten thousand at most, so the list may go to every task.
+
+    Counted over every ``sample``-th document by hash. They only decide how rows
+    are spread: a shard that is missed or taken in vain gives the same result,
+    and one that is not on a full list has less than a ten-thousandth of the sample.
+    """
+    some = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0)
+    counts = per_batch(some, SEGMENT, _cut(window, np.zeros(0, np.int64), 1)).groupBy("shard").count()
+    largest = counts.filter(F.col("count") >= least).orderBy(F.desc("count"), "shard").limit(10_000).collect()
+    return np.array([r.shard for r in largest], np.int64)
+
+
+def folded(known: DataFrame, window: int, sample: int, least: int) -> tuple[DataFrame, DataFrame]:
+    """Segments whose class starts in an earlier document, and one of each class of the shards with several."""
+    tasks = max(64, int(known.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cut = per_batch(known, SEGMENT, _cut(window, crowded_shards(known, window, sample, least), tasks))
+    dealt = cut.repartition("shard", "spread").sortWithinPartitions("shard", "spread", "class", "doc_id")
+    found = staged(per_batch(dealt, FOUND, _fold), "segments")
+    parts = found.filter("not marked and spread >= 0").select("doc_id", "shard", "class", "start", "n")
+    first = parts.groupBy("shard", "class").agg(F.min("doc_id").alias("first_id"))
+    parts = parts.join(first, ["shard", "class"])
+    again = parts.filter("doc_id > first_id")
+    once = parts.filter("doc_id = first_id").dropDuplicates(["shard", "class"])
+    place = ["doc_id", "shard", "start", "n"]
+    return (
+        found.filter("marked").select(place).unionByName(again.select(place)),
+        found.filter("not marked and spread < 0").select(place).unionByName(once.select(place)),
+    )
 
 
 class SuffixAutomaton:
@@ -270,16 +313,15 @@ def _without(text: bytes, begins: np.ndarray, ends: np.ndarray, gone: np.ndarray
 
 
 def substring_dedup(
-    docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", hot_segments: int = 2000
+    docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text", hot_segments: int = 2000,
+    sample: int = 64, crowd: int = 32,
 ) -> DataFrame:
     """(row, n_words, n_removed, kept_sha256, kept_text) for every row; ``row`` has its columns."""
     texts = columns_of(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of("text").cast("binary").alias("text")
     )
     known = texts.filter("doc_id is not null")
-    cut = per_batch(known, SEGMENT, _cut(window))
-    found = staged(per_batch(cut.repartition("shard").sortWithinPartitions("shard", "class", "doc_id"), FOUND, _fold), "segments")
-    single = found.filter("not marked")
+    earlier, single = folded(known, window, sample, crowd)
     hot = single.groupBy("shard").count().filter(F.col("count") > hot_segments).select("shard", F.lit(True).alias("hot"))
     wanted = single.join(hot, "shard", "left").groupBy("doc_id").agg(
         F.collect_list(F.struct("shard", "start", "n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted")
@@ -292,7 +334,7 @@ def substring_dedup(
     alone = words.filter("window is not null").select("doc_id", "start", "n", "window")
     earliest = alone.groupBy("window").agg(F.min("doc_id").alias("first_id"))
     repeated = alone.join(earliest, "window").filter("first_id < doc_id").select("doc_id", "start", "n")
-    marks = found.filter("marked").select("doc_id", "start", "n").unionByName(matched).unionByName(repeated)
+    marks = earlier.select("doc_id", "start", "n").unionByName(matched).unionByName(repeated)
     by_doc = marks.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
     whole = docs.select(
         F.struct(*(F.col(quoted(c)) for c in docs.columns if c != text_col)).alias("row"),
