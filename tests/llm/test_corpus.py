@@ -157,19 +157,32 @@ def test_trie_join_finds_all_links(depth):
     assert got == {(i, j) for i in range(len(prints)) for j in range(i + 1, len(prints)) if int(prints[i] ^ prints[j]).bit_count() <= 4}
 
 
+def test_crowded_prefixes_are_split_further(spark):
+    bits = np.random.default_rng(6)
+    flips = [sum(1 << int(b) for b in set(bits.integers(0, 64, 5))) for _ in range(500)]
+    centers = [0xFFFF_0000_1234_5678, 0xFFF0_0000_1234_5678, 7]
+    prints = np.unique(np.array([c ^ f for c in centers for f in flips], np.uint64))
+    links = [(i, j) for i in range(len(prints)) for j in range(i) if int(prints[i] ^ prints[j]).bit_count() <= 4]
+    roots = union_find(len(prints), links)
+    nodes = spark.createDataFrame([(int(p),) for p in prints.view(np.int64)], "fp long")
+    place = {int(p): i for i, p in enumerate(prints.view(np.int64))}
+    stars = [(place[r.u], place[r.v]) for r in simhash.link_stars(nodes, 4, leaves=8, least_depth=8).collect()]
+    assert union_find(len(prints), stars) == roots
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 102), (102, 101)], "u long, v long")
     assert {r.node: r.root for r in components(edges).collect()} == {i: 0 for i in range(41)} | {i: 100 for i in (100, 101, 102)}
 
 
-@pytest.mark.parametrize("hot", [1, 2000])
-def test_substring_dedup(docs, hot):
+@pytest.mark.parametrize(("hot", "sample", "crowd"), [(1, 64, 32), (2000, 64, 32), (2000, 1, 2), (1, 2, 1)])
+def test_substring_dedup(docs, hot, sample, crowd):
     split = {i: t.split() for i, t in held(docs).items()}
     first = {}
     for i in sorted(split):
         for a in range(len(split[i]) - 12):
             first.setdefault(tuple(split[i][a : a + 13]), i)
-    got = {r["row"].doc_id: r for r in substring_dedup.substring_dedup(docs, hot_segments=hot).collect()}
+    got = {r["row"].doc_id: r for r in substring_dedup.substring_dedup(docs, hot_segments=hot, sample=sample, crowd=crowd).collect()}
     for i, w in split.items():
         gone = [False] * len(w)
         for a in range(len(w) - 12):
