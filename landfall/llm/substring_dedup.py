@@ -5,7 +5,8 @@ that its smallest 4-word hash (its minimizer) names; consecutive windows with
 the same minimizer travel as one segment, so equal windows of any documents
 meet in one shard, and a fifth as many rows move as there are words. In a
 shard, segments with the same words fold to their first document at once;
-what remains is one representative of each different segment. A shard that
+what remains is each different segment of that document, as often as it has it
+(an earlier document may hold its windows in other surroundings). A shard that
 holds a large share of all segments (a passage in a third of all documents) is
 spread over many tasks by document first; each of them folds its part, and the
 few that are left are folded together. Where a shard
@@ -103,41 +104,48 @@ def _columns(schema: str, columns) -> dict:
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Rows come by shard, part, class, document: marks repeats of a class, passes on one row of each class.
-
-    Of a crowded shard's part, all rows of a class's first document are passed
-    on, as another part may have an earlier one. The only state is the last
-    row: its shard, part, class and first document, and whether its shard's
-    first class still waits for a second one.
+    """Rows come by shard, part, class, document, start: marks repeats of a class, passes on all rows of its first document.
+
+    They are more than one where that document repeats the passage within
+    itself: an earlier document may hold it in other surroundings, and each of
+    them is marked then. Rows of a crowded shard's part are all passed on, as
+    another part may have an earlier document. The only state is the last row,
+    its class's first document, and the rows of its shard's first class (of
+    one document), which wait for a second class.
     """
-    last_shard = last_part = last_class = first_doc = None
-    waiting: tuple | None = None
+    fields = ("doc_id", "shard", "class", "start", "n", "spread")
+    last = first_doc = None
+    single, waiting = False, []
     for batch in batches:
-        doc, shard, kind, start, n, part = (batch.column(c).to_numpy() for c in ("doc_id", "shard", "class", "start", "n", "spread"))
+        rows = [batch.column(c).to_numpy() for c in fields]
+        doc, shard, kind, start, _, part = rows
         if not len(doc):
             continue
-        new_shard = np.concatenate((
-            [shard[0] != last_shard or part[0] != last_part], (shard[1:] != shard[:-1]) | (part[1:] != part[:-1]),
-        ))
-        new_class = new_shard | np.concatenate(([kind[0] != last_class], kind[1:] != kind[:-1]))
+        new = [np.concatenate(([last is None or v[0] != last[i]], v[1:] != v[:-1])) for i, v in enumerate(rows)]
+        new_shard = new[1] | new[5]
+        new_class = new_shard | new[2]
         at = np.maximum.accumulate(np.where(new_class, np.arange(len(doc)), -1))
         first = np.where(at >= 0, doc[at], first_doc if first_doc is not None else 0)
         marked = doc > first
-        opens = np.flatnonzero(new_class)
-        # A shard's first class is passed on once a second one comes.
-        follows = np.append(~new_shard[opens[1:]], False)
-        if waiting is not None and not new_shard[0] and len(opens) and not new_shard[opens[0]]:
-            yield _columns(FOUND, ([v] for v in waiting))
-            waiting = None
-        out = marked.copy()
-        out[opens] = ~new_shard[opens] | follows
-        out |= part >= 0
+        # Rows equal in all are a document that is there twice.
+        own = ~marked & (new_class | new[0] | new[3])
+        later = new_class & ~new_shard
+        run, classes = np.cumsum(new_shard), np.cumsum(later)  # run 0 goes on from the last batch
+        base = np.concatenate(([0 if single else -1], classes[new_shard]))
+        several = np.bincount(run, later, run[-1] + 1) > 0
+        several[0] |= not single
+        if several[0]:
+            yield from waiting
+        if several[0] or run[-1]:
+            waiting = []
+        out = marked | (part >= 0) | own & ((classes > base[run]) | several[run])
         if out.any():
-            yield _columns(FOUND, (doc[out], shard[out], kind[out], start[out], n[out], part[out], marked[out]))
-        if len(opens):
-            k = opens[-1]
-            waiting = (doc[k], shard[k], kind[k], start[k], n[k], part[k], False) if new_shard[k] and not out[k] else None
-        last_shard, last_part, last_class, first_doc = shard[-1], part[-1], kind[-1], first[-1]
+            yield _columns(FOUND, (*(v[out] for v in rows), marked[out]))
+        single = not several[run[-1]]
+        held = own & ~out & (run == run[-1])
+        if held.any():
+            waiting.append(_columns(FOUND, (*(v[held] for v in rows), marked[held])))
+        last, first_doc = [v[-1] for v in rows], first[-1]
 
 
 def crowded_shards(known: DataFrame, window: int, sample: int, least: int) -> np.ndarray:
@@ -154,16 +162,16 @@ def crowded_shards(known: DataFrame, window: int, sample: int, least: int) -> np
 
 
 def folded(known: DataFrame, window: int, sample: int, least: int) -> tuple[DataFrame, DataFrame]:
-    """Segments whose class starts in an earlier document, and one of each class of the shards with several."""
+    """Segments whose class starts in an earlier document, and those of each class's first document in shards with several classes."""
     tasks = max(64, int(known.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cut = per_batch(known, SEGMENT, _cut(window, crowded_shards(known, window, sample, least), tasks))
-    dealt = cut.repartition("shard", "spread").sortWithinPartitions("shard", "spread", "class", "doc_id")
+    dealt = cut.repartition("shard", "spread").sortWithinPartitions("shard", "spread", "class", "doc_id", "start")
     found = staged(per_batch(dealt, FOUND, _fold), "segments")
     parts = found.filter("not marked and spread >= 0").select("doc_id", "shard", "class", "start", "n")
     first = parts.groupBy("shard", "class").agg(F.min("doc_id").alias("first_id"))
     parts = parts.join(first, ["shard", "class"])
     again = parts.filter("doc_id > first_id")
-    once = parts.filter("doc_id = first_id").dropDuplicates(["shard", "class"])
+    once = parts.filter("doc_id = first_id").dropDuplicates(["shard", "class", "start"])
     place = ["doc_id", "shard", "start", "n"]
     return (
         found.filter("marked").select(place).unionByName(again.select(place)),
@@ -230,22 +238,20 @@ def _stream(window: int):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         at = doc = None
-        automaton, own = SuffixAutomaton(), []
+        automaton, own = SuffixAutomaton(), {}
         out: list[tuple] = []
         for batch in batches:
             for doc_id, shard, start, blob in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "shard", "start", "words")), strict=True):
-                words = np.frombuffer(blob, np.uint64).tolist()
                 if shard != at:
-                    at, automaton, own, doc = shard, SuffixAutomaton(), [], doc_id
+                    at, automaton, own, doc = shard, SuffixAutomaton(), {}, doc_id
                 elif doc_id != doc:
-                    for w in own:
-                        automaton.add(w)
-                    own, doc = [], doc_id
-                if len(automaton.next) > 1:
-                    for i, matched in enumerate(automaton.statistics(words)):
-                        if matched >= window:
-                            out.append((doc_id, start + i - window + 1, 1))
-                own.append(words)
+                    for again in own:
+                        automaton.add(np.frombuffer(again, np.uint64).tolist())
+                    own, doc = {}, doc_id
+                if blob not in own:
+                    words = np.frombuffer(blob, np.uint64).tolist() if len(automaton.next) > 1 else []
+                    own[blob] = [i for i, matched in enumerate(automaton.statistics(words)) if matched >= window]
+                out += [(doc_id, start + i - window + 1, 1) for i in own[blob]]
             if out:
                 yield _columns("doc_id, start, n", zip(*out, strict=True))
                 out = []

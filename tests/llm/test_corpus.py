@@ -196,6 +196,33 @@ def test_substring_dedup(docs, hot, sample, crowd):
     assert all(r.n_chars == len(r.text) for r in cut.collect() if r.n_chars is not None)
 
 
+@pytest.mark.parametrize(("hot", "sample", "crowd"), [(1, 64, 32), (2000, 64, 32), (2000, 1, 2), (1, 2, 1)])
+def test_repeats_within_a_document_of_a_passage_in_an_earlier_one(spark, hot, sample, crowd):
+    """An earlier document holds the passage in other surroundings: every copy of it goes."""
+    rows = []
+    for k in range(30):
+        passage, lone = words_of(15 + 3 * (k % 8), 500 + k), words_of(40, 800 + k)
+        rows += [(10 * k + 2, f"{words_of(9, 600 + k)} {passage} {words_of(9, 700 + k)}"), (10 * k + 5, " ".join([passage] * 4))]
+        rows += [(10 * k + 7, f"{passage} {lone} {lone} {passage}"), (10 * k + 7, f"{passage} {lone} {lone} {passage}")]
+    docs = spark.createDataFrame([row(*r) for r in rows], SCHEMA).repartition(3)
+    first = {}
+    for i, t in sorted(rows):
+        w = t.split()
+        for a in range(len(w) - 12):
+            first.setdefault(tuple(w[a : a + 13]), i)
+    got = substring_dedup.substring_dedup(docs, hot_segments=hot, sample=sample, crowd=crowd).collect()
+    assert len(got) == len(rows)
+    texts_of = dict(rows)
+    for r in got:
+        w = texts_of[r["row"].doc_id].split()
+        gone = [False] * len(w)
+        for a in range(len(w) - 12):
+            if first[tuple(w[a : a + 13])] < r["row"].doc_id:
+                gone[a : a + 13] = [True] * 13
+        kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        assert (r.n_removed, r.kept_sha256) == (sum(gone), hashlib.sha256(kept.encode()).hexdigest())
+
+
 def test_substring_dedup_odd_rows(odd, empty):
     assert all(r.n_removed == 0 for r in substring_dedup.substring_dedup(odd).collect())
     assert substring_dedup.substring_dedup(empty).count() == 0
