@@ -4,12 +4,16 @@ Every whole text gives five transformed statistics: log of its words, of their
 mean length, and of its shares of symbols, repeated lines and repeated
 three-word windows. For each language and source, the estimate of location and
 scatter comes from concentration steps: distances under the estimate so far,
-the ``core`` nearest share of the rows, mean and covariance of those. The first
-estimate is made from medians and median deviations. Shares are zero in most
-clean texts, so each statistic has a least spread. The last scatter is scaled
-so that the median distance is that of the normal law, and rows whose squared
-Mahalanobis distance exceeds the quantile ``trust`` are rejected. Groups of
-fewer than ``least_rows`` rows are judged with the other small groups.
+the ``core`` nearest share of the rows, mean and covariance of those, the latter
+with the normal law's factor for such a core. Rows at the core's border enter
+with the weight that fills it, so that equal copies do not swell it. The steps
+run from three starts, all at the medians: median deviations without and with
+the correlations of the rows' hyperbolic tangents, and with those of their
+directions. Of these, the one of least determinant is kept. Shares are zero in
+most clean texts, so each statistic has a least spread. The last scatter is
+widened where the median distance is above that of the normal law, and rows
+whose squared Mahalanobis distance exceeds the quantile ``trust`` are rejected.
+Groups of fewer than ``least_rows`` rows are judged with the other small groups.
 
 Medians and the core's border are read from counts of rows by fine steps of
 the measure, so a group of any size is aggregated partially and nothing is
@@ -23,6 +27,7 @@ repeated rows get equal results; an empty table gives no rows.
 
 from __future__ import annotations
 
+from math import erf, exp, gamma
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window
@@ -88,14 +93,21 @@ def transformed(rows: DataFrame) -> DataFrame:
     })
 
 
-def _quantile(rows: DataFrame, value: str, share: float, name: str) -> DataFrame:
-    """For each group the least step under which ``share`` of its rows lie."""
-    steps = rows.groupBy("group", F.floor(F.col(value) * _STEPS).alias("step")).count()
+def _border(rows: DataFrame, share: float) -> DataFrame:
+    """For each group the step in which ``share`` of its rows is reached, and the weight of that step's rows that makes it exact."""
+    steps = rows.groupBy("group", "step").count()
     upto = steps.select(
-        "group", "step", F.sum("count").over(Window.partitionBy("group").orderBy("step")).alias("upto"),
+        "group", "step", "count", F.sum("count").over(Window.partitionBy("group").orderBy("step")).alias("upto"),
         F.sum("count").over(Window.partitionBy("group")).alias("all"),
-    )
-    return upto.filter(F.col("upto") >= share * F.col("all")).groupBy("group").agg(((F.min("step") + 1) / _STEPS).alias(name))
+    ).filter(F.col("upto") >= share * F.col("all"))
+    weight = 1 - (F.col("upto") - share * F.col("all")) / F.col("count")
+    return upto.groupBy("group").agg(F.min("step").alias("border"), F.min_by(weight, "step").alias("part"))
+
+
+def _quantile(rows: DataFrame, value: str, share: float, name: str) -> DataFrame:
+    """For each group the least step under which ``share`` of its rows lie."""
+    found = _border(rows.select("group", F.floor(F.col(value) * _STEPS).alias("step")), share)
+    return found.select("group", ((F.col("border") + 1) / _STEPS).alias(name))
 
 
 def _distance(rows: DataFrame, axes: list[str]) -> DataFrame:
@@ -110,7 +122,7 @@ def _distance(rows: DataFrame, axes: list[str]) -> DataFrame:
 
 
 def _factor(moments: DataFrame, axes: list[str], scale: Column) -> DataFrame:
-    """Means and the lower triangular factor of the covariance, floors included."""
+    """Means, the lower triangular factor of the covariance, floors included, and the log of its determinant's root."""
     out = moments
     for i, axis in enumerate(axes):
         for j in range(i + 1):
@@ -119,27 +131,60 @@ def _factor(moments: DataFrame, axes: list[str], scale: Column) -> DataFrame:
                 value = value - F.col(f"f_{i}_{k}") * F.col(f"f_{j}_{k}")
             out = out.withColumn(f"f_{i}_{j}", F.sqrt(F.greatest(value, F.lit(1e-9))) if i == j else value / F.col(f"f_{j}_{j}"))
     names = [f"mean_{i}" for i in range(len(axes))] + [f"f_{i}_{j}" for i in range(len(axes)) for j in range(i + 1)]
-    return out.select("group", *names)
+    log_det = sum((F.ln(f"f_{i}_{i}") for i in range(1, len(axes))), F.ln("f_0_0"))
+    return out.select("group", *names, log_det.alias("log_det"))
+
+
+def _pairs(axes: list[str]) -> list[tuple[int, int]]:
+    return [(i, j) for i in range(len(axes)) for j in range(i + 1)]
 
 
 def _moments(rows: DataFrame, axes: list[str]) -> DataFrame:
-    pairs = [(i, j) for i in range(len(axes)) for j in range(i + 1)]
-    return rows.groupBy("group").agg(
-        *(F.avg(a).alias(f"mean_{i}") for i, a in enumerate(axes)),
-        *(F.covar_pop(axes[i], axes[j]).alias(f"c_{i}_{j}") for i, j in pairs),
+    """Means and covariances of the rows by their weight."""
+    pairs, weight = _pairs(axes), F.col("weight")
+    sums = rows.groupBy("group").agg(
+        F.sum(weight).alias("total"), *(F.sum(weight * F.col(a)).alias(f"s_{i}") for i, a in enumerate(axes)),
+        *(F.sum(weight * F.col(axes[i]) * F.col(axes[j])).alias(f"s_{i}_{j}") for i, j in pairs),
+    )
+    means = {f"mean_{i}": F.col(f"s_{i}") / F.col("total") for i in range(len(axes))}
+    return sums.withColumns(means).withColumns(
+        {f"c_{i}_{j}": F.col(f"s_{i}_{j}") / F.col("total") - F.col(f"mean_{i}") * F.col(f"mean_{j}") for i, j in pairs}
     )
 
 
-def _first_estimate(rows: DataFrame, axes: list[str]) -> DataFrame:
-    """Medians, and median deviations on the diagonal."""
+def _tagged(start: int, group: Column) -> Column:
+    """The group as one start's; its first character tells which."""
+    return F.concat(F.lit(str(start)), group)
+
+
+def _first_estimates(rows: DataFrame, axes: list[str]) -> DataFrame:
+    """Medians and median deviations, by start with different correlations."""
     out = None
     for i, axis in enumerate(axes):
         middle = _quantile(rows, axis, 0.5, f"mean_{i}")
         apart = rows.select("group", axis).join(middle, "group").withColumn("apart", F.abs(F.col(axis) - F.col(f"mean_{i}")))
         both = middle.join(_quantile(apart, "apart", 0.5, f"mad_{i}"), "group")
         out = both if out is None else out.join(both, "group")
-    diagonal = {f"c_{i}_{j}": (1.4826 * F.col(f"mad_{i}")) ** 2 if i == j else F.lit(0.0) for i in range(len(axes)) for j in range(i + 1)}
-    return _factor(out.withColumns(diagonal), axes, F.lit(1.0))
+    spread = {f"mad_{i}": F.sqrt((1.4826 * F.col(f"mad_{i}")) ** 2 + LEAST_SPREAD[a] ** 2) for i, a in enumerate(axes)}
+    out = staged(out.withColumns(spread), "medians")
+    scaled = rows.join(out, "group").select(
+        "group", *(((F.col(a) - F.col(f"mean_{i}")) / F.col(f"mad_{i}")).alias(a) for i, a in enumerate(axes))
+    )
+    length = F.sqrt(sum((F.col(a) * F.col(a) for a in axes[1:]), F.col(axes[0]) * F.col(axes[0])) + F.lit(1e-12))
+    bent = scaled.select(_tagged(1, F.col("group")).alias("group"), *(F.tanh(a).alias(a) for a in axes))
+    turned = scaled.select(_tagged(2, F.col("group")).alias("group"), *((F.col(a) / length).alias(a) for a in axes))
+    shapes = _moments(bent.unionByName(turned).withColumn("weight", F.lit(1.0)), axes).select(
+        F.col("group").alias("tagged"), F.expr("substring(group, 2)").alias("group"), *(f"c_{i}_{j}" for i, j in _pairs(axes))
+    )
+    plain = out.select(
+        _tagged(0, F.col("group")).alias("tagged"), "group", *(F.lit(float(i == j)).alias(f"c_{i}_{j}") for i, j in _pairs(axes))
+    )
+    related = {}
+    for i, j in _pairs(axes):
+        share = F.try_divide(f"c_{i}_{j}", F.sqrt(F.greatest(F.col(f"c_{i}_{i}") * F.col(f"c_{j}_{j}"), F.lit(0.0))))
+        related[f"c_{i}_{j}"] = F.col(f"mad_{i}") * F.col(f"mad_{j}") * (1.0 if i == j else F.coalesce(share, F.lit(0.0)))
+    joined = plain.unionByName(shapes).join(out, "group").withColumns(related).drop("group")
+    return _factor(joined.withColumnRenamed("tagged", "group"), axes, F.lit(1.0))
 
 
 def chi2_quantile(share: float, axes: int) -> float:
@@ -148,9 +193,23 @@ def chi2_quantile(share: float, axes: int) -> float:
     return axes * (1 - 2 / (9 * axes) + z * (2 / (9 * axes)) ** 0.5) ** 3
 
 
+def chi2_share(value: float, axes: int) -> float:
+    """The share below ``value``, upwards from one or two axes."""
+    share, at = (erf((value / 2) ** 0.5), 1) if axes % 2 else (1 - exp(-value / 2), 2)
+    while at < axes:
+        share -= (value / 2) ** (at / 2) * exp(-value / 2) / gamma(at / 2 + 1)
+        at += 2
+    return share
+
+
+def consistency(core: float, axes: int) -> float:
+    """What the covariance of the nearest ``core`` share of normal rows has to be multiplied by."""
+    return core / chi2_share(chi2_quantile(core, axes), axes + 2)
+
+
 def quality_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-    core: float = 0.75, rounds: int = 4, trust: float = 1 - 1e-9, least_rows: int = 50,
+    core: float = 0.5, rounds: int = 4, trust: float = 1 - 1e-9, least_rows: int = 50,
 ) -> DataFrame:
     """Counts, squared distance and verdict of every row."""
     axes = list(LEAST_SPREAD)
@@ -162,13 +221,21 @@ def quality_rules(
     ).withColumn("group", F.when(F.col("rows") >= least_rows, F.to_json(F.struct("lang", "source"))).otherwise("")).drop("l", "s", "rows")
     vectors = staged(transformed(grouped), "vectors")
     rows = vectors.filter("n_words > 0").select("group", *axes)
-    estimate = staged(_first_estimate(rows, axes), "estimate")
+    estimate = staged(_first_estimates(rows, axes), "estimate")
+    tags = F.explode(F.array(*(_tagged(i, F.col("group")) for i in range(3))))
+    tagged = rows.select(tags.alias("group"), *axes)
+    widened = F.lit(consistency(core, len(axes)))
     for _ in range(rounds):
-        near = _distance(rows.join(estimate, "group"), axes).withColumn("log_d2", F.ln(F.col("d2") + 1e-6))
-        border = _quantile(near.select("group", "log_d2"), "log_d2", core, "border")
-        inner = near.join(border, "group").filter("log_d2 < border")
-        moments = staged(_moments(inner.select("group", *axes), axes), "moments")
-        estimate = staged(_factor(moments, axes, F.lit(1.0)), "estimate")
+        near = _distance(tagged.join(estimate, "group"), axes).select("group", *axes, F.floor(F.ln(F.col("d2") + 1e-6) * _STEPS).alias("step"))
+        inner = near.join(_border(near, core), "group").filter("step <= border")
+        weight = F.when(F.col("step") < F.col("border"), F.lit(1.0)).otherwise(F.col("part"))
+        moments = staged(_moments(inner.select("group", *axes, weight.alias("weight")), axes), "moments")
+        estimate = staged(_factor(moments, axes, widened), "estimate")
+    values = [c for c in estimate.columns if c != "group"]
+    best = estimate.groupBy(F.expr("substring(group, 2)").alias("base")).agg(
+        F.min_by(F.struct(*values), F.struct("log_det", "group")).alias("least")
+    )
+    estimate = staged(best.select(F.col("base").alias("group"), "least.*"), "estimate")
     near = _distance(rows.join(estimate, "group"), axes).withColumn("log_d2", F.ln(F.col("d2") + 1e-6))
     middle = _quantile(near.select("group", "log_d2"), "log_d2", 0.5, "middle")
     scaled = estimate.join(middle.withColumn("scale", F.greatest(F.lit(1.0), F.exp("middle") / chi2_quantile(0.5, len(axes)))), "group")

@@ -375,6 +375,34 @@ def test_outliers_go_and_the_rest_stays(spark):
     assert all(got[i].kept for i in range(200)) and not any(got[1000 + i].kept for i in range(30))
 
 
+def clean_texts(n):
+    pick = random.Random(6)
+    return [row(i, "\n".join(words_of(pick.randint(8, 14), 1000 * i + j) for j in range(pick.randint(8, 30)))) for i in range(n)]
+
+
+def test_a_third_of_copies_is_rejected_and_masks_nothing(spark):
+    wild = " ".join("#$%&*" * 4 + w for w in words_of(70, 5).split())
+    copies = [row(1000 + i, wild) for i in range(100)]
+    lesser = [row(2000 + i, " ".join(("#$%&*" * 2 if k % 2 else "") + w for k, w in enumerate(words_of(90, i).split()))) for i in range(5)]
+    got = by_id(quality_rules.quality_rules(spark.createDataFrame(clean_texts(195) + copies + lesser, SCHEMA)))
+    assert all(got[i].kept for i in range(195))
+    assert not any(r.kept for i, r in got.items() if i >= 1000)
+
+
+def test_two_fifths_of_unlike_junk_are_rejected(spark):
+    pick = random.Random(8)
+    wild = [row(1000 + i, " ".join("#$%&*" * pick.randint(2, 6) + w for w in words_of(pick.randint(60, 120), i).split())) for i in range(120)]
+    got = by_id(quality_rules.quality_rules(spark.createDataFrame(clean_texts(180) + wild, SCHEMA)))
+    assert all(got[i].kept for i in range(180)) and not any(got[1000 + i].kept for i in range(120))
+
+
+def test_factor_of_a_half_core():
+    x = np.random.default_rng(3).standard_normal((200_000, 5))
+    d = (x * x).sum(axis=1)
+    inner = x[d <= np.median(d)]
+    assert quality_rules.consistency(0.5, 5) == pytest.approx(1 / inner.var(), rel=0.01)
+
+
 def test_language_id(spark, empty):
     vocabulary = {"en": "the of and to in that with for house water", "de": "der die und nicht mit ein haus wasser von zu"}
     pick = random.Random(7)
