@@ -3,9 +3,9 @@
 Word counts of all training texts are aggregated by Spark. The ``model_words``
 most frequent ones are the recurrent model's symbols; the ``head_words`` most
 frequent go to every task as a table of that size. Copies of the model are
-trained side by side on a fixed share of the training texts (``share``, by
-hash; it grows with the corpus) by truncated backpropagation, and their
-parameters averaged after each of ``rounds``. Every whole text is then scored
+trained side by side by truncated backpropagation, and their parameters
+averaged after each of ``rounds``; every training text takes part in one round,
+by hash. Every whole text is then scored
 in one pass, its state carried from the first word to the end. A word outside
 the model's symbols has the probability of "another word" times its smoothed
 share of all such words; counts beyond the head come by a join on the word, as
@@ -97,13 +97,13 @@ class Vocabulary:
         return np.append(np.where(known, places, self.model_words), self.model_words + 1).astype(np.int32)
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, share: int, rounds: int, replica_tokens: int, least_tokens: int) -> Gru:
-    """The average of copies trained on their parts of the sample, round by round."""
+def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int, replica_tokens: int, least_tokens: int) -> Gru:
+    """The average of copies trained on their parts of all training texts, round by round."""
     spark = texts.sparkSession
     model = Gru(vocabulary.symbol_counts)
     most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    copies = max(1, min(most, vocabulary.total // (share * rounds * replica_tokens)))
-    mark = F.pmod(F.xxhash64("doc_id", "text"), F.lit(share * rounds))
+    copies = max(1, min(most, vocabulary.total // (rounds * replica_tokens)))
+    mark = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
     for turn in range(rounds):
         start = model.pack()
 
@@ -166,7 +166,7 @@ def _score(vocabulary: Vocabulary, model: Gru):
 
 def lm_scoring(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_words: int = 4096, head_words: int = 65536,
-    share: int = 4, rounds: int = 2, replica_tokens: int = 200_000, least_tokens: int = 250_000,
+    rounds: int = 2, replica_tokens: int = 200_000, least_tokens: int = 250_000,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     ship(docs.sparkSession)
@@ -177,7 +177,7 @@ def lm_scoring(
     amounts = words.agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).first()
     n_texts = texts.filter("not held_out").count()
     vocabulary = Vocabulary(most_frequent(words, head_words), model_words, amounts.words, amounts.tokens or 0, n_texts)
-    model = train(texts, vocabulary, share, rounds, replica_tokens, least_tokens)
+    model = train(texts, vocabulary, rounds, replica_tokens, least_tokens)
     scored = staged(per_batch(texts, SCORED, _score(vocabulary, model)), "scored")
     tail = scored.select("row_key", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("row_key", F.col("t.tail").alias("word"), F.col("t.times").alias("times"))
     counted = tail.join(words, "word", "left").groupBy("row_key").agg(

@@ -441,6 +441,24 @@ def test_lm_scoring(docs, odd, empty):
     assert lm_scoring.lm_scoring(empty).count() == 0
 
 
+def test_every_training_text_teaches_the_model(spark):
+    """Other word order in texts of hash classes 2 to 7 of 8 leaves all counts, and changes the model."""
+    plain = [(i, words_of(400, 3000 + i)) for i in range(40)]
+    pairs = [(i, t, " ".join(sorted(t.split()))) for i, t in plain]
+    mark = [F.pmod(F.xxhash64("doc_id", F.col(c).cast("binary")), F.lit(8)) for c in ("text", "other")]
+    marked = spark.createDataFrame(pairs, "doc_id long, text string, other string").select("doc_id", "text", "other", F.least(*mark).alias("least"))
+    rows = [r for r in marked.collect() if zlib.crc32(str(r.doc_id).encode()) % 10]
+    assert sum(r.least > 1 for r in rows) > 5
+    other = {r.doc_id: r.other for r in rows if r.least > 1}
+    probe = (next(i for i in range(5000, 6000) if zlib.crc32(str(i).encode()) % 10 == 0), words_of(200, 1))
+    def score(changed):
+        docs = spark.createDataFrame([row(i, changed.get(i, t)) for i, t in [*plain, probe]], SCHEMA).coalesce(1)
+        return by_id(lm_scoring.lm_scoring(docs, model_words=200))[probe[0]]
+    before, after = score({}), score(other)
+    assert before.base_score == pytest.approx(after.base_score, rel=1e-12)
+    assert abs(before.score - after.score) > 1e-4
+
+
 def test_gru_learns_held_out_texts_and_its_slopes_are_right():
     pick = np.random.default_rng(1)
     def stream(n):  # each symbol mostly names the next
