@@ -14,10 +14,13 @@ from landfall.llm.language_id import evidence_of_documents, evidence_of_pages, i
 from landfall.llm.line_dedup import line_dedup
 from landfall.llm.lm_scoring import lm_scoring
 from landfall.llm.packing import pack_documents
+from landfall.llm.periodic_runs import collapse_runs, planted
 from landfall.llm.quality_rules import quality_rules
 from landfall.llm.sharding import shards_in_shared_folder
 from landfall.llm.simhash import simhash_groups
 from landfall.llm.substring_dedup import substring_dedup
+from landfall.llm.toxicity import toxicity
+from landfall.llm.vector_codes import vector_codes
 
 SEQUENCE = 2048
 
@@ -98,6 +101,18 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring(documents(spark, sf_dir))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collapse_runs(documents(spark, sf_dir), arranged=planted).drop("collapsed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -109,8 +124,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_toxicity": op11_toxicity,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
+
+def _lloyd_sql(rounds: int) -> str:
+    """Product codes in SQL: all distances, in as many rounds; for small tables."""
+    steps = []
+    for turn in range(rounds + 1):
+        steps.append(f"""
+        away{turn} AS MATERIALIZED (
+            SELECT row_key, part, entry, sum((p.x - e.x) * (p.x - e.x)) AS distance
+            FROM points p JOIN entries{turn} e USING (part, place) GROUP BY row_key, part, entry
+        ), nearest{turn} AS MATERIALIZED (
+            SELECT row_key, part, arg_min(entry, (distance, entry)) AS entry, min(distance) AS distance
+            FROM away{turn} GROUP BY row_key, part
+        )""")
+        if turn < rounds:
+            steps.append(f"""
+        entries{turn + 1} AS MATERIALIZED (
+            SELECT part, entry, place, coalesce(mean, x) AS x
+            FROM entries{turn} LEFT JOIN (
+                SELECT part, entry, place, floor(sum(x) / count(*))::BIGINT AS mean
+                FROM points JOIN nearest{turn} USING (row_key, part) GROUP BY part, entry, place
+            ) USING (part, entry, place)
+        )""")
+    return f"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) - 1 AS row_key, vec_id, label,
+                   [floor(1024 * x::DOUBLE)::BIGINT for x in embedding] AS v
+            FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), points AS MATERIALIZED (
+            SELECT row_key, (i // (n // 4))::INT AS part, (i % (n // 4))::INT AS place, x
+            FROM (SELECT row_key, len(v) AS n, unnest(v) AS x, unnest(range(len(v))) AS i FROM kept)
+        ), entries0 AS MATERIALIZED (
+            SELECT part, row_key AS entry, place, x FROM points WHERE row_key < 256
+        ), {",".join(steps)}, coded AS (
+            SELECT row_key, string_agg(lower(printf('%02X', entry::INT)), '' ORDER BY part) AS code, sum(distance)::BIGINT AS error
+            FROM nearest{rounds} GROUP BY row_key
+        )
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, place)) FROM entries{rounds}) AS codebooks_sha256
+        FROM coded JOIN kept USING (row_key)
+    """
+
+
 ORACLES = {
     "op3_line_dedup": r"""
         WITH lines AS (
@@ -158,4 +219,5 @@ ORACLES = {
                sha256(coalesce(t, '')) AS kept_sha256
         FROM split LEFT JOIN kept ON kept.doc_id = split.doc_id
     """,
+    "op12_vector_codes": _lloyd_sql(4),
 }
