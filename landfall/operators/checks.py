@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,3 +59,46 @@ def check_foreign_key(
     if not rows:
         present = present.groupBy(quoted(column)).agg(F.count(F.lit(1)).alias("n"))
     return present.join(parents, column, "left_anti")
+
+
+def check_unique_merge(
+    stored: DataFrame, incoming: DataFrame, keys: Sequence[str], column: str, optional: bool = False, small: bool = False
+) -> DataFrame:
+    """Values of ``column`` that two rows would hold after a merge: (value).
+
+    ``stored`` holds each value once, ``incoming`` each set key once. Only the
+    batch is aggregated: its values are compared with each other, and with the
+    stored ones under other keys, but for those that the batch replaces. With
+    ``optional`` the column is a struct ``{v}``, null where a row leaves the
+    stored value; ``small`` says that the batch fits a broadcast.
+    """
+    sent = F.col(quoted(column))
+    value = sent["v"] if optional else sent
+    on = [f"k{i}" for i in range(len(keys))]
+    named = [F.col(quoted(k)).alias(n) for k, n in zip(keys, on, strict=True)]
+    changed = incoming.filter(sent.isNotNull()) if optional else incoming
+    replaced = changed.select(*named)
+    batch = changed.select(*[F.col(quoted(k)).alias(f"b{n}") for k, n in zip(keys, on, strict=True)], value.alias("value"))
+    batch = batch.filter("value is not null")
+    twice = batch.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
+    old = stored.select(*named, F.col(quoted(column)).alias("value")).filter("value is not null")
+    same = F.lit(True)
+    for n in on:
+        same = same & (F.col(n) == F.col(f"b{n}"))
+    hint = F.broadcast if small else (lambda df: df)
+    taken = old.join(hint(batch), "value").filter(~F.coalesce(same, F.lit(False)))
+    taken = taken.join(hint(replaced), on, "left_anti").select("value")
+    return twice.unionByName(taken)
+
+
+def orphans(incoming: DataFrame, column: str, parent: DataFrame, parent_column: str, small: bool = False) -> DataFrame:
+    """References of a batch that are set but have no parent: (value), each once.
+
+    The parent is first cut to the batch's references: by broadcasting them
+    where they are ``small``, else by a join that a Bloom filter of theirs can
+    precede at run time. Only what is found is compared with the batch.
+    """
+    wanted = incoming.select(F.col(quoted(column)).alias("value")).filter("value is not null").distinct()
+    parents = parent.select(F.col(quoted(parent_column)).alias("value"))
+    found = parents.join(F.broadcast(wanted) if small else wanted, "value", "left_semi")
+    return wanted.join(found, "value", "left_anti")

@@ -2,7 +2,10 @@
 
 One row is one definition of one table; the last one of a table holds. The
 definition keeps what a pinned schema file keeps: a single key name, and per
-column a storage type and its tests.
+column a storage type and its tests. Versions are numbered by the writers: each
+claims its number with a file that is created only where there is none, so that
+of two writers who both start from one version one saves and the other gets
+``RegistryConflict``.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from landfall.operators import commits
 from landfall.session import local_frame
 
 DEFINITION_SCHEMA = (
@@ -89,16 +93,63 @@ def latest_definitions(definitions: DataFrame) -> DataFrame:
     )
 
 
-def save_registry(columns: DataFrame, path: str, version: int) -> None:
-    """Pin the schemas of the tables in ``columns``; replaces older ones."""
-    definitions_of(columns, version).coalesce(1).write.mode("append").parquet(path)
+class RegistryConflict(RuntimeError):
+    """Another writer has pinned schemas since the version this one started from."""
+
+
+def current_version(spark: SparkSession, path: str) -> int | None:
+    """The number of the last saved version, None where nothing was ever pinned."""
+    claimed = [int(n) for n in commits.names_in(spark, f"{path}/_versions") if n.isdigit()]
+    if claimed:
+        return max(claimed)
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(DEFINITION_SCHEMA).parquet(path).agg(F.max("version")).first()[0]
+
+
+def save_registry(columns: DataFrame, path: str, version: int | None = None) -> int:
+    """Pin the schemas of the tables in ``columns``; replaces older ones. Returns the version.
+
+    ``version`` is the number that the writer takes to be free, by default the
+    next one. A number that is not above the last one, or that another writer
+    claims at the same time, is a conflict, and nothing is saved.
+    """
+    spark = columns.sparkSession
+    last = current_version(spark, path)
+    number = version if version is not None else (0 if last is None else last) + 1
+    if last is not None and number <= last or not commits.create_text(spark, f"{path}/_versions/{number}", ""):
+        raise RegistryConflict(f"version {number} of the registry was saved by another writer")
+    definitions_of(columns, number).coalesce(1).write.mode("append").parquet(path)
+    return number
+
+
+def compact_registry(spark: SparkSession, path: str) -> int:
+    """Leave only the last definition of every table; returns the number of files removed.
+
+    The last definitions are written before the files read go, so a reader
+    sees each at least once; what is saved meanwhile is in other files.
+    """
+    files = [n for n in commits.names_in(spark, path) if n.endswith(".parquet")]
+    if not files:
+        return 0
+    definitions = spark.read.schema(DEFINITION_SCHEMA).parquet(*[f"{path}/{n}" for n in files])
+    last = local_frame(spark, latest_definitions(definitions).collect(), DEFINITION_SCHEMA)
+    last.coalesce(1).write.mode("append").parquet(path)
+    for n in files:
+        commits.remove_folder(spark, f"{path}/{n}")
+    return len(files)
+
+
+def load_definitions(spark: SparkSession, path: str) -> DataFrame:
+    """The last definition of every pinned table."""
+    if not path_exists(spark, path):
+        return local_frame(spark, [], DEFINITION_SCHEMA)
+    return latest_definitions(spark.read.schema(DEFINITION_SCHEMA).parquet(path))
 
 
 def load_registry(spark: SparkSession, path: str) -> DataFrame:
     """All pinned table columns; none where nothing was ever pinned."""
-    if not path_exists(spark, path):
-        return registry_columns(local_frame(spark, [], DEFINITION_SCHEMA))
-    return registry_columns(latest_definitions(spark.read.schema(DEFINITION_SCHEMA).parquet(path)))
+    return registry_columns(load_definitions(spark, path))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 import uuid
+import zlib
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -22,23 +23,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from landfall.functions.names import quoted
-from landfall.operators.checks import check_unique
+from landfall.operators.checks import check_unique, check_unique_merge, orphans
 from landfall.operators.drift import detect_drift
 from landfall.operators.infer import infer_record_schema, infer_with_heads, map_types
 from landfall.operators.keys import add_parents, apply_key_map, detect_keys, first_rows, key_map
 from landfall.operators.reads import capped_ids
-from landfall.operators.registry import SINGLETON, load_registry, resolve_schema, save_registry
+from landfall.operators.commits import CommitConflict, TableState
+from landfall.operators.registry import SINGLETON, RegistryConflict, current_version, load_registry, resolve_schema, save_registry
 from landfall.operators.tables import (
+    KEY_PART,
     Store,
     TableColumn,
     TableSchema,
     column_defaults,
     create_table,
     evolve_table,
+    in_partitions,
+    key_part,
+    open_state,
     replace_partitions,
     replace_table,
     table_exists,
-    table_location,
     table_schemas,
 )
 from landfall.operators.upsert import ORDER, as_rows, last_wins, project_records, upsert
@@ -68,6 +73,9 @@ class Options:
     ``rejects``: bad bodies and values are kept aside (``keep``) or an error
     (``fail``). ``wide_parents`` stores parent ids as BIGINT; as INTEGER, an id
     that does not fit is a reject. ``faithful`` keys fan-out tables by ``id`` alone.
+    ``references`` maps a table's columns to parent table and column; rows whose
+    reference has no parent are kept (``keep``), become rejects (``reject``) or
+    are an error (``fail``), as ``orphans`` says.
     """
 
     endpoints: Sequence[Endpoint] = ENDPOINTS
@@ -79,6 +87,8 @@ class Options:
     missing: str = "null"
     rejects: str = "keep"
     infer: Mapping[str, bool] = field(default_factory=dict)
+    references: Mapping[str, Mapping[str, tuple[str, str]]] = field(default_factory=dict)
+    orphans: str = "reject"
 
     @property
     def parent_type(self) -> str:
@@ -202,15 +212,16 @@ class BatchPlan:
     columns: DataFrame
     mapped: DataFrame
     registry: DataFrame
+    version: int | None
 
 
 def _plan(store: Store, staged: Staged, options: Options) -> BatchPlan:
     """Schema, keys and parent of every table of the batch; metadata only."""
     spark = store.spark
-    alike = {t.lower(): t for t in staged.tables}
+    alike: dict[str, list[str]] = {}
     for table in staged.tables:
-        if alike[table.lower()] != table:
-            raise IngestError(f"tables '{table}' and '{alike[table.lower()]}' differ in case only")
+        alike.setdefault(table.lower(), []).append(table)
+    version = current_version(spark, store.registry_path)
     registry = load_registry(spark, store.registry_path)
     registry = local_frame(spark, registry.collect(), registry.schema)
     mapped = map_types(staged.inferred, options.long_ints)
@@ -229,12 +240,27 @@ def _plan(store: Store, staged: Staged, options: Options) -> BatchPlan:
     }
     plans = {}
     for table, schema in table_schemas(columns).items():
-        k = keys[table]
+        k, same = keys[table], alike[table.lower()]
+        problem = f"tables '{same[0]}' and '{same[1]}' differ in case only" if len(same) > 1 else k["problem"]
         plans[table] = TablePlan(
-            schema, staged.endpoint_of(table), parents.get(table), list(k["key_columns"] or []), k["is_primary"],
-            k["problem"],
+            schema, staged.endpoint_of(table), parents.get(table), list(k["key_columns"] or []), k["is_primary"], problem
         )
-    return BatchPlan(plans, columns, mapped, registry)
+    return BatchPlan(plans, columns, mapped, registry, version)
+
+
+def _pin(store: Store, batch: BatchPlan, columns: DataFrame) -> None:
+    """Save the schemas of some tables, unless another writer has changed those since the batch was planned."""
+    tables = F.col("table_name").isin(sorted({r[0] for r in columns.select("table_name").distinct().collect()}))
+    while True:
+        try:
+            batch.version = save_registry(columns, store.registry_path, (batch.version or 0) + 1)
+            return
+        except RegistryConflict:
+            now = load_registry(store.spark, store.registry_path)
+            then = batch.registry.filter(tables)
+            if now.filter(tables).exceptAll(then).take(1):
+                raise
+            batch.version = current_version(store.spark, store.registry_path)
 
 
 def init_tables(store: Store, landing: DataFrame | Staged, options: Options = Options()) -> list[str]:
@@ -244,7 +270,9 @@ def init_tables(store: Store, landing: DataFrame | Staged, options: Options = Op
     does not hide its table. Returns the names of the created tables.
     """
     with _staged(landing, options) as staged:
-        return _create(store, _plan(store, staged, options))
+        batch = _plan(store, staged, options)
+        _set_aside(store, staged, batch, options, uuid.uuid4().hex)
+        return _create(store, batch)
 
 
 @contextmanager
@@ -267,7 +295,7 @@ def _create(store: Store, batch: BatchPlan) -> list[str]:
     if created:
         new = batch.columns.filter(F.col("table_name").isin(created))
         drift = detect_drift(batch.mapped.filter(F.col("table_name").isin(created)), batch.registry)
-        save_registry(new, store.registry_path, time.time_ns())
+        _pin(store, batch, new)
         events = new.groupBy("table_name").agg(F.first("endpoint").alias("endpoint")).select(
             "endpoint", F.col("table_name").alias("table"), F.lit("table_created").alias("event")
         )
@@ -276,46 +304,74 @@ def _create(store: Store, batch: BatchPlan) -> list[str]:
 
 
 def ingest(
-    store: Store, landing: DataFrame | Staged, options: Options = Options(), init: bool = False
+    store: Store, landing: DataFrame | Staged, options: Options = Options(), init: bool = False,
+    batch: tuple[str, int] | None = None,
 ) -> dict[str, int]:
     """Upsert all records of a landing into their tables.
 
     Returns the number of records written per table, not of distinct keys. A
     table that does not exist is an error, unless ``init`` creates it. Tables
     are independent, so a few are written at a time: the tail of one does not
-    leave the cluster idle.
+    leave the cluster idle; only a table that others refer to is written before
+    them. ``batch`` names a stream and its batch: a table that has committed it
+    is not written again.
     """
     with _staged(landing, options) as staged:
-        return _ingest(store, staged, options, init)
+        return _ingest(store, staged, options, init, batch)
 
 
-def _ingest(store: Store, staged: Staged, options: Options, init: bool) -> dict[str, int]:
+def _ingest(
+    store: Store, staged: Staged, options: Options, init: bool, source: tuple[str, int] | None = None
+) -> dict[str, int]:
+    # Rejects of a repeated batch take the place of the first ones.
+    tag = uuid.uuid4().hex if source is None else f"{zlib.crc32(source[0].encode()):08x}-{source[1]}"
     batch = _plan(store, staged, options)
+    _set_aside(store, staged, batch, options, tag)
     created = _create(store, batch) if init else []
     absent = [t for t in batch.tables if not table_exists(store, t)]
     if absent:
-        raise IngestError(f"Table '{absent[0]}' does not exist. Run init first.")
-    for plan in batch.tables.values():
-        if plan.problem:
-            raise IngestError(plan.problem)
+        raise IngestError(f"There is no table '{absent[0]}' yet: '{absent[0]}' does not exist; an init makes it.")
     if options.rejects == "fail":
         bad = staged.rejects.take(1)
         if bad:
             raise IngestError(f"{bad[0]['endpoint']}: {bad[0]['problem']}: {bad[0]['rejected_text']}")
-    batch_id = uuid.uuid4().hex
     if options.rejects != "fail" and not staged.rejects.isEmpty():
-        _keep_rejects(store, batch_id, "responses", staged.rejects)
+        _keep_rejects(store, tag, "responses", staged.rejects)
     if staged.unusable:
         _log_unusable(store, staged, options)
     if options.missing == "fail":
         _refuse_missing(staged)
     if len(created) < len(batch.tables):
         _handle_drift(store, batch, options)
-    plans = [batch.tables[t] for t in sorted(batch.tables)]
-    write = inheritable_thread_target(store.spark)(lambda plan: _ingest_table(store, staged, plan, options, batch_id))
-    with ThreadPoolExecutor(_TABLES_AT_A_TIME) as pool:
-        counts = list(pool.map(write, plans))
-    return {plan.schema.table_name: n for plan, n in zip(plans, counts, strict=True)}
+    write = inheritable_thread_target(store.spark)(lambda plan: _ingest_table(store, staged, plan, options, tag, source))
+    counts: dict[str, int] = {}
+    for wave in _waves(sorted(batch.tables), options.references):
+        with ThreadPoolExecutor(_TABLES_AT_A_TIME) as pool:
+            counts |= zip(wave, pool.map(write, [batch.tables[t] for t in wave]), strict=True)
+    return {t: counts[t] for t in sorted(counts)}
+
+
+def _waves(tables: Sequence[str], references: Mapping[str, Mapping]) -> Iterator[list[str]]:
+    """The tables in turns, each after those that it refers to; tables that refer to each other go together."""
+    left = list(tables)
+    while left:
+        parents = {t: {p for p, _ in references.get(t, {}).values()} - {t} for t in left}
+        ready = [t for t in left if not parents[t] & set(left)] or left
+        yield ready
+        left = [t for t in left if t not in ready]
+
+
+def _set_aside(store: Store, staged: Staged, batch: BatchPlan, options: Options, tag: str) -> None:
+    """Tables that cannot be stored become rejects, so that the others can; an error if there are no others."""
+    bad = {t: p.problem for t, p in batch.tables.items() if p.problem}
+    if not bad:
+        return
+    if options.rejects == "fail" or len(bad) == len(batch.tables):
+        raise IngestError(next(iter(bad.values())))
+    for table, problem in bad.items():
+        del batch.tables[table]
+        records = staged.records.filter(F.col("table_name") == table)
+        _keep_rejects(store, tag, f"{table}-", records.withColumns({"problem": F.lit(problem), "rejected_text": F.to_json("record")}))
 
 
 def _log_unusable(store: Store, staged: Staged, options: Options) -> None:
@@ -357,11 +413,16 @@ def _handle_drift(store: Store, batch: BatchPlan, options: Options) -> None:
              plan.schema.table_key, *(c.references or (None, None)))
             for i, c in enumerate(plan.schema.columns)
         ]
-    save_registry(local_frame(store.spark, evolved, batch.columns.schema), store.registry_path, time.time_ns())
+    _pin(store, batch, local_frame(store.spark, evolved, batch.columns.schema))
 
 
-def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Options, batch_id: str) -> int:
+def _ingest_table(
+    store: Store, staged: Staged, plan: TablePlan, options: Options, tag: str, batch: tuple[str, int] | None
+) -> int:
     spark, table, schema = store.spark, plan.schema.table_name, plan.schema
+    state = open_state(store, table)
+    if batch is not None and state.batches.get(batch[0], -1) >= batch[1]:
+        return 0  # this table committed the batch before the stream failed
     arrived = {r["name"]: r for r in staged.columns if r["table_name"] == table}
     single = options.keys.get(table) == "singleton" or schema.table_key == SINGLETON
     injected = [plan.parent] if plan.parent else []
@@ -380,7 +441,11 @@ def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Option
     if not set(plan.keys) <= set(own):
         raise IngestError(f"{table}: the batch has no {', '.join(sorted(set(plan.keys) - set(own)))}")
     keys = [own[k] for k in plan.keys]
-    rows = project_records(records, [(c.name, c.data_type) for c in columns], aliases=[own[c.name] for c in columns])
+    # The record goes along, unread until it is asked for: the text of a reject is written from it.
+    rows = project_records(
+        records.withColumn("rejected_text", F.col("record")), [(c.name, c.data_type) for c in columns],
+        carried=("endpoint", "entity_id", "seq", "pos", "rejected_text"), aliases=[own[c.name] for c in columns],
+    )
     if plan.parent:
         spark_type = next((c.spark_type for c in schema.columns if c.name == plan.parent), "int")
         rows = inject_columns(rows, {own[plan.parent]: F.col("entity_id").try_cast(spark_type)})
@@ -412,28 +477,74 @@ def _ingest_table(store: Store, staged: Staged, plan: TablePlan, options: Option
     )
     path = shared_dir(spark, f"batch-{table}")
     reduced, size = reduced.drop(*ORDER), Observation()
+    hidden = KEY_PART in store.layout(table)
+    if hidden:
+        reduced = reduced.withColumn(KEY_PART, key_part(store, table, keys))
     reduced.observe(size, F.sum(_row_bytes(reduced)).alias("n")).write.parquet(path)
     counts = seen.get
     if counts["n_bad"]:
         bad = rows.filter(F.col("problem").isNotNull())
         if options.rejects == "fail":
             first = bad.select("seq", "pos", "problem").first()
+            remove_dir(spark, path)
             raise IngestError(f"{table}: {first['problem']} (response {first['seq']}, record {first['pos']})")
-        _keep_rejects(store, batch_id, table, bad.withColumns({
-            "table_name": F.lit(table), "rejected_text": F.lit(None).cast("string"),
-        }))
+        _keep_rejects(store, tag, table, bad.withColumn("table_name", F.lit(table)))
 
-    incoming = spark.read.parquet(path).select(*[F.col(c).alias(n) for n, c in own.items()])
+    incoming = spark.read.parquet(path).select(*[F.col(c).alias(n) for n, c in own.items()], *([KEY_PART] if hidden else []))
     optional = [n for n in names if n not in plan.keys] if found else []
     # What a broadcast of the batch takes in memory was measured as it was written.
     small = (size.get["n"] or 0) <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    _merge(store, table, incoming, plan, null_keys, optional, small)
-    remove_dir(spark, path)
-    return counts["n"] - counts["n_bad"]
+    try:
+        incoming, n_orphans = _without_orphans(store, table, incoming, options, optional, small, tag)
+        _merge(store, table, incoming, plan, null_keys, optional, small, state, batch)
+    finally:
+        remove_dir(spark, path)
+    return counts["n"] - counts["n_bad"] - n_orphans
+
+
+def _without_orphans(
+    store: Store, table: str, incoming: DataFrame, options: Options, optional: list[str], small: bool, tag: str
+) -> tuple[DataFrame, int]:
+    """The batch without the rows whose references have no parent, which become rejects, and their number."""
+    gone = 0
+    for column, (parent, parent_column) in options.references.get(table, {}).items():
+        if column not in incoming.columns or options.orphans == "keep":
+            continue
+        flat = incoming.withColumn(column, F.col(quoted(column))["v"]) if column in optional else incoming
+        known = store.table(parent).select(quoted(parent_column)) if table_exists(store, parent) else None
+        if known is None:
+            raise IngestError(f"{table}: '{column}' refers to '{parent}', which does not exist")
+        path = shared_dir(store.spark, f"orphans-{table}")
+        lost = orphans(flat, column, known, parent_column, small)
+        lost.write.parquet(path)
+        lost = store.spark.read.schema(lost.schema).parquet(path)
+        first = lost.take(1)
+        if not first:
+            remove_dir(store.spark, path)
+            continue
+        if options.orphans == "fail":
+            remove_dir(store.spark, path)
+            raise IngestError(f"{table}: {column} = {first[0][0]} has no {parent}.{parent_column}")
+        # The orphaned references of a batch that fits a broadcast fit one, too.
+        lost = F.broadcast(lost) if small else lost
+        ours = flat.withColumn("orphaned", F.col(quoted(column)))
+        bad = ours.join(lost, F.col("orphaned") == F.col("value"), "left_semi").drop("orphaned", KEY_PART)
+        rejected = bad.select(
+            F.lit(table).alias("table_name"), F.to_json(F.struct(*[F.col(quoted(c)) for c in bad.columns])).alias("rejected_text"),
+            F.concat(F.lit(f"{column} has no {parent}.{parent_column}: "), F.col(quoted(column)).cast("string")).alias("problem"),
+            *[F.lit(None).cast(t).alias(n) for n, t in (("endpoint", "string"), ("entity_id", "bigint"), ("seq", "bigint"), ("pos", "int"))],
+        )
+        _keep_rejects(store, tag, f"{table}.{column}", rejected)
+        gone += bad.count()
+        value = F.col(quoted(column))["v"] if column in optional else F.col(quoted(column))
+        incoming = incoming.withColumn("orphaned", value).join(lost, F.col("orphaned") == F.col("value"), "left_anti").drop("orphaned")
+    return incoming, gone
 
 
 def _keep_rejects(store: Store, batch_id: str, part: str, bad: DataFrame) -> None:
     """Rejects of one batch and table, in a folder of their own: tables are written side by side."""
+    if dict(bad.dtypes)["rejected_text"] == "variant":
+        bad = bad.withColumn("rejected_text", F.to_json("rejected_text"))
     rows = bad.select("endpoint", "entity_id", "seq", "pos", "problem", "table_name", "rejected_text")
     rows.write.mode("overwrite").parquet(f"{store.path('_rejects')}/batch={batch_id}/part={part}")
 
@@ -452,34 +563,53 @@ def _row_bytes(rows: DataFrame) -> Column:
 
 
 def _merge(
-    store: Store, table: str, incoming: DataFrame, plan: TablePlan, null_keys: bool, optional: list[str], small: bool
+    store: Store, table: str, incoming: DataFrame, plan: TablePlan, null_keys: bool, optional: list[str], small: bool,
+    state: TableState, batch: tuple[str, int] | None,
 ) -> None:
-    base, defaults = store.table(table), column_defaults(plan.schema)
-    parts = store.partition_by.get(table)
-    others = [c.name for c in plan.schema.columns if c.unique and [c.name] != plan.keys and c.name in base.columns]
-
-    def unique(stored: DataFrame) -> None:
-        for name in others:
-            if check_unique(stored, [name]).take(1):
-                raise IngestError(f"{table}: '{name}' is not unique")
-
-    if parts:
-        touched = incoming.select(*[F.col(quoted(p)).alias(f"touched_{i}") for i, p in enumerate(parts)]).distinct()
-        # A null partition is a partition like any other.
-        same = reduce(and_, [F.col(quoted(p)).eqNullSafe(F.col(f"touched_{i}")) for i, p in enumerate(parts)])
-        merged = upsert(base.join(touched, same, "left_semi"), incoming, plan.keys, null_keys, small, optional, defaults)
-        if others:
-            rest = base.join(touched, same, "left_anti")
-            unique(merged.select(*others).unionByName(rest.select(*others)))
-        replace_partitions(store, table, merged)
-        return
-    first_load = table_location(store, table).rstrip("/").endswith("/v0") and base.isEmpty()
-    merged = (
-        as_rows(incoming, base, optional, defaults)
+    """Write the next version of a table: what it holds, after a batch.
+
+    Where a table has partitions or key parts, only those that the batch
+    touches are read, by literals in the scan, and written again.
+    """
+    stored, defaults = store.stored(table), column_defaults(plan.schema)
+    parts = store.layout(table)
+    others = [c.name for c in plan.schema.columns if c.unique and [c.name] != plan.keys and c.name in stored.columns]
+    first_load = state.version == 0 and stored.isEmpty()
+
+    def refuse(name: str) -> None:
+        raise IngestError(f"{table}: '{name}' is not unique")
+
+    full = []
+    for name in others:
+        if name in defaults and (name not in incoming.columns or name in optional):
+            full.append(name)  # inserted rows share the default
+        elif name in incoming.columns:
+            if check_unique_merge(stored, incoming, plan.keys, name, name in optional, small).take(1):
+                refuse(name)
+
+    def unique(version: DataFrame) -> None:
+        for name in full:
+            if check_unique(version, [name]).take(1):
+                refuse(name)
+
+    merge = lambda old: (
+        as_rows(incoming, old, optional, defaults)
         if first_load
-        else upsert(base, incoming, plan.keys, null_keys, small, optional, defaults)
+        else upsert(old, incoming, plan.keys, null_keys, small, optional, defaults)
     )
-    replace_table(store, table, merged, plan.keys, check=unique if others else None)
+    if not parts:
+        replace_table(store, table, merge(stored), plan.keys, unique if full else None, state, batch)
+        return
+    # As many as partitions that are written anew, each of which is an entry of the catalog.
+    touched = [tuple(r) for r in incoming.select(*map(quoted, parts)).distinct().collect()]
+    merged = merge(stored.filter(in_partitions(parts, touched)))
+    if not small:
+        # The join has spread the rows by key: a partition would else be a file of every task.
+        merged = merged.hint("rebalance", *[F.col(quoted(p)) for p in parts])
+    if full:
+        rest = stored.filter(~F.coalesce(in_partitions(parts, touched), F.lit(False)))
+        unique(merged.select(*full).unionByName(rest.select(*full)))
+    replace_partitions(store, table, merged, plan.keys, base=state, batch=batch)
 
 
 def ingest_fanout(

@@ -22,17 +22,18 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Upsert every landing file under ``path`` once, then stop.
 
-    Start it again for the files that came since. A batch that is replayed
-    after a failure changes nothing more, as the upsert is by key and the order
-    of rows comes from the data; only rows with a null key are inserted again.
+    Start it again for the files that came since. Every table commits the
+    number of the batch with its rows, so a batch that is replayed after a
+    failure is stored by the tables that lack it and by no others: exactly once,
+    rows with a null key too. The stream is known by its checkpoint folder.
     """
     spark = prepare(store.spark)
     reader = spark.readStream.schema(LANDING_SCHEMA).format(fmt)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        ingest(store, batch, options, init=init)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ingest(store, batch, options, init=init, batch=(checkpoint.rstrip("/"), batch_id))
 
     return (
         reader.load(path)
