@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landfall.functions.values import DEFAULT_STORAGE_TYPE, STORAGE_TYPES, value_kind, value_type
-from landfall.sources.landing import route_records
+from landfall.sources.landing import member_lists, route_records
 
 LOOK_AHEAD = 6  # fixed value: records searched for a first type within one response
 
@@ -129,6 +129,31 @@ def infer_schema(landing: DataFrame, **options) -> DataFrame:
     return infer_record_schema(route_records(landing), **options)
 
 
+def infer_responses(landing: DataFrame) -> DataFrame:
+    """Columns of every table of each response, inferred from that response alone.
+
+    The rows of ``infer_record_schema(..., per_response=True)``, but folded over
+    the elements of each response where it is parsed, without a shuffle: a job
+    over any number of responses is one map stage, and each response's columns
+    are at hand beside it.
+    """
+    lists = member_lists(landing)
+    good = F.filter("records", lambda r: r.isNotNull())
+    of = lambda key: lambda record: value_type(record[key])
+    known = lambda t: t.isNotNull() & (t != "null")
+
+    def column(key, ordinal):
+        first = F.get(F.filter(F.transform(F.slice("records", 1, LOOK_AHEAD), of(key)), known), F.lit(0))
+        empty = F.exists(good, lambda r: F.coalesce(F.is_variant_null(r[key]), F.lit(True)))
+        return F.struct(
+            ordinal.cast("int").alias("ordinal"), key.alias("name"), F.coalesce(first, F.lit("str")).alias("type"), empty.alias("nullable"),
+            F.size(good).cast("bigint").alias("n_records"),
+            F.size(F.filter(good, lambda r: r[key].isNotNull())).cast("bigint").alias("n_present"),
+        )
+
+    return lists.select("endpoint", "table_name", "seq", "entity_id", F.inline(F.transform("keys", column)))
+
+
 def storage_type(inferred, long_ints: bool = False):
     """Storage type of an inferred type name; TEXT for one that is unknown."""
     names = dict(STORAGE_TYPES, int="BIGINT") if long_ints else STORAGE_TYPES

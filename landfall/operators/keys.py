@@ -41,8 +41,10 @@ def _plus_row(columns: DataFrame, condition: Column, new: Mapping[str, Column])
     return columns.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def add_parents(columns: DataFrame, parents: Mapping[str, str], data_type: str = "INTEGER") -> DataFrame:
-    """Add each table's injected column at its end, NOT NULL, if it lacks it."""
+def add_parents(
+    columns: DataFrame, parents: Mapping[str, str], data_type: str = "INTEGER", nullable: bool = False
+) -> DataFrame:
+    """Add each table's injected column at its end, NOT NULL unless ``nullable``, if it lacks it."""
     parent = by_table(parents)
     table = Window.partitionBy("table_name")
     flagged = columns.withColumns({
@@ -53,7 +55,7 @@ def add_parents(columns: DataFrame, parents: Mapping[str, str], data_type: str =
         "ordinal": F.col("ordinal") + 1,
         "name": parent,
         "data_type": F.lit(data_type),
-        "nullable": F.lit(False),
+        "nullable": F.lit(nullable),
         "primary_key": F.lit(False),
         "unique": F.lit(False),
     }

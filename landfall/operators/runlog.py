@@ -37,7 +37,7 @@ def latest_state(events: DataFrame, order: Sequence[str] | None = None) -> DataF
 def progress(events: DataFrame, order: Sequence[str] | None = None, known: DataFrame | None = None) -> DataFrame:
     """Latest progress of each task, with the percentage to one decimal.
 
-    ``current_id`` is the last one given. With ``known``, rows of (run_id,
+    ``current_id`` is the last one given; of a total of zero there is no percentage. With ``known``, rows of (run_id,
     task), progress of other tasks is ignored.
     """
     position = _order(events, order)
@@ -49,10 +49,26 @@ def progress(events: DataFrame, order: Sequence[str] | None = None, known: DataF
     if known is not None:
         latest = latest.join(known.select(*_TASK).distinct(), _TASK, "left_semi")
     return latest.select(
-        *_TASK, "s.current", "s.total", F.bround(F.col("s.current") / F.col("s.total") * 100, 1).alias("pct"), "current_id"
+        *_TASK, "s.current", "s.total", F.bround(F.try_divide("s.current", "s.total") * 100, 1).alias("pct"), "current_id"
     )
 
 
+def task_state(events: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    """Last status and last progress of each task in a run, by one aggregation.
+
+    The columns of ``latest_state`` and ``progress``. It may be taken over a
+    stream of the log, too: an event changes the row of its task only.
+    """
+    position, given, moved = _order(events, order), F.col("current_id").isNotNull(), F.col("current").isNotNull()
+    state = events.groupBy(*_TASK).agg(
+        F.max_by(F.struct("status", "time", "duration_s", "error"), position).alias("s"),
+        F.max_by(F.when(moved, F.struct("current", "total")), F.when(moved, position)).alias("p"),
+        F.max_by(F.when(moved & given, F.col("current_id")), F.when(moved & given, position)).alias("current_id"),
+    )
+    pct = F.bround(F.try_divide("p.current", "p.total") * 100, 1)
+    return state.select(*_TASK, "s.*", "p.current", "p.total", pct.alias("pct"), "current_id")
+
+
 def task_durations(events: DataFrame) -> DataFrame:
     """Seconds from the first start to the last end of each task, to 0.1 s.
 

@@ -7,6 +7,7 @@ over tables.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 import zlib
@@ -14,6 +15,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from datetime import datetime
 from functools import reduce
 from operator import and_
 
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from landfall.functions.names import quoted
+from landfall.functions.values import SPARK_TYPES
 from landfall.operators.checks import check_unique, check_unique_merge, orphans
 from landfall.operators.drift import detect_drift
 from landfall.operators.infer import infer_record_schema, infer_with_heads, map_types
@@ -49,7 +52,15 @@ from landfall.operators.tables import (
 from landfall.operators.upsert import ORDER, as_rows, last_wins, project_records, upsert
 from landfall.plans.endpoints import ENDPOINTS, TABLE_KEYS, Endpoint
 from landfall.session import local_frame, prepare, remove_dir, shared_dir
-from landfall.sources.landing import inject_columns, route_all, with_endpoints
+from landfall.sources.landing import (
+    LARGEST_BODY,
+    TOO_LARGE,
+    inject_columns,
+    normalize_response,
+    route_all,
+    route_large,
+    with_endpoints,
+)
 from landfall.sources.logs import append_discovery, append_run_events
 
 _COLUMN_SCHEMA = (
@@ -75,7 +86,10 @@ class Options:
     that does not fit is a reject. ``faithful`` keys fan-out tables by ``id`` alone.
     ``references`` maps a table's columns to parent table and column; rows whose
     reference has no parent are kept (``keep``), become rejects (``reject``) or
-    are an error (``fail``), as ``orphans`` says.
+    are an error (``fail``), as ``orphans`` says. ``extra_columns`` gives the
+    tables of an endpoint further columns: a value, or (storage type, Column) over
+    ``endpoint``, ``entity_id``, ``seq`` and ``pos``; they replace fields of their
+    name. Bodies of ``largest_body`` bytes or more are split as text.
     """
 
     endpoints: Sequence[Endpoint] = ENDPOINTS
@@ -89,6 +103,14 @@ class Options:
     infer: Mapping[str, bool] = field(default_factory=dict)
     references: Mapping[str, Mapping[str, tuple[str, str]]] = field(default_factory=dict)
     orphans: str = "reject"
+    extra_columns: Mapping[str, Mapping[str, object]] = field(default_factory=dict)
+    largest_body: int = LARGEST_BODY
+
+    def extras(self, path: str) -> dict[str, tuple[str, Column]]:
+        """Storage type and value of each extra column of an endpoint's tables."""
+        path = path.rstrip("/")
+        own = next((c for e, c in self.extra_columns.items() if e.rstrip("/") == path), {})
+        return {name: _typed_value(value, self.long_ints) for name, value in own.items()}
 
     @property
     def parent_type(self) -> str:
@@ -99,6 +121,26 @@ class Options:
         return next((e for e in self.endpoints if e.path.rstrip("/") == path), Endpoint(path))
 
 
+def _typed_value(value: object, long_ints: bool) -> tuple[str, Column]:
+    """Storage type and column of a value as it would be inferred, or of a pair that says them."""
+    if isinstance(value, tuple):
+        data_type, column = value
+        return data_type, column.cast(SPARK_TYPES[data_type])
+    if isinstance(value, bool):
+        data_type = "BOOLEAN"
+    elif isinstance(value, int):
+        data_type = "BIGINT" if long_ints or abs(value) >= 2**31 else "INTEGER"
+    elif isinstance(value, float):
+        data_type = "DOUBLE"
+    elif isinstance(value, datetime):
+        data_type = "TIMESTAMP"
+    elif isinstance(value, dict | list):
+        data_type, value = "JSON", json.dumps(value, separators=(",", ":"), ensure_ascii=False)
+    else:
+        data_type, value = "TEXT", None if value is None else str(value)
+    return data_type, F.lit(value).cast(SPARK_TYPES[data_type])
+
+
 @dataclass
 class Staged:
     """A parsed batch: its records, its rejects, and its inferred columns.
@@ -112,6 +154,7 @@ class Staged:
     columns: list
     unusable: list
     path: str
+    clear: bool = False  # known to have no rejects
 
     @property
     def tables(self) -> list[str]:
@@ -142,20 +185,27 @@ def stage(landing: DataFrame, options: Options = Options()) -> Staged:
     if options.infer.get("per_response"):
         raise ValueError("per_response is for infer_schema; an ingest has the names of every response")
     spark = prepare(landing.sparkSession)
-    landing = with_endpoints(landing, {e.path: e.prefix for e in options.endpoints})
+    landing = normalize_response(with_endpoints(landing, {e.path: e.prefix for e in options.endpoints}))
     # Key order needs the text; it is looked up below for first responses only.
-    routed = route_all(landing).drop("response_key", "keys")
+    routed, seen = route_all(landing, options.largest_body).drop("response_key", "keys"), Observation()
+    too_large = F.coalesce(F.col("problem") == TOO_LARGE, F.lit(False))
     path = shared_dir(spark, "records")
-    routed.write.partitionBy("table_name").parquet(path)
+    routed.withColumn("rejected_text", F.when(~too_large, F.col("rejected_text"))).observe(
+        seen, F.count_if(too_large).alias("large"), F.count_if(F.col("problem").isNotNull()).alias("bad")
+    ).write.partitionBy("table_name").parquet(path)
+    large = landing.filter(F.octet_length("body") >= options.largest_body) if seen.get["large"] else None
+    if large is not None:
+        route_large(large).drop("response_key", "keys").write.mode("append").partitionBy("table_name").parquet(path)
     rows = spark.read.schema(routed.schema).parquet(path)
     good = rows.filter(F.col("problem").isNull()).drop("problem", "rejected_text")
-    bad = rows.filter(F.col("problem").isNotNull()).select(
+    bad = rows.filter(F.col("problem").isNotNull() & ~too_large).select(
         "endpoint", "entity_id", "seq", "table_name", "pos", "problem", "rejected_text"
     )
     found = infer_with_heads(good, **{"every_response": True, **options.infer}).collect()
-    columns, unusable = _usable(_in_text_order(landing, [r.asDict() for r in found]))
+    columns, unusable = _usable(_in_text_order(landing, [r.asDict() for r in found], options.largest_body, large is not None))
     rows = [tuple(c[n] for n in _names(_COLUMN_SCHEMA)) for c in columns]
-    return Staged(good, bad, local_frame(spark, rows, _COLUMN_SCHEMA), columns, unusable, path)
+    clear = seen.get["bad"] == 0
+    return Staged(good, bad, local_frame(spark, rows, _COLUMN_SCHEMA), columns, unusable, path, clear)
 
 
 def _usable(columns: list[dict]) -> tuple[list[dict], list[dict]]:
@@ -173,7 +223,7 @@ def _usable(columns: list[dict]) -> tuple[list[dict], list[dict]]:
     return good, bad
 
 
-def _in_text_order(landing: DataFrame, columns: list[dict]) -> list[dict]:
+def _in_text_order(landing: DataFrame, columns: list[dict], largest: int, any_large: bool) -> list[dict]:
     """Inferred columns in the order of the text of each table's first record.
 
     Reads the responses that hold first records, at most one per table; the
@@ -183,7 +233,10 @@ def _in_text_order(landing: DataFrame, columns: list[dict]) -> list[dict]:
     if not heads:
         return columns
     first = landing.filter(F.col("seq").isin(sorted({seq for _, seq in heads})))
-    texts = route_all(first).filter(F.col("problem").isNull() & F.col("keys").isNotNull())
+    texts = route_all(first, largest).filter(F.col("problem").isNull() & F.col("keys").isNotNull())
+    if any_large:
+        of_large = route_large(first.filter(F.octet_length("body") >= largest))
+        texts = texts.unionByName(of_large.filter(F.col("problem").isNull() & F.col("keys").isNotNull()))
     keys = {
         r["table_name"]: list(dict.fromkeys(r["keys"]))
         for r in texts.select("table_name", "seq", "keys").collect()
@@ -232,7 +285,11 @@ def _plan(store: Store, staged: Staged, options: Options) -> BatchPlan:
         if parent:
             parents[table] = parent
     keymap = key_map(spark, options.keys)
-    columns = apply_key_map(add_parents(resolved, parents, options.parent_type), keymap)
+    columns = add_parents(resolved, parents, options.parent_type)
+    extras = {t: options.extras(staged.endpoint_of(t)) for t in staged.tables}
+    for name, data_type in sorted({(n, k) for own in extras.values() for n, (k, _) in own.items()}):
+        columns = add_parents(columns, {t: name for t, own in extras.items() if own.get(name, ("",))[0] == data_type}, data_type, True)
+    columns = apply_key_map(columns, keymap)
     columns = local_frame(spark, columns.collect(), columns.schema)
     keys = {
         r["table_name"]: r
@@ -335,7 +392,7 @@ def _ingest(
         bad = staged.rejects.take(1)
         if bad:
             raise IngestError(f"{bad[0]['endpoint']}: {bad[0]['problem']}: {bad[0]['rejected_text']}")
-    if options.rejects != "fail" and not staged.rejects.isEmpty():
+    if options.rejects != "fail" and not staged.clear and not staged.rejects.isEmpty():
         _keep_rejects(store, tag, "responses", staged.rejects)
     if staged.unusable:
         _log_unusable(store, staged, options)
@@ -425,9 +482,11 @@ def _ingest_table(
         return 0  # this table committed the batch before the stream failed
     arrived = {r["name"]: r for r in staged.columns if r["table_name"] == table}
     single = options.keys.get(table) == "singleton" or schema.table_key == SINGLETON
-    injected = [plan.parent] if plan.parent else []
-    if plan.parent and plan.parent not in store.table(table).columns:
-        evolve_table(store, table, [TableColumn(plan.parent, options.parent_type)])
+    injected = {plan.parent: (options.parent_type, F.col("entity_id"))} if plan.parent else {}
+    injected |= options.extras(plan.endpoint)
+    lacking = [TableColumn(n, t) for n, (t, _) in injected.items() if n not in store.table(table).columns]
+    if lacking:
+        evolve_table(store, table, lacking)
     stored = {c.lower() for c in store.table(table).columns}
     made = {*injected, *(["id"] if single else [])}
     columns = [
@@ -446,11 +505,11 @@ def _ingest_table(
         records.withColumn("rejected_text", F.col("record")), [(c.name, c.data_type) for c in columns],
         carried=("endpoint", "entity_id", "seq", "pos", "rejected_text"), aliases=[own[c.name] for c in columns],
     )
-    if plan.parent:
-        spark_type = next((c.spark_type for c in schema.columns if c.name == plan.parent), "int")
-        rows = inject_columns(rows, {own[plan.parent]: F.col("entity_id").try_cast(spark_type)})
-        unfit = F.col("entity_id").isNotNull() & F.col(own[plan.parent]).isNull()
-        rows = rows.withColumn("problem", F.coalesce("problem", F.when(unfit, f"{plan.parent} does not fit")))
+    for name, (data_type, value) in injected.items():
+        spark_type = next((c.spark_type for c in schema.columns if c.name == name), SPARK_TYPES[data_type])
+        rows = inject_columns(rows, {own[name]: value.try_cast(spark_type)})
+        unfit = value.isNotNull() & F.col(own[name]).isNull()
+        rows = rows.withColumn("problem", F.coalesce("problem", F.when(unfit, F.lit(f"{name} does not fit"))))
     if single:
         rows = first_rows(rows, own["id"])
     required = {c.name for c in schema.columns if not c.nullable or c.primary_key} & set(names)

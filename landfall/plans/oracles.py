@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import zlib
+
+
 def _union(*parts: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
@@ -357,4 +360,69 @@ ORACLES: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY run_id, task ORDER BY time DESC) AS r
             FROM ({_RUNS}) WHERE status = 'failed'
         ) WHERE r = 1""",
+    "U1_touched_parts": """
+        SELECT o_orderkey AS id, o_orderstatus AS status, o_totalprice + CASE WHEN o_custkey % 100 = 7 THEN 1 ELSE 0 END AS price,
+               o_orderdate AS dt
+        FROM orders""",
+    "U10_replay": """
+        SELECT event_id, value, user_id FROM events WHERE event_type <> 'view'
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1
+        UNION ALL
+        SELECT event_id, value, NULL FROM events WHERE event_type = 'view'""",
+    "K6_check_unique_merge": """
+        WITH stored AS (SELECT o_orderkey, o_orderkey AS code FROM orders WHERE o_orderkey % 2 = 0),
+        batch AS (
+            SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey + 4 END AS code FROM orders WHERE o_orderkey % 3 = 0
+        ), merged AS (
+            SELECT code FROM batch UNION ALL SELECT code FROM stored WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch)
+        )
+        SELECT code AS value FROM merged WHERE code IS NOT NULL GROUP BY code HAVING count(*) > 1""",
+    "K8_ingest_references": """
+        SELECT o_orderkey AS id, o_custkey AS customer,
+               CASE WHEN o_custkey % 3 = 0 THEN 'customer has no customers.id: ' || CAST(o_custkey AS VARCHAR) END AS problem
+        FROM orders""",
+    "L3_large_body": """
+        SELECT l_orderkey AS seq, 'lines' AS table_name, CAST(NULL AS VARCHAR) AS problem, l_partkey AS partkey,
+               l_quantity AS quantity, l_returnflag AS flag, CAST(NULL AS BIGINT) AS n
+        FROM lineitem
+        UNION ALL
+        SELECT l_orderkey, 'total', NULL, NULL, NULL, NULL, count(*) FROM lineitem GROUP BY l_orderkey""",
+    "L4_alike_names": f"""
+        SELECT 'part_list_{zlib.crc32(b"part-list"):08x}' AS table_name, o_orderkey AS seq, o_orderkey AS id FROM orders
+        UNION ALL
+        SELECT 'part_list', o_orderkey, o_orderkey + 1 FROM orders""",
+    "L8_snapshot_store": """
+        SELECT 'changed' AS kind, count(*) AS id,
+               round(sum(o_totalprice * CASE WHEN o_orderkey % 4 = 0 THEN 2 ELSE 1 END), 2) AS price, CAST(NULL AS VARCHAR) AS name
+        FROM orders
+        UNION ALL
+        SELECT 'order', o_orderkey, o_totalprice, NULL FROM orders
+        UNION ALL
+        SELECT 'supplier', s_suppkey, NULL, s_name FROM supplier""",
+    "T5_extra_columns": """
+        SELECT o_orderkey AS id, o_orderstatus AS status, o_totalprice AS price, 'landing' AS origin, 0.5::DOUBLE AS weight,
+               true AS checked, '{"a":[1]}' AS tags, TIMESTAMP '2024-01-02 03:04:05' AS loaded_at, o_orderkey * 10 AS response
+        FROM orders""",
+    "U7_rejected_values": """
+        SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 3 = 0 THEN o_custkey END AS customer,
+               CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 3 <> 0
+                    THEN 'does not fit: customer c-' || CAST(o_custkey AS VARCHAR) END AS problem
+        FROM orders""",
+    "R2_task_state_stream": f"""
+        WITH runs AS ({_RUNS}), last AS (
+            SELECT run_id, task, status, time, error FROM runs
+            QUALIFY row_number() OVER (PARTITION BY run_id, task ORDER BY time DESC) = 1
+        ), moved AS (
+            SELECT run_id, task, arg_max(current, time) AS current, arg_max(total, time) AS total,
+                   arg_max(current_id, time) FILTER (current_id IS NOT NULL) AS current_id
+            FROM runs WHERE current IS NOT NULL GROUP BY run_id, task
+        )
+        SELECT run_id, task, status, time, error, current, total, round_even(current / total * 100, 1) AS pct, current_id
+        FROM last LEFT JOIN moved USING (run_id, task)""",
+    "R3_progress_of_nothing": f"""
+        SELECT run_id, task, arg_max(current, time) AS current, CASE WHEN task = 'task-3' THEN 0 ELSE 9 END AS total,
+               CASE WHEN task <> 'task-3' THEN round_even(arg_max(current, time) / 9 * 100, 1) END AS pct
+        FROM ({_RUNS}) WHERE current IS NOT NULL GROUP BY run_id, task""",
 }
+ORACLES["S2_infer_responses"] = ORACLES["S2_infer_per_response"]
+ORACLES["R1_run_state_stream"] = ORACLES["R1_run_summary"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from landfall.operators import (
     check_not_null,
     check_primary_key,
     check_unique,
+    check_unique_merge,
     create_table,
     definitions_of,
     detect_drift,
@@ -29,6 +31,7 @@ from landfall.operators import (
     failures,
     fetch_column,
     infer_record_schema,
+    infer_responses,
     infer_schema,
     key_map,
     last_wins,
@@ -39,8 +42,10 @@ from landfall.operators import (
     project_records,
     registry_columns,
     resolve_schema,
+    restore_store,
     run_summary,
     save_registry,
+    snapshot_store,
     snapshot_table,
     sql,
     table_exists,
@@ -62,7 +67,7 @@ from landfall.plans.samples import (
     run_events,
     to_body,
 )
-from landfall.session import prepare, shared_dir
+from landfall.session import prepare, remove_dir, shared_dir
 from landfall.sources import (
     append_discovery,
     append_run_events,
@@ -72,10 +77,11 @@ from landfall.sources import (
     read_landing,
     read_run_events,
     rejected,
+    route_large,
     route_records,
     with_endpoints,
 )
-from landfall.streaming import ingest_stream
+from landfall.streaming import ingest_stream, run_log_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -867,6 +873,186 @@ def R6_failures(spark, sf):
     return failures(run_events(spark, sf)).select("run_id", "task", "time", "error")
 
 
+# Stored layouts, replays, references, large bodies, streams over the log
+
+
+@query
+def U1_touched_parts(spark, sf):
+    """A table in sixteen key parts; the second load reads and writes only the parts of its orders."""
+    store = new_store(spark, parts={"orders": 16})
+    ingest(store, order_landing(spark, sf), LONG, init=True)
+    few = load(spark, sf, "orders").filter("o_custkey % 100 = 7").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    ingest(store, landing(few, "orders", "o_orderkey", to_body(F.array(order_record()))), LONG)
+    return store.table("orders")
+
+
+@query
+def U10_replay(spark, sf):
+    """A stream whose last batch is run again after its tables were committed; views have no key."""
+    store, path, checkpoint = new_store(spark), shared_dir(spark, "landing"), shared_dir(spark, "stream")
+    events = load(spark, sf, "events")
+    record = F.struct(
+        F.when(F.col("event_type") != "view", F.col("user_id")).alias("user"), F.col("event_id").alias("event"), "value"
+    )
+    landing(events, "clicks", "event_id", to_body(F.array(record))).write.parquet(path)
+    options = Options(endpoints=ENDPOINTS, keys={"clicks": ["user"]}, long_ints=True)
+    ingest_stream(store, path, checkpoint, options).awaitTermination()
+    remove_dir(spark, f"{checkpoint}/commits/0")  # as if the driver had died before the stream noted the batch
+    ingest_stream(store, path, checkpoint, options).awaitTermination()
+    return store.table("clicks").select(
+        F.col("event").alias("event_id"), F.col("value").cast("double").alias("value"), F.col("user").alias("user_id")
+    )
+
+
+@query
+def K6_check_unique_merge(spark, sf):
+    """Codes that two orders would share after a batch; the batch moves a third of the orders to new codes."""
+    orders = load(spark, sf, "orders").select("o_orderkey", F.col("o_orderkey").alias("code"))
+    stored = orders.filter("o_orderkey % 2 = 0")
+    batch = orders.filter("o_orderkey % 3 = 0").withColumn("code", F.when(F.col("o_orderkey") % 5 > 0, F.col("code") + 4))
+    return check_unique_merge(stored, batch, ["o_orderkey"], "code").distinct()
+
+
+@query
+def K8_ingest_references(spark, sf):
+    """Orders of customers that are not stored become rejects of the ingest."""
+    store = new_store(spark)
+    customers = load(spark, sf, "customer").filter("c_custkey % 3 <> 0")
+    owner = to_body(F.array(F.struct(F.col("c_custkey").alias("id"))))
+    order = to_body(F.array(F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"))))
+    options = Options(endpoints=ENDPOINTS, long_ints=True, references={"orders": {"customer": ("customers", "id")}})
+    both = landing(customers, "customers", "c_custkey", owner).union(
+        landing(load(spark, sf, "orders").withColumn("n", F.col("o_orderkey") + 10**12), "orders", "n", order)
+    )
+    ingest(store, both, options, init=True)
+    rejects = spark.read.parquet(store.path("_rejects")).select(
+        F.get_json_object("rejected_text", "$.id").cast("bigint").alias("id"),
+        F.get_json_object("rejected_text", "$.customer").cast("bigint").alias("customer"), "problem",
+    )
+    return store.table("orders").withColumn("problem", F.lit(None).cast("string")).unionByName(rejects)
+
+
+@query
+def L3_large_body(spark, sf):
+    """Responses split as text, as those too large for a variant are: one per order, with its line items."""
+    items = load(spark, sf, "lineitem").select("l_orderkey", F.struct("l_partkey", "l_quantity", "l_returnflag").alias("line"))
+    orders = items.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    body = to_body(F.struct("lines", F.struct(F.size("lines").alias("n")).alias("total"), F.lit(1).alias("page")))
+    routed = route_large(landing(orders, "orders/{id}", "l_orderkey", body, "l_orderkey"))
+    return routed.select(
+        "seq", "table_name", "problem", F.try_variant_get("record", "$.l_partkey", "bigint").alias("partkey"),
+        F.try_variant_get("record", "$.l_quantity", "double").alias("quantity"),
+        F.try_variant_get("record", "$.l_returnflag", "string").alias("flag"), F.try_variant_get("record", "$.n", "bigint").alias("n"),
+    )
+
+
+@query
+def L4_alike_names(spark, sf):
+    """Two members of a response whose names differ in a hyphen only."""
+    first, second = (F.array(F.struct((F.col("o_orderkey") + n).alias("id"))) for n in (0, 1))
+    body = to_body(F.struct(first.alias("part-list"), second.alias("part_list")))
+    routed = route_records(landing(load(spark, sf, "orders"), "orders/{id}", "o_orderkey", body))
+    return routed.select("table_name", "seq", F.try_variant_get("record", "$.id", "bigint").alias("id"))
+
+
+@query
+def L8_snapshot_store(spark, sf):
+    """Two tables are held, changed by a load, and brought back."""
+    store = new_store(spark, parts={"orders": 8})
+    ingest(store, order_landing(spark, sf), LONG, init=True)
+    settings = landing(
+        load(spark, sf, "supplier"), "suppliers", "s_suppkey",
+        to_body(F.array(F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")))),
+    )
+    ingest(store, settings, LONG, init=True)
+    label = snapshot_store(store, ["orders", "suppliers"])
+    doubled = load(spark, sf, "orders").filter("o_orderkey % 4 = 0").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    ingest(store, landing(doubled, "orders", "o_orderkey", to_body(F.array(order_record()))), LONG)
+    ingest(store, settings.withColumn("body", F.replace("body", F.lit("Supplier"), F.lit("None"))), LONG)
+    after = store.table("orders").select(F.lit("after").alias("kind"), "id", "price", F.lit(None).cast("string").alias("name"))
+    after = spark.createDataFrame(after.agg(F.count("*").alias("id"), F.sum("price").alias("price")).collect(), "id long, price double").select(
+        F.lit("changed").alias("kind"), "id", F.round("price", 2).alias("price"), F.lit(None).cast("string").alias("name")
+    )
+    restore_store(store, label)
+    orders = store.table("orders").select(F.lit("order").alias("kind"), "id", "price", F.lit(None).cast("string").alias("name"))
+    suppliers = store.table("suppliers").select(F.lit("supplier"), "id", F.lit(None).cast("double"), "name")
+    return after.union(orders).union(suppliers)
+
+
+@query
+def S2_infer_responses(spark, sf):
+    """Each response by itself, where it is parsed."""
+    lists = landing(
+        load(spark, sf, "orders"), "orders", "o_orderkey",
+        to_body(F.array(
+            F.struct(F.col("o_orderkey").alias("id"), F.lit(None).cast("bigint").alias("v")),
+            F.struct(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_custkey")).alias("v")),
+        )),
+    )
+    return infer_responses(lists).select("seq", "ordinal", "name", "type", "nullable")
+
+
+@query
+def T5_extra_columns(spark, sf):
+    """Further columns of several types, given by value and by expression."""
+    store = new_store(spark)
+    extra = {"orders": {
+        "origin": "landing", "weight": 0.5, "checked": True, "tags": {"a": [1]}, "loaded_at": dt.datetime(2024, 1, 2, 3, 4, 5),
+        "response": ("BIGINT", F.col("seq") * 10),
+    }}
+    ingest(store, order_landing(spark, sf), Options(endpoints=ENDPOINTS, long_ints=True, extra_columns=extra), init=True)
+    return store.table("orders").drop("dt")
+
+
+@query
+def U7_rejected_values(spark, sf):
+    """Records whose value does not fit its column are kept with their text; the others are stored."""
+    store = new_store(spark)
+    orders = load(spark, sf, "orders")
+    record = lambda value: to_body(F.array(F.struct(F.col("o_orderkey").alias("id"), value.alias("customer"))))
+    ingest(store, landing(orders.filter("o_orderkey % 5 = 0"), "orders", "o_orderkey", record(F.col("o_custkey"))), LONG, init=True)
+    text = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey").cast("string")).otherwise(F.concat(F.lit("c-"), "o_custkey"))
+    ingest(store, landing(orders.filter("o_orderkey % 5 <> 0"), "orders", "o_orderkey", record(text)), LONG)
+    rejects = spark.read.parquet(store.path("_rejects")).select(
+        F.get_json_object("rejected_text", "$.id").cast("bigint").alias("id"), F.lit(None).cast("bigint").alias("customer"),
+        F.concat_ws(" ", "problem", F.get_json_object("rejected_text", "$.customer")).alias("problem"),
+    )
+    return store.table("orders").withColumn("problem", F.lit(None).cast("string")).unionByName(rejects)
+
+
+@query
+def R2_task_state_stream(spark, sf):
+    """The last state and progress of each task, kept by a stream over a log that grows twice."""
+    store, path, checkpoint = new_store(spark), shared_dir(spark, "runs"), shared_dir(spark, "run-stream")
+    log = run_events(spark, sf).withColumns({
+        "time": F.col("time").cast("timestamp"), "current_id": F.col("current_id").cast("string")
+    })
+    for half in (0, 1):
+        append_run_events(log.filter(F.second("time") % 2 == half), path)
+        run_log_stream(store, path, checkpoint).awaitTermination()
+    return store.table("task_state").select(
+        "run_id", "task", "status", "time", "error", "current", "total", "pct", F.col("current_id").cast("bigint").alias("current_id")
+    )
+
+
+@query
+def R1_run_state_stream(spark, sf):
+    """Succeeded and failed tasks of each run, kept by a stream over the log."""
+    store, path = new_store(spark), shared_dir(spark, "runs")
+    append_run_events(run_events(spark, sf).withColumns({
+        "time": F.col("time").cast("timestamp"), "current_id": F.col("current_id").cast("string")
+    }), path)
+    run_log_stream(store, path, shared_dir(spark, "run-stream"), by_run=True).awaitTermination()
+    return store.table("run_state")
+
+
+@query
+def R3_progress_of_nothing(spark, sf):
+    """A total of zero has no percentage."""
+    log = run_events(spark, sf).withColumn("total", F.when(F.col("task") == "task-3", 0).otherwise(F.col("total")))
+    return progress(log).select("run_id", "task", "current", "total", "pct")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land, infer, create, load, reload, read back: the whole way once."""
     return U7_ingest(prepare(spark), sf_dir)

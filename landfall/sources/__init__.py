@@ -1,10 +1,12 @@
 from landfall.sources.landing import (
     LANDING_SCHEMA,
     inject_columns,
+    member_lists,
     normalize_response,
     read_landing,
     rejected,
     route_all,
+    route_large,
     route_records,
     with_endpoints,
 )
@@ -15,6 +17,7 @@ from landfall.sources.logs import (
     append_run_events,
     read_discovery,
     read_run_events,
+    run_event_stream,
 )
 
 __all__ = [
@@ -24,12 +27,15 @@ __all__ = [
     "append_discovery",
     "append_run_events",
     "inject_columns",
+    "member_lists",
     "normalize_response",
     "read_discovery",
     "read_landing",
     "read_run_events",
     "rejected",
     "route_all",
+    "route_large",
     "route_records",
+    "run_event_stream",
     "with_endpoints",
 ]

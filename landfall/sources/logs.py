@@ -46,5 +46,11 @@ def read_run_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_SCHEMA).options(**_OPTIONS).json(path)
 
 
+def run_event_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """The run log as a stream of the events appended to it."""
+    options = {**_OPTIONS, **({"maxFilesPerTrigger": max_files} if max_files else {})}
+    return spark.readStream.schema(RUN_SCHEMA).options(**options).json(path)
+
+
 def read_discovery(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DISCOVERY_SCHEMA).options(**_OPTIONS).json(path)
