@@ -144,7 +144,7 @@ def infer_responses(landing: DataFrame) -> DataFrame:
 
     def column(key, ordinal):
         first = F.get(F.filter(F.transform(F.slice("records", 1, LOOK_AHEAD), of(key)), known), F.lit(0))
-        empty = F.exists(good, lambda r: F.coalesce(F.is_variant_null(r[key]), F.lit(True)))
+        empty = F.exists(good, lambda r: r[key].isNull() | F.is_variant_null(r[key]))
         return F.struct(
             ordinal.cast("int").alias("ordinal"), key.alias("name"), F.coalesce(first, F.lit("str")).alias("type"), empty.alias("nullable"),
             F.size(good).cast("bigint").alias("n_records"),

@@ -475,7 +475,9 @@ def restore_store(store: Store, label: str) -> list[str]:
         _commit(store, name, TableState(now.version, now.folders, then.batches), then.folders, None)
     rows = [(d["name"], d["primary_key"], d["columns"], d["version"]) for d in manifest["registry"]]
     pinned = registry_columns(local_frame(store.spark, rows, DEFINITION_SCHEMA))
-    if pinned.exceptAll(load_registry(store.spark, store.registry_path)).take(1):
+    names = F.col("table_name").isin([d["name"] for d in manifest["registry"]])
+    now = load_registry(store.spark, store.registry_path).filter(names)
+    if pinned.exceptAll(now).take(1) or now.exceptAll(pinned).take(1):
         save_registry(pinned, store.registry_path)
     return sorted(manifest["tables"])
 

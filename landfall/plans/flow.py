@@ -124,8 +124,7 @@ class Options:
 def _typed_value(value: object, long_ints: bool) -> tuple[str, Column]:
     """Storage type and column of a value as it would be inferred, or of a pair that says them."""
     if isinstance(value, tuple):
-        data_type, column = value
-        return data_type, column.cast(SPARK_TYPES[data_type])
+        return value
     if isinstance(value, bool):
         data_type = "BOOLEAN"
     elif isinstance(value, int):
@@ -138,7 +137,7 @@ def _typed_value(value: object, long_ints: bool) -> tuple[str, Column]:
         data_type, value = "JSON", json.dumps(value, separators=(",", ":"), ensure_ascii=False)
     else:
         data_type, value = "TEXT", None if value is None else str(value)
-    return data_type, F.lit(value).cast(SPARK_TYPES[data_type])
+    return data_type, F.lit(value)
 
 
 @dataclass

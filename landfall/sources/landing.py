@@ -222,13 +222,16 @@ def route_large(landing: DataFrame) -> DataFrame:
     # Only a list whose first element is an object, or an object, has records.
     members = members.filter(F.col("bad") | is_object(F.get("elements", F.lit(0))))
     rows = members.select("*", F.posexplode("elements").alias("pos", "text")).drop("elements", "listed")
-    rows = rows.repartition("seq", "response_key", "pos")
-    parsed = rows.withColumn("record", F.when(~F.col("bad") & is_object(F.col("text")), F.try_parse_json("text")))
-    problem = F.when(F.col("bad"), "malformed body").when(F.col("record").isNull(), "record is not an object")
+    # By number, or run-time coalescing would bring well compressed texts back into one task.
+    tasks = int(landing.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, "seq", "response_key", "pos")
+    parsed = rows.withColumn("record", F.when(~F.col("bad"), F.try_parse_json("text")))
+    good = is_object(F.col("text")) & F.col("record").isNotNull()
+    problem = F.when(F.col("bad"), "malformed body").when(~good, "record is not an object")
     return parsed.withColumn("problem", problem).select(
         "endpoint", "entity_id", "seq", "response_key", F.when(~F.col("bad"), F.col("table_name")).alias("table_name"), "problem",
         F.when(F.col("problem").isNotNull(), F.col("text")).alias("rejected_text"),
-        "pos", "record", F.when(F.col("pos") == 0, F.json_object_keys("text")).alias("keys"),
+        "pos", "record", F.when(~F.col("bad") & (F.col("pos") == 0), F.json_object_keys("text")).alias("keys"),
     )
 
 

@@ -42,6 +42,8 @@ def run_log_stream(
     def merge(changed: DataFrame, batch_id: int) -> None:
         state = open_state(store, name)
         if state.batches.get(checkpoint, -1) >= batch_id:
+            # Stored already; only the aggregation's own state has to be brought to the batch.
+            changed.write.format("noop").mode("overwrite").save()
             return
         rows = changed.withColumns({c.name: changed[c.name].cast(c.spark_type) for c in schema.columns})
         replace_table(store, name, upsert(store.table(name), rows, keys, null_keys=True), keys, base=state, batch=(checkpoint, batch_id))
