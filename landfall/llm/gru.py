@@ -12,6 +12,7 @@ from __future__ import annotations
 import numpy as np
 
 HIDDEN = 16
+_LARGEST = np.float32(60)  # no exponent beyond: sums of such stay finite
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -36,77 +37,98 @@ class Gru:
         self.p = {
             "inputs": start(len(counts), 3 * hidden), "turn": start(hidden, 3 * hidden), "gates": np.zeros(3 * hidden, np.float32),
             "to_class": start(hidden, self.classes), "class_bias": np.log(share).astype(np.float32),
-            "to_word": start(self.words, hidden), "word_bias": np.log(counts[: self.words] + 0.5).astype(np.float32),
+            "to_word": start(self.word_classes * width, hidden), "word_bias": self._word_bias(counts[: self.words]),
         }
 
+    def _word_bias(self, counts: np.ndarray) -> np.ndarray:
+        """Log shares within each class; the places that fill up the last class have none."""
+        bias = np.full(self.word_classes * self.width, -_LARGEST, np.float32)
+        bias[: self.words] = np.log(counts + 0.5)
+        for c in range(self.word_classes):
+            mine = slice(c * self.width, min((c + 1) * self.width, self.words))
+            bias[mine] -= np.log((counts[mine] + 0.5).sum())
+        return bias
+
     def class_of(self, symbols: np.ndarray) -> np.ndarray:
         return np.where(symbols < self.words, symbols // self.width, self.word_classes + symbols - self.words)
 
     def step(self, symbols: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
         """The state after reading one symbol in each lane, and what the way back needs."""
+        return self.read(self.p["inputs"][symbols] + self.p["gates"], h)
+
+    def read(self, seen: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """``step``, given the symbols' rows of the input table with the gates' biases."""
         n = self.hidden
-        seen = self.p["inputs"][symbols] + self.p["gates"]
         turned = h @ self.p["turn"]
         both = sigmoid(seen[:, : 2 * n] + turned[:, : 2 * n])
-        reset, keep = both[:, :n], both[:, n:]
-        new = np.tanh(seen[:, 2 * n :] + reset * turned[:, 2 * n :])
-        return new + keep * (h - new), (symbols, h, turned, reset, keep, new)
+        reset, keep, turned = both[:, :n], both[:, n:], turned[:, 2 * n :]
+        new = np.tanh(seen[:, 2 * n :] + reset * turned)
+        return new + keep * (h - new), (h, turned, reset, keep, new)
 
     def log_probs(self, h: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probability of each target; with ``grads``, adds to them and returns the loss's slope in h."""
-        p = self.p
+        p, kind = self.p, self.p["turn"].dtype.type
         scores = h @ p["to_class"] + p["class_bias"]
-        scores -= scores.max(axis=1, keepdims=True)
-        raised = np.exp(scores)
-        total = raised.sum(axis=1, keepdims=True)
+        np.exp(np.minimum(scores, _LARGEST, out=scores), out=scores)
+        total = scores @ np.ones(self.classes, kind)
         kinds = self.class_of(targets)
         rows = np.arange(len(h))
-        out = scores[rows, kinds] - np.log(total[:, 0])
+        out = np.log(scores[rows, kinds] / total)
         slope = None
         if grads is not None:
-            off = raised / total
+            off = scores / total[:, None]
             off[rows, kinds] -= 1
             grads["to_class"] += h.T @ off
-            grads["class_bias"] += off.sum(axis=0)
+            grads["class_bias"] += np.ones(len(h), kind) @ off
             slope = off @ p["to_class"].T
+        # All words of a class stand together; only the products go class by class.
         order = np.argsort(kinds, kind="stable")
         bounds = np.searchsorted(kinds[order], np.arange(self.word_classes + 1))
-        for c in range(self.word_classes):
-            mine = order[bounds[c] : bounds[c + 1]]
-            if not len(mine):
-                continue
-            low, high = c * self.width, min((c + 1) * self.width, self.words)
-            within = h[mine] @ p["to_word"][low:high].T + p["word_bias"][low:high]
-            within -= within.max(axis=1, keepdims=True)
-            raised = np.exp(within)
-            total = raised.sum(axis=1, keepdims=True)
-            place = targets[mine] - low
-            each = np.arange(len(mine))
-            out[mine] += within[each, place] - np.log(total[:, 0])
-            if grads is not None:
-                off = raised / total
-                off[each, place] -= 1
-                grads["to_word"][low:high] += off.T @ h[mine]
-                grads["word_bias"][low:high] += off.sum(axis=0)
-                slope[mine] += off @ p["to_word"][low:high]
+        order = order[: bounds[-1]]
+        states, table = h[order], p["to_word"].reshape(self.word_classes, self.width, -1)
+        used = [(c, slice(bounds[c], bounds[c + 1])) for c in np.flatnonzero(np.diff(bounds)).tolist()]
+        within, bias = np.empty((len(order), self.width), kind), p["word_bias"].reshape(self.word_classes, self.width)
+        for c, mine in used:
+            np.matmul(states[mine], table[c].T, out=within[mine])
+            within[mine] += bias[c]
+        np.exp(np.minimum(within, _LARGEST, out=within), out=within)
+        total = within @ np.ones(self.width, kind)
+        rows, place = np.arange(len(order)), targets[order] % self.width
+        out[order] += np.log(within[rows, place] / total)
+        if grads is not None and used:
+            within /= total[:, None]
+            within[rows, place] -= 1
+            to_word = grads["to_word"].reshape(table.shape)
+            back = np.empty((len(order), self.hidden), kind)
+            for c, mine in used:
+                to_word[c] += within[mine].T @ states[mine]
+                np.matmul(within[mine], table[c], out=back[mine])
+            slope[order] += back
+            grads["word_bias"].reshape(bias.shape)[[c for c, _ in used]] += np.add.reduceat(within, [m.start for _, m in used])
         return out, slope
 
-    def train(self, stream: np.ndarray, lanes: int = 64, window: int = 32, rate: float = 0.01) -> None:
+    def train(self, stream: np.ndarray, lanes: int = 256, window: int = 32, rate: float = 0.04) -> None:
         """One pass over a stream of texts, each closed by the end symbol, by truncated backpropagation.
 
-        The stream is cut into lanes; states are carried across windows and
+        The stream is cut into lanes of equal length, the last one filled up
+        with ends that count for nothing; states are carried across windows and
         begin anew after an end.
         """
         end = self.words + 1
+        if not len(stream):
+            return
         lanes = max(1, min(lanes, len(stream) // window))
-        length = len(stream) // lanes
-        targets = stream[: lanes * length].reshape(lanes, length)
+        length = -(-len(stream) // lanes)
+        targets = np.append(stream, np.full(lanes * length - len(stream), end, stream.dtype)).reshape(lanes, length)
+        real = (np.arange(lanes * length) < len(stream)).reshape(lanes, length)
         inputs = np.concatenate([np.full((lanes, 1), end, stream.dtype), targets[:, :-1]], axis=1)
         h = np.zeros((lanes, self.hidden), np.float32)
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
         for turn, at in enumerate(range(0, length, window)):
-            grads, h = self._window(inputs[:, at : at + window], targets[:, at : at + window], h)
+            part = slice(at, at + window)
+            counted = None if real[-1, part].all() and real[:, part].all() else real[:, part]
+            grads, h = self._window(inputs[:, part], targets[:, part], h, counted)
             for k, g in grads.items():
                 np.clip(g, -1, 1, out=g)
                 first[k] += 0.1 * (g - first[k])
@@ -114,39 +136,52 @@ class Gru:
                 corrected = first[k] / (1 - 0.9 ** (turn + 1))
                 self.p[k] -= rate * corrected / (np.sqrt(second[k] / (1 - 0.99 ** (turn + 1))) + 1e-6)
 
-    def _window(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -> tuple[dict, np.ndarray]:
-        n, end, steps = self.hidden, self.words + 1, inputs.shape[1]
+    def _window(
+        self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, counted: np.ndarray | None = None
+    ) -> tuple[dict, np.ndarray]:
+        """Slopes of the loss over a window, and the state after it; ``counted`` marks the symbols that have a loss."""
+        n, end, (lanes, steps), kind = self.hidden, self.words + 1, inputs.shape, self.p["turn"].dtype.type
         grads = {k: np.zeros_like(v) for k, v in self.p.items()}
-        notes, states = [], []
+        symbols = inputs.T.ravel()
+        seen = (self.p["inputs"][symbols] + self.p["gates"]).reshape(steps, lanes, 3 * n)
+        ends = (inputs.T == end)[:, :, None]
+        before, turned, reset, keep, new = (np.empty((steps, lanes, n), kind) for _ in range(5))
+        states = np.empty((steps, lanes, n), kind)
         for t in range(steps):
-            h = np.where((inputs[:, t] == end)[:, None], np.float32(0), h)
-            h, note = self.step(inputs[:, t], h)
-            notes.append(note)
-            states.append(h)
-        _, slopes = self.log_probs(np.concatenate(states), targets.T.ravel(), grads)
-        slopes = slopes.reshape(steps, len(h), n)
-        back = np.zeros_like(h)
-        to_inputs = []
+            h, (before[t], turned[t], reset[t], keep[t], new[t]) = self.read(seen[t], np.where(ends[t], kind(0), h))
+            states[t] = h
+        wanted, flat = targets.T.ravel(), states.reshape(-1, n)
+        if counted is None:
+            _, slopes = self.log_probs(flat, wanted, grads)
+        else:
+            at = np.flatnonzero(counted.T.ravel())
+            slopes = np.zeros_like(flat)
+            if len(at):
+                slopes[at] = self.log_probs(flat[at], wanted[at], grads)[1]
+        slopes = slopes.reshape(steps, lanes, n)
+        # What does not depend on later steps is taken for all of them at once.
+        to_new, to_keep = (1 - keep) * (1 - new * new), (before - new) * keep * (1 - keep)
+        to_reset = turned * reset * (1 - reset)
+        d_seen, d_turned = (np.empty((steps, lanes, 3 * n), kind) for _ in range(2))
+        back, turn = np.zeros((lanes, n), kind), np.ascontiguousarray(self.p["turn"].T)
         for t in reversed(range(steps)):
-            symbols, before, turned, reset, keep, new = notes[t]
             d = slopes[t] + back
-            d_new = d * (1 - keep) * (1 - new * new)
-            d_keep = d * (before - new) * keep * (1 - keep)
-            d_reset = d_new * turned[:, 2 * n :] * reset * (1 - reset)
-            d_seen = np.concatenate([d_reset, d_keep, d_new], axis=1)
-            d_turned = np.concatenate([d_reset, d_keep, d_new * reset], axis=1)
-            grads["turn"] += before.T @ d_turned
-            grads["gates"] += d_seen.sum(axis=0)
-            to_inputs.append((symbols, d_seen))
-            back = d * keep + d_turned @ self.p["turn"].T
-            back[symbols == end] = 0
-        symbols = np.concatenate([s for s, _ in to_inputs])
-        slopes = np.concatenate([d for _, d in to_inputs])
+            mine = d_turned[t]
+            d_new = np.multiply(d, to_new[t], out=d_seen[t, :, 2 * n :])
+            np.multiply(d_new, to_reset[t], out=mine[:, :n])
+            np.multiply(d, to_keep[t], out=mine[:, n : 2 * n])
+            np.multiply(d_new, reset[t], out=mine[:, 2 * n :])
+            back = np.where(ends[t], kind(0), d * keep[t] + mine @ turn)
+        d_seen[:, :, : 2 * n] = d_turned[:, :, : 2 * n]
+        d_seen, d_turned = d_seen.reshape(-1, 3 * n), d_turned.reshape(-1, 3 * n)
+        grads["turn"] += before.reshape(-1, n).T @ d_turned
+        grads["gates"] += np.ones(len(d_seen), kind) @ d_seen
         order = np.argsort(symbols, kind="stable")
-        starts = np.flatnonzero(np.concatenate(([True], symbols[order][1:] != symbols[order][:-1])))
-        grads["inputs"][symbols[order][starts]] = np.add.reduceat(slopes[order], starts)
-        # The loss is a mean over the window's texts' symbols times a usual window.
-        share = np.float32(1 / len(h))
+        ranked = symbols[order]
+        starts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+        grads["inputs"][ranked[starts]] = np.add.reduceat(d_seen[order], starts)
+        # The loss is a mean over the lanes.
+        share = kind(1 / lanes)
         return {k: g * share for k, g in grads.items()}, h
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -162,10 +197,10 @@ class Gru:
         running = len(order) - np.searchsorted(lengths[::-1], np.arange(lengths[0] if len(lengths) else 0), side="right")
         sums = np.zeros(len(order))
         h = np.zeros((len(order), self.hidden), np.float32)
-        read = np.full(len(order), self.words + 1, flat.dtype)
+        read, table = np.full(len(order), self.words + 1, flat.dtype), self.p["inputs"] + self.p["gates"]
         states, wanted, owners, held = [], [], [], 0
         for t, n in enumerate(running.tolist()):
-            h, _ = self.step(read[:n], h[:n])
+            h, _ = self.read(table[read[:n]], h[:n])
             read = flat[starts[:n] + t]
             states.append(h)
             wanted.append(read)

@@ -4,8 +4,8 @@ Word counts of all training texts are aggregated by Spark. The ``model_words``
 most frequent ones are the recurrent model's symbols; the ``head_words`` most
 frequent go to every task as a table of that size. Copies of the model are
 trained side by side by truncated backpropagation, and their parameters
-averaged after each of ``rounds``; every training text takes part in one round,
-by hash. Every whole text is then scored
+averaged after each of ``rounds``; every training text takes part in one round
+and in one copy, by hash, and is read once. Every whole text is then scored
 in one pass, its state carried from the first word to the end. A word outside
 the model's symbols has the probability of "another word" times its smoothed
 share of all such words; counts beyond the head come by a join on the word, as
@@ -54,20 +54,32 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def most_frequent(words: DataFrame, most: int) -> list[tuple[bytes, int]]:
-    """The most frequent words, by whole steps of frequency as long as ``most`` words do not overflow.
+    """The ``most`` most frequent words; of equally frequent ones those that come first by hash.
 
-    Only counts of words by step and the words taken come to the driver.
+    Counts of words by step of frequency, those of the step that overflows by
+    frequency, and the words taken come to the driver.
     """
     step = F.floor(8 * F.log2("n"))
-    border, taken = None, 0
+    whole, rest, border = F.lit(False), most, None
     for r in words.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
-        taken += r["count"]
-        if taken > most:
+        if r["count"] > rest:
+            border = r["step"]
             break
-        border = r.step
-    if border is None:
-        return []
-    return sorted(((bytes(r.word), r.n) for r in words.filter(step >= border).collect()), key=lambda w: (-w[1], w[0]))
+        whole, rest = step >= r["step"], rest - r["count"]
+    taken = [(bytes(r["word"]), r["n"]) for r in words.filter(whole).collect()]
+    if border is not None and rest:
+        inside = words.filter(step == border)
+        for r in inside.groupBy("n").count().orderBy(F.desc("n")).collect():
+            same = inside.filter(F.col("n") == r["n"])
+            rank = F.pmod(F.xxhash64("word"), F.lit(1 << 40))
+            if r["count"] > rest:  # some more than are needed, as hashes are spread evenly
+                same = same.filter(rank < int((1 << 40) * min(1.0, (1.1 * rest + 1000) / r["count"])))
+            ranked = sorted((x["rank"], bytes(x["word"])) for x in same.select("word", rank.alias("rank")).collect())
+            taken += [(word, r["n"]) for _, word in ranked[:rest]]
+            rest -= min(rest, r["count"])
+            if not rest:
+                break
+    return sorted(taken, key=lambda w: (-w[1], w[0]))
 
 
 class Vocabulary:
@@ -97,39 +109,62 @@ class Vocabulary:
         return np.append(np.where(known, places, self.model_words), self.model_words + 1).astype(np.int32)
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int, replica_tokens: int, least_tokens: int) -> Gru:
-    """The average of copies trained on their parts of all training texts, round by round."""
-    spark = texts.sparkSession
+def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int, replica_tokens: int, most_copies: int, piece: int) -> Gru:
+    """The average of copies trained on their parts of all training texts, round by round.
+
+    A text goes to a round and a copy by hash of its id and words, and a copy
+    reads its texts in order of id, so that the model does not depend on how
+    the rows lie. Each text is read once, in pieces of ``piece`` symbols;
+    rows equal in id and text are read as one.
+    """
     model = Gru(vocabulary.symbol_counts)
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    copies = max(1, min(most, vocabulary.total // (rounds * replica_tokens)))
-    mark = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
+    copies = max(1, min(most_copies, vocabulary.total // (rounds * replica_tokens)))
+    mark = F.xxhash64("doc_id", "text")
+    dealt = texts.filter("not held_out").withColumns({
+        "turn": F.pmod(mark, F.lit(rounds)), "copy": F.pmod(F.shiftright(mark, 20), F.lit(copies)).cast("int"),
+    })
     for turn in range(rounds):
         start = model.pack()
 
         def work(batches: Iterator[pa.RecordBatch], start: np.ndarray = start) -> Iterator[dict]:
-            own = Gru(vocabulary.symbol_counts)
-            own.unpack(start)
-            learned = 0
-            for batch in batches:
-                for rows in by_size(batch, "text", 4 << 20):
-                    stream = np.concatenate([vocabulary.symbols(vocabulary.places(t)[1]) for t in rows["text"]])
-                    # A short part is read again, as a few hundred steps teach little.
-                    for _ in range(min(8, max(1, -(-least_tokens // len(stream))))):
-                        own.train(stream, rate=0.02)
-                    learned += len(stream)
-            if learned:
+            copy, own, held, size, learned, last = None, None, [], 0, 0, None
+
+            def packed() -> dict:
                 flat = own.pack()
                 blocks = [flat[i : i + _BLOCK].tobytes() for i in range(0, len(flat), _BLOCK)]
-                yield {"block": range(len(blocks)), "weight": [learned] * len(blocks), "part": blocks}
+                return {"block": range(len(blocks)), "copy": [copy] * len(blocks), "weight": [learned] * len(blocks), "part": blocks}
+
+            for batch in batches:
+                for rows in by_size(batch, "text", 4 << 20):
+                    for mine, row, text in zip(rows["copy"], rows["doc_id"], rows["text"], strict=True):
+                        if mine != copy:
+                            if copy is not None:
+                                own.train(np.concatenate(held))
+                                learned += size
+                                yield packed()
+                            copy, own, held, size, learned, last = mine, Gru(vocabulary.symbol_counts), [], 0, 0, None
+                            own.unpack(start)
+                        if (row, text) == last:
+                            continue
+                        last = row, text
+                        held.append(vocabulary.symbols(vocabulary.places(text)[1]))
+                        size += len(held[-1])
+                        if size >= piece:
+                            own.train(np.concatenate(held))
+                            held, size, learned = [np.zeros(0, np.int32)], 0, learned + size
+            if copy is not None:
+                own.train(np.concatenate(held))
+                learned += size
+                yield packed()
 
         def average(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+            rows = rows.sort_values("copy")
             parts = np.stack([np.frombuffer(p, np.float32) for p in rows["part"]])
             mean = np.average(parts.astype(np.float64), axis=0, weights=rows["weight"])
             return pd.DataFrame({"block": [key[0]], "part": [mean.astype(np.float32).tobytes()]})
 
-        mine = texts.filter("not held_out").filter(mark == turn).select("text").repartition(copies)
-        parts = per_batch(mine, "block int, weight long, part binary", work)
+        mine = dealt.filter(F.col("turn") == turn).repartition(copies, "copy").sortWithinPartitions("copy", "doc_id", "text")
+        parts = per_batch(mine.select("copy", "doc_id", "text"), "block int, copy int, weight long, part binary", work)
         means = parts.groupBy("block").applyInPandas(average, "block int, part binary").collect()  # one model's size
         if means:
             model.unpack(np.frombuffer(b"".join(r.part for r in sorted(means, key=lambda r: r.block)), np.float32))
@@ -166,9 +201,13 @@ def _score(vocabulary: Vocabulary, model: Gru):
 
 def lm_scoring(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_words: int = 4096, head_words: int = 65536,
-    rounds: int = 2, replica_tokens: int = 200_000, least_tokens: int = 250_000,
+    rounds: int = 2, replica_tokens: int = 600_000, most_copies: int = 2048, piece: int = 1 << 20,
 ) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
+
+    ``replica_tokens`` is what a copy of the model learns from in a round, until
+    there are ``most_copies``; beyond that each copy learns from more.
+    """
     ship(docs.sparkSession)
     texts = columns_of(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of("text").cast("binary").alias("text")
@@ -177,7 +216,7 @@ def lm_scoring(
     amounts = words.agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).first()
     n_texts = texts.filter("not held_out").count()
     vocabulary = Vocabulary(most_frequent(words, head_words), model_words, amounts.words, amounts.tokens or 0, n_texts)
-    model = train(texts, vocabulary, rounds, replica_tokens, least_tokens)
+    model = train(texts, vocabulary, rounds, replica_tokens, most_copies, piece)
     scored = staged(per_batch(texts, SCORED, _score(vocabulary, model)), "scored")
     tail = scored.select("row_key", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("row_key", F.col("t.tail").alias("word"), F.col("t.times").alias("times"))
     counted = tail.join(words, "word", "left").groupBy("row_key").agg(

@@ -300,3 +300,45 @@ def test_whole_query_of_periodic_runs(spark):
     docs = queries.documents(spark, folder).collect()
     mine = queries.op13_periodic_runs(spark, folder).collect()
     assert sorted(map(tuple, mine)) == sorted(expected_row(d.doc_id, d.text) for d in docs)
+
+
+# LM scoring
+
+
+def test_scores_do_not_depend_on_how_rows_lie(spark):
+    from landfall.llm import lm_scoring
+
+    pick = random.Random(12)
+    rows = [(i, " ".join(sentence(pick.randrange(50, 400), pick)), "en", "s", None, 1, 2) for i in range(60)]
+    frame = spark.createDataFrame(rows, DOCS)
+    runs_ = [
+        sorted((r.doc_id, r.base_score, r.score) for r in lm_scoring.lm_scoring(f, model_words=100, replica_tokens=2000).collect())
+        for f in (frame.coalesce(1), frame.repartition(6))
+    ]
+    assert [r[0] for r in runs_[0]] == [r[0] for r in runs_[1]]
+    assert np.allclose([r[1:] for r in runs_[0]], [r[1:] for r in runs_[1]], rtol=1e-6)
+
+
+def test_the_head_is_filled_where_words_are_equally_frequent(spark):
+    from landfall.llm.lm_scoring import most_frequent
+
+    words = [(f"w{i}".encode(), 1) for i in range(3000)] + [(f"v{i}".encode(), 5 + i % 2) for i in range(40)]
+    frame = spark.createDataFrame(words, "word binary, n long")
+    for most in (10, 25, 40, 100, 2999, 5000):
+        head = most_frequent(frame, most)
+        assert len(head) == len(set(head)) == min(most, 3040)
+        assert [n for _, n in head] == sorted((n for _, n in words), reverse=True)[:most]
+
+
+def test_every_symbol_of_a_stream_is_learned():
+    from landfall.llm.gru import Gru
+
+    stream = np.array([0, 1, 2, 3, 4] * 20 + [7], np.int32)
+    other = stream.copy()
+    other[-2] = 6
+    models = []
+    for s in (stream, other):
+        model = Gru(np.ones(8), width=3, hidden=4)
+        model.train(s, lanes=3, window=8)
+        models.append(model.pack())
+    assert np.isfinite(models[0]).all() and not np.array_equal(*models)
