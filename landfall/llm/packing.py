@@ -87,12 +87,17 @@ def best_fit(lengths: list[int], most: int) -> list[list[int]]:
 class LocalSearch:
     """Exchanges between underfull bins; the emptiest gives, the roomiest fuller ones take.
 
-    ``takers``: how many of the roomiest bins a step looks at; ``patience``:
-    how many givers in a row may fail to empty before the search ends.
+    A giver hands over one piece or two, against nothing, one piece or two
+    (two against two is not tried). A giver that cannot be emptied is skipped.
+    ``takers``: how many bins of different contents a step looks at at most;
+    ``patience``: how many givers in a row may fail before the search ends;
+    ``work``: how many exchanges a group may weigh in all.
     """
 
-    def __init__(self, lengths: list[int], bins: list[list[int]], most: int, takers: int = 64, patience: int = 2) -> None:
-        self.most, self.takers, self.patience = most, takers, patience
+    def __init__(
+        self, lengths: list[int], bins: list[list[int]], most: int, takers: int = 1000, patience: int = 200, work: int = 2_000_000
+    ) -> None:
+        self.most, self.takers, self.patience, self.work = most, takers, patience, work
         self.full = [b for b in bins if sum(lengths[i] for i in b) == most]
         self.open = [sorted((lengths[i], i) for i in b) for b in bins if sum(lengths[i] for i in b) < most]
         self.fill = [sum(n for n, _ in b) for b in self.open]
@@ -104,9 +109,9 @@ class LocalSearch:
         free = sum(self.most - f for f in self.fill)
         failed = 0
         for giver in givers:
-            if free < self.most or failed == self.patience:
+            if free < self.most or failed == self.patience or self.work <= 0:
                 break
-            while self.open[giver] and self._improve(giver):
+            while self.open[giver] and self.work > 0 and self._improve(giver):
                 pass
             if self.open[giver]:
                 failed += 1
@@ -118,22 +123,39 @@ class LocalSearch:
         """The change that fills a fuller bin to the brim, or else by which one gains most, if there is any."""
         best = None
         first = bisect_left(self.by_fill, (self.fill[giver], -1))
-        for fill, taker in self.by_fill[first : first + self.takers]:
+        mine, offers, met = self.open[giver], [], set()
+        for i in range(len(mine) - 1, -1, -1):
+            # Pieces of one length are one offer; longer pieces first.
+            for pieces in ((mine[i],), *((mine[i], mine[j]) for j in range(i))):
+                lengths = tuple(n for n, _ in pieces)
+                if lengths not in met:
+                    met.add(lengths)
+                    offers.append((sum(lengths), pieces))
+        seen, looked = set(), 0
+        for at in range(first, len(self.by_fill)):
+            fill, taker = self.by_fill[at]
             items, room = self.open[taker], self.most - fill
-            if taker == giver or not items or not room:
+            contents = tuple(n for n, _ in items)
+            if taker == giver or not items or not room or contents in seen:
                 continue
-            for given in reversed(self.open[giver]):
-                for back in self._back(items, given[0], room):
-                    gain = given[0] - sum(n for n, _ in back)
+            seen.add(contents)
+            looked += 1
+            for given, pieces in offers:
+                self.work -= 1
+                for back in self._back(items, given, room):
+                    if len(back) + len(pieces) > 3:
+                        continue
+                    gain = given - sum(n for n, _ in back)
                     if 0 < gain <= room and (best is None or (gain == room, gain) > best[:2]):
-                        best = gain == room, gain, taker, given, back
-            if best and best[0]:
+                        best = gain == room, gain, taker, pieces, back
+            if best and best[0] or looked == self.takers:
                 break
         if best is None:
             return False
-        _, gain, taker, given, back = best
-        self.open[giver].remove(given)
-        insort(self.open[taker], given)
+        _, gain, taker, pieces, back = best
+        for item in pieces:
+            self.open[giver].remove(item)
+            insort(self.open[taker], item)
         for item in back:
             self.open[taker].remove(item)
             insort(self.open[giver], item)

@@ -65,14 +65,24 @@ class WordTokenizer:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Of each text its ids as little-endian unsigned 32-bit integers."""
         split = [self._apart(t if b"<|" in t else t.lower()).split() for t in texts]
-        pieces = set().union(*split)
-        missing = [p for p in pieces if p not in self.memo]
-        if len(self.memo) + len(missing) > _MOST:
-            self.memo.clear()
-            missing = list(pieces)
-        self._learn(missing)
-        look_up = self.memo.__getitem__
-        return [b"".join(map(look_up, s)) for s in split]
+        look_up, out, late = self.memo.__getitem__, [], []
+        for i, pieces in enumerate(split):
+            try:
+                out.append(b"".join(map(look_up, pieces)))
+            except KeyError:
+                out.append(b"")
+                late.append(i)
+        if late:
+            # Only texts with a piece that was not met before are gone through for the rest.
+            wanted = set().union(*(split[i] for i in late))
+            missing = [p for p in wanted if p not in self.memo]
+            if len(self.memo) + len(missing) > _MOST:
+                self.memo.clear()
+                missing = list(wanted)
+            self._learn(missing)
+            for i in late:
+                out[i] = b"".join(map(look_up, split[i]))
+        return out
 
 
 @cache

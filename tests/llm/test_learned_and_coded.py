@@ -342,3 +342,38 @@ def test_every_symbol_of_a_stream_is_learned():
         model.train(s, lanes=3, window=8)
         models.append(model.pack())
     assert np.isfinite(models[0]).all() and not np.array_equal(*models)
+
+
+# Packing
+
+
+def test_the_search_empties_bins_with_its_production_values():
+    from landfall.llm import packing
+
+    pick = random.Random(1)
+    lengths = [pick.randint(500, 1100) for _ in range(8000)]
+    start = packing.best_fit(lengths, 2048)
+    done = packing.pack(lengths, 2048)
+    assert len(start) == 3377 and len(done) <= 3290
+    assert sorted(i for b in done for i in b) == list(range(8000)) and max(sum(lengths[i] for i in b) for b in done) <= 2048
+
+
+def test_copies_do_not_end_the_search():
+    """A third of all pieces are equal: bins of one content are looked at once, and a giver that fails is skipped."""
+    from landfall.llm import packing
+
+    pick = random.Random(2)
+    lengths = [700] * 700 + [pick.randint(500, 1100) for _ in range(1300)]
+    start = packing.best_fit(lengths, 2048)
+    assert len(packing.pack(lengths, 2048)) < len(start) - 2
+
+
+def test_two_pieces_of_the_giver_go_against_one():
+    from landfall.llm import packing
+
+    # 5 and 4 of one bin take the place of 7 in the other; 7 then stands alone and no bin is emptied, but fill has moved.
+    search = packing.LocalSearch([5, 4, 7, 1], [[0, 1], [2, 3]], 10)
+    search.by_fill = sorted((f, b) for b, f in enumerate(search.fill))
+    before = sum(f * f for f in search.fill)
+    assert search._improve(0) or search._improve(1)
+    assert sum(f * f for f in search.fill) > before
