@@ -12,7 +12,8 @@ from __future__ import annotations
 import numpy as np
 
 HIDDEN = 16
-_LARGEST = np.float32(60)  # no exponent beyond: sums of such stay finite
+_LARGEST = np.float32(4)  # of the output's weights; states lie within -1 and 1, so exponentials stay finite
+_ROWS = 2048
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -42,7 +43,7 @@ class Gru:
 
     def _word_bias(self, counts: np.ndarray) -> np.ndarray:
         """Log shares within each class; the places that fill up the last class have none."""
-        bias = np.full(self.word_classes * self.width, -_LARGEST, np.float32)
+        bias = np.full(self.word_classes * self.width, -60, np.float32)
         bias[: self.words] = np.log(counts + 0.5)
         for c in range(self.word_classes):
             mine = slice(c * self.width, min((c + 1) * self.width, self.words))
@@ -68,43 +69,59 @@ class Gru:
     def log_probs(self, h: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probability of each target; with ``grads``, adds to them and returns the loss's slope in h."""
         p, kind = self.p, self.p["turn"].dtype.type
-        scores = h @ p["to_class"] + p["class_bias"]
-        np.exp(np.minimum(scores, _LARGEST, out=scores), out=scores)
-        total = scores @ np.ones(self.classes, kind)
         kinds = self.class_of(targets)
-        rows = np.arange(len(h))
-        out = np.log(scores[rows, kinds] / total)
-        slope = None
+        out, slope = np.empty(len(h), kind), None if grads is None else np.empty((len(h), self.hidden), kind)
+        ones, back = np.ones(self.classes, kind), np.ascontiguousarray(p["to_class"].T)
+        for at in range(0, len(h), _ROWS):  # few rows at a time stay in the processor's cache
+            mine = slice(at, at + _ROWS)
+            scores = h[mine] @ p["to_class"]
+            scores += p["class_bias"]
+            np.exp(scores, out=scores)
+            total, rows = scores @ ones, np.arange(len(scores))
+            out[mine] = np.log(scores[rows, kinds[mine]] / total)
+            if grads is not None:
+                # Shares less one at the target, all times the total; the narrow factors are divided by it.
+                scores[rows, kinds[mine]] -= total
+                share = 1 / total
+                grads["to_class"] += (h[mine] * share[:, None]).T @ scores
+                grads["class_bias"] += share @ scores
+                np.multiply(scores @ back, share[:, None], out=slope[mine])
+        # The words of a class stand together; some classes at a time.
+        order = np.argsort(kinds.astype(np.int16), kind="stable")
+        bounds = np.searchsorted(kinds[order], np.arange(self.word_classes + 1)).tolist()
+        states, place = h[order[: bounds[-1]]], targets[order[: bounds[-1]]] % self.width
+        table, bias = p["to_word"].reshape(self.word_classes, self.width, -1), p["word_bias"].reshape(self.word_classes, self.width)
+        logs, slopes, ones, low = np.empty(bounds[-1], kind), np.empty((bounds[-1], self.hidden), kind), np.ones(self.width, kind), 0
+        while low < self.word_classes:
+            high = low + 1
+            while high < self.word_classes and bounds[high + 1] - bounds[low] <= _ROWS:
+                high += 1
+            first, last = bounds[low], bounds[high]
+            if first < last:
+                within, used = np.empty((last - first, self.width), kind), []
+                for c in range(low, high):
+                    if bounds[c] < bounds[c + 1]:
+                        part = within[bounds[c] - first : bounds[c + 1] - first]
+                        np.matmul(states[bounds[c] : bounds[c + 1]], table[c].T, out=part)
+                        part += bias[c]
+                        used.append((c, part))
+                np.exp(within, out=within)
+                total, rows = within @ ones, np.arange(last - first)
+                logs[first:last] = np.log(within[rows, place[first:last]] / total)
+                if grads is not None:
+                    within[rows, place[first:last]] -= total
+                    share = 1 / total
+                    scaled = states[first:last] * share[:, None]
+                    for c, part in used:
+                        mine = slice(bounds[c] - first, bounds[c + 1] - first)
+                        grads["to_word"].reshape(table.shape)[c] += part.T @ scaled[mine]
+                        grads["word_bias"].reshape(bias.shape)[c] += share[mine] @ part
+                        np.matmul(part, table[c], out=slopes[bounds[c] : bounds[c + 1]])
+                    slopes[first:last] *= share[:, None]
+            low = high
+        out[order[: bounds[-1]]] += logs
         if grads is not None:
-            off = scores / total[:, None]
-            off[rows, kinds] -= 1
-            grads["to_class"] += h.T @ off
-            grads["class_bias"] += np.ones(len(h), kind) @ off
-            slope = off @ p["to_class"].T
-        # All words of a class stand together; only the products go class by class.
-        order = np.argsort(kinds, kind="stable")
-        bounds = np.searchsorted(kinds[order], np.arange(self.word_classes + 1))
-        order = order[: bounds[-1]]
-        states, table = h[order], p["to_word"].reshape(self.word_classes, self.width, -1)
-        used = [(c, slice(bounds[c], bounds[c + 1])) for c in np.flatnonzero(np.diff(bounds)).tolist()]
-        within, bias = np.empty((len(order), self.width), kind), p["word_bias"].reshape(self.word_classes, self.width)
-        for c, mine in used:
-            np.matmul(states[mine], table[c].T, out=within[mine])
-            within[mine] += bias[c]
-        np.exp(np.minimum(within, _LARGEST, out=within), out=within)
-        total = within @ np.ones(self.width, kind)
-        rows, place = np.arange(len(order)), targets[order] % self.width
-        out[order] += np.log(within[rows, place] / total)
-        if grads is not None and used:
-            within /= total[:, None]
-            within[rows, place] -= 1
-            to_word = grads["to_word"].reshape(table.shape)
-            back = np.empty((len(order), self.hidden), kind)
-            for c, mine in used:
-                to_word[c] += within[mine].T @ states[mine]
-                np.matmul(within[mine], table[c], out=back[mine])
-            slope[order] += back
-            grads["word_bias"].reshape(bias.shape)[[c for c, _ in used]] += np.add.reduceat(within, [m.start for _, m in used])
+            slope[order[: bounds[-1]]] += slopes
         return out, slope
 
     def train(self, stream: np.ndarray, lanes: int = 256, window: int = 32, rate: float = 0.04) -> None:
@@ -135,6 +152,10 @@ class Gru:
                 second[k] += 0.01 * (g * g - second[k])
                 corrected = first[k] / (1 - 0.9 ** (turn + 1))
                 self.p[k] -= rate * corrected / (np.sqrt(second[k] / (1 - 0.99 ** (turn + 1))) + 1e-6)
+            for k in ("to_class", "to_word"):
+                np.clip(self.p[k], -_LARGEST, _LARGEST, out=self.p[k])
+            for k in ("class_bias", "word_bias"):
+                np.minimum(self.p[k], _LARGEST, out=self.p[k])
 
     def _window(
         self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, counted: np.ndarray | None = None
@@ -176,7 +197,7 @@ class Gru:
         d_seen, d_turned = d_seen.reshape(-1, 3 * n), d_turned.reshape(-1, 3 * n)
         grads["turn"] += before.reshape(-1, n).T @ d_turned
         grads["gates"] += np.ones(len(d_seen), kind) @ d_seen
-        order = np.argsort(symbols, kind="stable")
+        order = np.argsort(symbols.astype(np.int16) if len(self.p["inputs"]) < 1 << 15 else symbols, kind="stable")
         ranked = symbols[order]
         starts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
         grads["inputs"][ranked[starts]] = np.add.reduceat(d_seen[order], starts)
@@ -206,7 +227,7 @@ class Gru:
             wanted.append(read)
             owners.append(n)
             held += n
-            if held > 1 << 15 or t + 1 == len(running):
+            if held > 1 << 14 or t + 1 == len(running):
                 logs, _ = self.log_probs(np.concatenate(states), np.concatenate(wanted))
                 at = 0
                 for n_then in owners:

@@ -33,7 +33,8 @@ from landfall.llm.gru import Gru
 
 _MOST_COUNTS = 400_000
 _BLOCK = 4096
-SCORED = "row_key long, doc_id long, held_out boolean, n_words long, head_words long, head_log double, model_log double, rest_words long, rest_log double, tail array<binary>, times array<long>"
+READ = "row_key long, doc_id long, held_out boolean, n_words long, head_words long, head_log double, rest_words long, rest_log double, tail array<binary>, times array<long>, symbols binary"
+MODELED = "row_key long, doc_id long, held_out boolean, n_words long, head_words long, head_log double, rest_words long, rest_log double, model_log double"
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -96,6 +97,7 @@ class Vocabulary:
         self.norm = np.log10(self.total + 0.1 * (self.distinct + 1))
         in_model = int(counts[: self.model_words].sum())
         self.symbol_counts = np.concatenate([counts[: self.model_words], [tokens - in_model, texts]])
+        self.kind = np.dtype("<u2" if self.model_words + 2 <= 1 << 16 else "<u4")
         self.rest_norm = np.log10(tokens - in_model + 0.1 * (words - self.model_words + 1))
 
     def places(self, text: bytes) -> tuple[list[bytes], np.ndarray]:
@@ -109,18 +111,18 @@ class Vocabulary:
         return np.append(np.where(known, places, self.model_words), self.model_words + 1).astype(np.int32)
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int, replica_tokens: int, most_copies: int, piece: int) -> Gru:
+def train(read: DataFrame, vocabulary: Vocabulary, rounds: int, replica_tokens: int, most_copies: int, piece: int) -> Gru:
     """The average of copies trained on their parts of all training texts, round by round.
 
-    A text goes to a round and a copy by hash of its id and words, and a copy
+    A text goes to a round and a copy by hash of its id and symbols, and a copy
     reads its texts in order of id, so that the model does not depend on how
     the rows lie. Each text is read once, in pieces of ``piece`` symbols;
-    rows equal in id and text are read as one.
+    rows equal in id and symbols are read as one.
     """
     model = Gru(vocabulary.symbol_counts)
     copies = max(1, min(most_copies, vocabulary.total // (rounds * replica_tokens)))
-    mark = F.xxhash64("doc_id", "text")
-    dealt = texts.filter("not held_out").withColumns({
+    mark = F.xxhash64("doc_id", "symbols")
+    dealt = read.filter("not held_out").withColumns({
         "turn": F.pmod(mark, F.lit(rounds)), "copy": F.pmod(F.shiftright(mark, 20), F.lit(copies)).cast("int"),
     })
     for turn in range(rounds):
@@ -135,8 +137,8 @@ def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int, replica_tokens:
                 return {"block": range(len(blocks)), "copy": [copy] * len(blocks), "weight": [learned] * len(blocks), "part": blocks}
 
             for batch in batches:
-                for rows in by_size(batch, "text", 4 << 20):
-                    for mine, row, text in zip(rows["copy"], rows["doc_id"], rows["text"], strict=True):
+                for rows in by_size(batch, "symbols", 4 << 20):
+                    for mine, row, text in zip(rows["copy"], rows["doc_id"], rows["symbols"], strict=True):
                         if mine != copy:
                             if copy is not None:
                                 own.train(np.concatenate(held))
@@ -147,7 +149,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int, replica_tokens:
                         if (row, text) == last:
                             continue
                         last = row, text
-                        held.append(vocabulary.symbols(vocabulary.places(text)[1]))
+                        held.append(np.frombuffer(text, vocabulary.kind).astype(np.int32))
                         size += len(held[-1])
                         if size >= piece:
                             own.train(np.concatenate(held))
@@ -163,27 +165,28 @@ def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int, replica_tokens:
             mean = np.average(parts.astype(np.float64), axis=0, weights=rows["weight"])
             return pd.DataFrame({"block": [key[0]], "part": [mean.astype(np.float32).tobytes()]})
 
-        mine = dealt.filter(F.col("turn") == turn).repartition(copies, "copy").sortWithinPartitions("copy", "doc_id", "text")
-        parts = per_batch(mine.select("copy", "doc_id", "text"), "block int, copy int, weight long, part binary", work)
+        mine = dealt.filter(F.col("turn") == turn).repartition(copies, "copy").sortWithinPartitions("copy", "doc_id", "symbols")
+        parts = per_batch(mine.select("copy", "doc_id", "symbols"), "block int, copy int, weight long, part binary", work)
         means = parts.groupBy("block").applyInPandas(average, "block int, part binary").collect()  # one model's size
         if means:
             model.unpack(np.frombuffer(b"".join(r.part for r in sorted(means, key=lambda r: r.block)), np.float32))
     return model
 
 
-def _score(vocabulary: Vocabulary, model: Gru):
+def _read(vocabulary: Vocabulary):
+    """Of each text its model symbols, and what the unigram base needs of it."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         key = TaskContext.get().partitionId() << 36
         for batch in batches:
             for rows in by_size(batch, "text", 12 << 20):
-                out = {c.split()[0]: [] for c in SCORED.split(", ")}
-                symbols = []
+                out = {c.split()[0]: [] for c in READ.split(", ")}
                 for text in rows["text"]:
                     words, places = vocabulary.places(text)
                     head = places[places >= 0]
                     middle = head[head >= vocabulary.model_words]
                     tail = Counter(words[i] for i in np.flatnonzero(places < 0).tolist())
-                    symbols.append(vocabulary.symbols(places))
+                    out["symbols"].append(vocabulary.symbols(places).astype(vocabulary.kind).tobytes())
                     out["row_key"].append(key)
                     key += 1
                     out["n_words"].append(len(words))
@@ -193,12 +196,23 @@ def _score(vocabulary: Vocabulary, model: Gru):
                     out["rest_log"].append(float(vocabulary.head_log[middle].sum()))
                     out["tail"].append(list(tail))
                     out["times"].append(list(tail.values()))
-                out["model_log"] = (model.score(symbols) / np.log(10)).tolist()
                 yield out | {"doc_id": rows["doc_id"], "held_out": rows["held_out"]}
 
     return work
 
 
+def _score(vocabulary: Vocabulary, model: Gru):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        kept = [c.split()[0] for c in MODELED.split(", ")[:-1]]
+        for batch in batches:
+            # Many texts advance together, so that the ends of the longest cost little.
+            for rows in by_size(batch, "symbols", 32 << 20):
+                symbols = [np.frombuffer(s, vocabulary.kind).astype(np.int32) for s in rows["symbols"]]
+                yield {c: rows[c] for c in kept} | {"model_log": (model.score(symbols) / np.log(10)).tolist()}
+
+    return work
+
+
 def lm_scoring(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_words: int = 4096, head_words: int = 65536,
     rounds: int = 2, replica_tokens: int = 600_000, most_copies: int = 2048, piece: int = 1 << 20,
@@ -216,9 +230,10 @@ def lm_scoring(
     amounts = words.agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).first()
     n_texts = texts.filter("not held_out").count()
     vocabulary = Vocabulary(most_frequent(words, head_words), model_words, amounts.words, amounts.tokens or 0, n_texts)
-    model = train(texts, vocabulary, rounds, replica_tokens, most_copies, piece)
-    scored = staged(per_batch(texts, SCORED, _score(vocabulary, model)), "scored")
-    tail = scored.select("row_key", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("row_key", F.col("t.tail").alias("word"), F.col("t.times").alias("times"))
+    read = staged(per_batch(texts, READ, _read(vocabulary)), "lm-symbols", compression="zstd")
+    model = train(read, vocabulary, rounds, replica_tokens, most_copies, piece)
+    scored = per_batch(read.drop("tail", "times"), MODELED, _score(vocabulary, model))
+    tail = read.select("row_key", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("row_key", F.col("t.tail").alias("word"), F.col("t.times").alias("times"))
     counted = tail.join(words, "word", "left").groupBy("row_key").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("tail_log"),
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("tail_known"),
