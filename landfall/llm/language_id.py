@@ -10,6 +10,13 @@ address suffix, and the priors of hosts: a host's votes are smoothed by its
 parent domain's prior, that by its parent's, up to the whole corpus. A row's
 own vote is left out of its own priors. The fused posterior decides.
 
+Beside the languages there is one more hypothesis, that the text is in none of
+them: all grams of a 26-letter alphabet and a blank are then equally likely,
+and ``other`` is its prior. Gibberish and texts in languages that are not
+modelled are rejected by it. Modelled are the languages that ``least_rows``
+rows or more declare, and of those the ``most_languages`` most frequent, which
+bounds the model that every task holds.
+
 Defined results: a text without a letter (null, empty, digits only) is
 rejected, with no language; null declared languages, suffixes and hosts are no
 evidence; a row whose best posterior is under ``least`` is rejected. Repeated
@@ -29,6 +36,10 @@ from pyspark.sql import functions as F
 from landfall.llm.common import by_size, per_batch, quoted, staged, text_of
 
 BUCKETS = 1 << 16
+FLAT = -3 * np.log(27)  # of a gram, where any is as likely
+#: A table of votes up to this many bytes goes to every task; larger ones are joined by shuffle.
+_SMALL = 32 << 20
+_SALTS = 64
 SCORES = "row_key long, n_grams long, loglik array<double>, declared string, suffix string, host string"
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[:128] = [c if chr(c).isalpha() else 32 for c in range(128)]
@@ -47,10 +58,10 @@ def _has_letter(text: bytes) -> bool:
     return any(c.isalpha() for c in text.decode())
 
 
-def languages_of(rows: DataFrame, least_rows: int) -> dict[str, int]:
-    """Declared languages with enough rows, and their rows: a short list."""
+def languages_of(rows: DataFrame, least_rows: int, most: int) -> dict[str, int]:
+    """Declared languages with enough rows, and their rows: ``most`` at most."""
     counts = rows.filter("declared is not null").groupBy("declared").count().filter(F.col("count") >= least_rows)
-    return {r.declared: r["count"] for r in counts.orderBy(F.desc("count"), "declared").limit(256).collect()}
+    return {r.declared: r["count"] for r in counts.orderBy(F.desc("count"), "declared").limit(most).collect()}
 
 
 def fit(rows: DataFrame, languages: dict[str, int], sample_rows: int) -> np.ndarray:
@@ -106,11 +117,33 @@ def _smoothed(votes: Column, prior: Column, weight: float) -> Column:
     return F.zip_with(votes, prior, lambda v, p: (v + weight * p) / (total + weight))
 
 
+def _with_votes(out: DataFrame, voted: DataFrame, kind: str, n: int) -> DataFrame:
+    """Adds the votes of each row's ``kind``, null where it has none.
+
+    A small table goes to every task. In the join of a large one, rows of a
+    frequent name, and those of none, are spread over many tasks by a salt.
+    """
+    counted = voted.filter(F.col(kind).isNotNull()).groupBy(kind).agg(_votes(n).alias(f"{kind}_votes"), F.count("*").alias("n_rows"))
+    counted = staged(counted, f"votes-{kind}")
+    amount = counted.agg(F.count("*").alias("names"), F.sum("n_rows").alias("n_rows")).first()
+    if amount["names"] * (8 * n + 64) <= _SMALL:
+        return out.join(F.broadcast(counted.drop("n_rows")), kind, "left")
+    often = F.col("n_rows") > amount["n_rows"] / 10_000  # of fewer than 10,000 names
+    salts = F.when(often, F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spread = counted.withColumn("salt", F.explode(salts)).drop("n_rows")
+    hot = counted.filter(often).select(kind, F.lit(True).alias("often"))
+    salt = F.when(F.coalesce("often", F.col(kind).isNull()), F.pmod(F.xxhash64("row_key", "loglik"), F.lit(_SALTS))).otherwise(0)
+    salted = out.join(F.broadcast(hot), kind, "left").withColumn("salt", salt.cast("int")).drop("often")
+    return salted.join(spread, [kind, "salt"], "left").drop("salt")
+
+
 def identify(
-    rows: DataFrame, sample_rows: int = 2000, least_rows: int = 20, most_grams: int = 200, least: float = 0.5, weight: float = 10.0
+    rows: DataFrame, sample_rows: int = 2000, least_rows: int = 20, most_grams: int = 200, least: float = 0.5, weight: float = 10.0,
+    other: float = 0.01, most_languages: int = 256,
 ) -> DataFrame:
     """(row_key, declared, lang, confidence, n_grams, kept) of rows (row_key, text, declared, suffix, host)."""
-    languages = languages_of(rows, least_rows)
+    rows = rows.withColumn("text", F.coalesce("text", F.lit(b"")))
+    languages = languages_of(rows, least_rows, most_languages)
     names = sorted(languages)
     if not names:
         return rows.select("row_key", "declared", F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"),
@@ -130,8 +163,7 @@ def identify(
     everyone = F.array(*(F.lit((v + 1.0) / (sum(totals) + n)) for v in totals))
     out = voted
     for kind in ("declared", "suffix", "host", "domain", "top"):
-        counted = voted.filter(F.col(kind).isNotNull()).groupBy(kind).agg(_votes(n).alias(f"{kind}_votes"))
-        out = out.join(counted, kind, "left")
+        out = _with_votes(out, voted, kind, n)
     none = F.array(*(F.lit(0.0) for _ in names))
     own = {k: _without_own(F.coalesce(f"{k}_votes", none), F.when(F.col(k).isNotNull(), F.col("vote"))) for k in ("declared", "suffix", "host", "domain", "top")}
     out = out.withColumns({k: v for k, v in ((f"{k}_votes", own[k]) for k in own)})
@@ -143,8 +175,13 @@ def identify(
     for clue in ("declared", "suffix"):
         ratio = F.zip_with(_smoothed(F.col(f"{clue}_votes"), everyone, weight), everyone, lambda s, e: F.ln(s / e))
         out = out.withColumn("log_p", F.zip_with("log_p", ratio, lambda a, b: a + b))
+    none_of_them = F.lit(float(np.log(other))) + float(FLAT) * F.least(F.col("n_grams"), F.lit(most_grams))
+    # Of the best language against all others and against none; beyond 700 an exponential overflows.
     out = out.withColumn("top_p", F.array_max("log_p")).withColumn(
-        "confidence", 1.0 / F.aggregate("log_p", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top_p")))
+        "confidence", 1.0 / (
+            F.aggregate("log_p", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top_p")))
+            + F.exp(F.least(F.lit(700.0), none_of_them - F.col("top_p")))
+        )
     )
     sure = (F.col("n_grams") > 0) & (F.col("confidence") >= least)
     lang = F.element_at(F.array(*map(F.lit, names)), F.array_position("log_p", F.col("top_p")).cast("int"))

@@ -377,3 +377,127 @@ def test_two_pieces_of_the_giver_go_against_one():
     before = sum(f * f for f in search.fill)
     assert search._improve(0) or search._improve(1)
     assert sum(f * f for f in search.fill) > before
+
+
+# Language ID
+
+LETTERS = {"en": "the of and to in that with for house water", "de": "der die und nicht mit ein haus wasser von zu"}
+FINNISH = "suomen kieli kuuluu uralilaisiin kieliin ja sitä puhuu viisi miljoonaa ihmistä pääasiassa talvella järvet jäätyvät lapset luistelevat jään päällä".split()
+
+
+def evidence(spark, rows):
+    return spark.createDataFrame(rows, "row_key long, text string, declared string, suffix string, host string").selectExpr(
+        "row_key", "cast(text as binary) as text", "declared", "suffix", "host"
+    )
+
+
+def rows_of_two_languages(n=240):
+    pick, rows = random.Random(7), []
+    for i in range(n):
+        lang = "en" if i % 2 else "de"
+        text = " ".join(pick.choice(LETTERS[lang].split()) for _ in range(pick.randrange(1, 60)))
+        rows.append((i, text, None if i % 5 == 0 else lang, lang if i % 3 else None, f"{lang}{i % 4}.example.org" if i % 7 else None))
+    return rows
+
+
+def test_gibberish_and_rare_languages_are_rejected(spark):
+    from landfall.llm.language_id import identify
+
+    pick, rows = random.Random(8), rows_of_two_languages()
+    rows += [(1000 + i, " ".join("".join(pick.choice("bcdfghjklmnpqrstvwxz") for _ in range(pick.randrange(3, 9))) for _ in range(60)), "en" if i < 5 else None, "en", "en1.example.org") for i in range(30)]
+    rows += [(2000 + i, " ".join(pick.choice(FINNISH) for _ in range(40)), "fi", None, "en1.example.org") for i in range(15)]
+    rows += [(3000, "хлеб вода дом " * 20, None, None, None), (3001, "x " * 100_000, None, None, None)]
+    got = {r.row_key: r for r in identify(evidence(spark, rows)).collect()}
+    assert not [k for k in got if k >= 1000 and got[k].kept]
+    assert all(got[i].lang == ("en" if i % 2 else "de") for i in range(240))
+    # Twenty rows are enough to be modelled.
+    more = rows + [(4000 + i, " ".join(pick.choice(FINNISH) for _ in range(40)), "fi", None, None) for i in range(10)]
+    got = {r.row_key: r for r in identify(evidence(spark, more)).collect()}
+    assert all(got[k].lang == "fi" for k in got if 2000 <= k < 2015 or 4000 <= k < 4010) and not any(got[k].kept for k in range(1000, 1030))
+
+
+def fused(rows, other=0.01, weight=10.0, most=200):
+    """The posterior by the docstring's words, row by row."""
+    from landfall.llm.language_id import BUCKETS, FLAT, grams
+
+    names = sorted({r[2] for r in rows if r[2] and sum(x[2] == r[2] for x in rows) >= 20})
+    gram = [grams((r[1] or "").encode()) if any(c.isalpha() for c in r[1] or "") else np.zeros(0, int) for r in rows]
+    table = np.zeros((BUCKETS, len(names)))
+    for r, g in zip(rows, gram, strict=True):
+        if r[2] in names:
+            table[:, names.index(r[2])] += np.bincount(g, minlength=BUCKETS)
+    model = np.log((table + 0.5) / (table.sum(0) + 0.5 * BUCKETS)).astype(np.float32)
+    lls = [model[g].sum(axis=0, dtype=np.float64) for g in gram]
+    votes = [int(ll.argmax()) if len(g) else None for ll, g in zip(lls, gram, strict=True)]
+
+    def parents(host):
+        found = [host]
+        if host:
+            parts = host.split(".")
+            domain = ".".join(parts[-2:]) if len(parts) > 1 else None
+            found.append(domain if domain != host else None)
+            found.append(parts[-1] if parts[-1] != host and parts[-1] != (found[1] or "") else None)
+        return found + [None] * (3 - len(found))
+
+    keys = [dict(zip(("declared", "suffix", "host", "domain", "top"), (r[2], r[3], *parents(r[4])), strict=True)) for r in rows]
+    everyone = np.array([(sum(v == k for v in votes) + 1.0) for k in range(len(names))])
+    everyone /= everyone.sum()
+    out = {}
+    for i, r in enumerate(rows):
+        def counted(kind, i=i):
+            if keys[i][kind] is None:
+                return np.zeros(len(names))
+            return np.array([sum(j != i and votes[j] == k and keys[j][kind] == keys[i][kind] for j in range(len(rows))) for k in range(len(names))], float)
+
+        smooth = lambda v, p: (v + weight * p) / (v.sum() + weight)
+        prior = everyone
+        for kind in ("top", "domain", "host"):
+            prior = smooth(counted(kind), prior)
+        n = len(gram[i])
+        log_p = np.log(prior) + lls[i] * min(1.0, most / max(1, n))
+        for kind in ("declared", "suffix"):
+            log_p = log_p + np.log(smooth(counted(kind), everyone) / everyone)
+        none = np.log(other) + FLAT * min(n, most)
+        confidence = 1 / (np.exp(log_p - log_p.max()).sum() + np.exp(min(700, none - log_p.max()))) if n else 0.0
+        out[r[0]] = (names[int(log_p.argmax())] if n and confidence >= 0.5 else None, confidence, n)
+    return out
+
+
+@pytest.mark.parametrize("small", [32 << 20, 0])
+def test_the_posterior_is_the_fusion_of_all_evidence(spark, monkeypatch, small):
+    from landfall.llm import language_id
+
+    monkeypatch.setattr(language_id, "_SMALL", small)
+    rows = rows_of_two_languages(120)
+    rows += [(500, None, None, None, None), (501, "12 3", "en", "de", "x"), (502, "the water", "de", "de", "de1.example.org"), (503, "wasser house", None, None, "org"), (504, "the " * 50_000, "de", None, "example.org")]
+    want = fused(rows)
+    got = {r.row_key: (r.lang, r.confidence, r.n_grams) for r in language_id.identify(evidence(spark, rows)).collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k][0] == want[k][0] and got[k][2] == want[k][2] and got[k][1] == pytest.approx(want[k][1], rel=1e-5, abs=1e-9), k
+
+
+def test_pages_give_markup_suffix_and_host(spark):
+    from landfall.llm.language_id import evidence_of_pages
+
+    pages = spark.createDataFrame([
+        (1, "https://a.example.org/de/x", '<html class="q" lang="de-AT"><script>var x</script><p>haus &amp; <!-- c -->wasser</p></html>', 1),
+        (2, "http://www.example.fr:80/path", "<html><nav>menu</nav>texte</html>", 1), (3, None, None, 1), (None, "no address", "plain", 1),
+    ], "page_id long, url string, html string, text int")
+    got = {r.row_key: (bytes(r.text).decode().split(), r.declared, r.suffix, r.host) for r in evidence_of_pages(pages).collect()}
+    assert got[1] == (["haus", "&amp;", "wasser"], "de", "de", "a.example.org")
+    assert got[2] == (["texte"], None, "fr", "www.example.fr") and got[3] == ([], None, None, None) and got[None][3] is None
+
+
+def test_language_of_odd_rows(spark):
+    """Null ids, repeated rows, very long texts, null in every column, names that clash with our own."""
+    from landfall.llm.language_id import keep_identified
+
+    base = [(i, t, lang, h) for i, t, lang, _, h in rows_of_two_languages(100) if lang]
+    rows = [(i, t, lang, h, "a", 1) for i, t, lang, h in base] + [(None, "the water of the house", None, None, "b", 2)] * 3
+    rows += [(7, "der die und nicht " * 40_000, "de", "q", "c", 3), (None,) * 6, (900, "", "en", "s", "d", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, row_key string, loglik int")
+    kept = keep_identified(docs).collect()
+    assert sorted(r.row_key for r in kept).count("b") == 3 and sum(r.row_key == "c" for r in kept) == 1
+    assert all(r.lang == "en" for r in kept if r.row_key == "b") and not any(r.row_key in (None, "d") for r in kept)
+    assert len(kept) == len(base) + 4
