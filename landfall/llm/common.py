@@ -52,6 +52,20 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text_of(text)))).first()[0] or 0
 
 
+def beside(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner", small: int = 32 << 20, salts: int = 64) -> DataFrame:
+    """``rows`` joined with a staged ``table`` that holds each key once, with no task for a frequent key's rows alone.
+
+    A table measured as small goes to every task, so rows are not shuffled. In
+    the join of a larger one every row gets one of ``salts`` numbers, and each
+    row of the table all of them. Keys are not null.
+    """
+    if table.count() * 16 * (len(table.columns) + 2) <= small:
+        return rows.join(F.broadcast(table), keys, how)
+    number = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    spread = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("salt", number).join(spread, [*keys, "salt"], how).drop("salt")
+
+
 _shipped: set[str] = set()
 
 

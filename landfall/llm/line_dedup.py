@@ -23,9 +23,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import BLANKS, quoted, staged, text_of
+from landfall.llm.common import BLANKS, beside, quoted, staged, text_of
 
 LG_K = 12
+#: So many line hashes go to every task; more are joined by shuffle.
+_FEW = 1 << 20
 
 
 def bare(line: Column) -> Column:
@@ -42,7 +44,10 @@ def spread_lines(docs: DataFrame, sites: int, text_col: str, site_col: str) -> D
     several = staged(
         hashed.groupBy("line").agg(F.min("site").alias("a"), F.max("site").alias("b")).filter("a < b").select("line"), "lines"
     )
-    pairs = hashed.join(several, "line", "left_semi")
+    if several.count() <= _FEW:
+        pairs = hashed.join(F.broadcast(several), "line", "left_semi")
+    else:  # the rows of a frequent line are first reduced to one for each site
+        pairs = hashed.distinct().join(several, "line", "left_semi")
     estimated = pairs.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("spread"))
     # Four standard errors, and rounding.
     band = 1 + 4 * 1.04 / math.sqrt(1 << LG_K) * sites
@@ -58,7 +63,7 @@ def line_dedup(docs: DataFrame, sites: int = 5, id_col: str = "doc_id", text_col
     found = spread_lines(docs, sites, text_col, site_col)
     text = text_of(text_col)
     own = docs.select(F.col(quoted(id_col)).alias("id"), F.xxhash64(text).alias("mark"), F.explode(F.split(text, "\n")).alias("line"))
-    hits = own.select("id", "mark", F.xxhash64(bare(F.col("line"))).alias("line")).join(found, "line", "left_semi")
+    hits = beside(own.select("id", "mark", F.xxhash64(bare(F.col("line"))).alias("line")), found, ["line"], "left_semi")
     by_doc = hits.groupBy("id", "mark").agg(F.collect_set("line").alias("gone"))
     whole = docs.select(
         F.struct(*(F.col(quoted(c)) for c in docs.columns if c != text_col)).alias("row"), F.col(quoted(id_col)).alias("own_id"),

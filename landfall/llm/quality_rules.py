@@ -33,7 +33,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.common import BLANKS, quoted, staged, text_of
+from landfall.llm.common import BLANKS, beside, quoted, staged, text_of
 
 SYMBOLS = "#*$%&|<>"
 #: Statistics and the least standard deviation that each is taken to have.
@@ -161,13 +161,13 @@ def _first_estimates(rows: DataFrame, axes: list[str]) -> DataFrame:
     """Medians and median deviations, by start with different correlations."""
     out = None
     for i, axis in enumerate(axes):
-        middle = _quantile(rows, axis, 0.5, f"mean_{i}")
-        apart = rows.select("group", axis).join(middle, "group").withColumn("apart", F.abs(F.col(axis) - F.col(f"mean_{i}")))
+        middle = staged(_quantile(rows, axis, 0.5, f"mean_{i}"), "middle")
+        apart = beside(rows.select("group", axis), middle, ["group"]).withColumn("apart", F.abs(F.col(axis) - F.col(f"mean_{i}")))
         both = middle.join(_quantile(apart, "apart", 0.5, f"mad_{i}"), "group")
         out = both if out is None else out.join(both, "group")
     spread = {f"mad_{i}": F.sqrt((1.4826 * F.col(f"mad_{i}")) ** 2 + LEAST_SPREAD[a] ** 2) for i, a in enumerate(axes)}
     out = staged(out.withColumns(spread), "medians")
-    scaled = rows.join(out, "group").select(
+    scaled = beside(rows, out, ["group"]).select(
         "group", *(((F.col(a) - F.col(f"mean_{i}")) / F.col(f"mad_{i}")).alias(a) for i, a in enumerate(axes))
     )
     length = F.sqrt(sum((F.col(a) * F.col(a) for a in axes[1:]), F.col(axes[0]) * F.col(axes[0])) + F.lit(1e-12))
@@ -214,11 +214,11 @@ def quality_rules(
     """Counts, squared distance and verdict of every row."""
     axes = list(LEAST_SPREAD)
     counts = staged(base_statistics(docs, id_col, text_col, lang_col, source_col), "counts")
-    sizes = counts.filter("n_words > 0").groupBy("lang", "source").agg(F.count("*").alias("rows"))
-    grouped = counts.join(
-        sizes.select(F.col("lang").alias("l"), F.col("source").alias("s"), "rows"),
-        F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s")), "left",
-    ).withColumn("group", F.when(F.col("rows") >= least_rows, F.to_json(F.struct("lang", "source"))).otherwise("")).drop("l", "s", "rows")
+    named = counts.withColumn("group", F.to_json(F.struct("lang", "source")))
+    sizes = staged(named.filter("n_words > 0").groupBy("group").agg(F.count("*").alias("rows")), "sizes")
+    grouped = beside(named, sizes, ["group"], "left").withColumn(
+        "group", F.when(F.col("rows") >= least_rows, F.col("group")).otherwise("")
+    ).drop("rows")
     vectors = staged(transformed(grouped), "vectors")
     rows = vectors.filter("n_words > 0").select("group", *axes)
     estimate = staged(_first_estimates(rows, axes), "estimate")
@@ -226,8 +226,8 @@ def quality_rules(
     tagged = rows.select(tags.alias("group"), *axes)
     widened = F.lit(consistency(core, len(axes)))
     for _ in range(rounds):
-        near = _distance(tagged.join(estimate, "group"), axes).select("group", *axes, F.floor(F.ln(F.col("d2") + 1e-6) * _STEPS).alias("step"))
-        inner = near.join(_border(near, core), "group").filter("step <= border")
+        near = _distance(beside(tagged, estimate, ["group"]), axes).select("group", *axes, F.floor(F.ln(F.col("d2") + 1e-6) * _STEPS).alias("step"))
+        inner = beside(near, staged(_border(near, core), "border"), ["group"]).filter("step <= border")
         weight = F.when(F.col("step") < F.col("border"), F.lit(1.0)).otherwise(F.col("part"))
         moments = staged(_moments(inner.select("group", *axes, weight.alias("weight")), axes), "moments")
         estimate = staged(_factor(moments, axes, widened), "estimate")
@@ -236,10 +236,10 @@ def quality_rules(
         F.min_by(F.struct(*values), F.struct("log_det", "group")).alias("least")
     )
     estimate = staged(best.select(F.col("base").alias("group"), "least.*"), "estimate")
-    near = _distance(rows.join(estimate, "group"), axes).withColumn("log_d2", F.ln(F.col("d2") + 1e-6))
+    near = _distance(beside(rows, estimate, ["group"]), axes).withColumn("log_d2", F.ln(F.col("d2") + 1e-6))
     middle = _quantile(near.select("group", "log_d2"), "log_d2", 0.5, "middle")
     scaled = estimate.join(middle.withColumn("scale", F.greatest(F.lit(1.0), F.exp("middle") / chi2_quantile(0.5, len(axes)))), "group")
-    judged = _distance(vectors.join(scaled.drop("middle"), "group", "left"), axes)
+    judged = _distance(beside(vectors, staged(scaled.drop("middle"), "scaled"), ["group"], "left"), axes)
     distance = F.when(F.col("n_words") > 0, F.col("d2") / F.col("scale"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     far = F.coalesce(distance > chi2_quantile(trust, len(axes)), F.lit(False))

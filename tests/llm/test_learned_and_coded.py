@@ -501,3 +501,36 @@ def test_language_of_odd_rows(spark):
     assert sorted(r.row_key for r in kept).count("b") == 3 and sum(r.row_key == "c" for r in kept) == 1
     assert all(r.lang == "en" for r in kept if r.row_key == "b") and not any(r.row_key in (None, "d") for r in kept)
     assert len(kept) == len(base) + 4
+
+
+# Frequent keys
+
+
+def shuffled_raw(frame) -> bool:
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+
+
+def test_rows_beside_a_small_table_are_not_shuffled(spark):
+    from landfall.llm.common import beside, staged
+
+    rows = spark.range(5000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as k", "id")
+    table = staged(rows.groupBy("k").count(), "counts")
+    small = beside(rows, table, ["k"])
+    large = beside(rows, table, ["k"], small=0, salts=8)
+    assert not shuffled_raw(small) and small.columns == large.columns
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+    some = table.filter("k <> 'hot'")
+    for how in ("left", "left_semi"):
+        assert sorted(map(repr, beside(rows, some, ["k"], how).collect())) == sorted(map(repr, beside(rows, some, ["k"], how, 0).collect()))
+
+
+def test_line_dedup_is_the_same_by_shuffle(spark, monkeypatch):
+    from landfall.llm import line_dedup
+
+    pick = random.Random(4)
+    rows = [(i, "\n".join(["very common line", *(f"line {pick.randrange(40)}" for _ in range(5)), f"own {i}"]), "en", f"s{i % 9}", None, 1, 2) for i in range(200)]
+    frame = spark.createDataFrame(rows, DOCS).repartition(4)
+    few = sorted(map(repr, line_dedup.line_dedup(frame, 5).select("n_lines", "n_removed", "kept_text").collect()))
+    monkeypatch.setattr(line_dedup, "_FEW", 0)
+    assert sorted(map(repr, line_dedup.line_dedup(frame, 5).select("n_lines", "n_removed", "kept_text").collect())) == few
