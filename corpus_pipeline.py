@@ -1,4 +1,11 @@
-"""The corpus pipeline: language, exact copies, near copies, repeated passages, packing."""
+"""The corpus pipeline: language, exact copies, near copies, repeated passages, packing.
+
+Defined results: an empty table gives no pieces. Rows without a letter in their
+text (null, blank, digits) go with the first stage, and so do all rows where
+too few declare a language. Rows without an id stay rows of their own: of
+equal texts one with an id is kept where there is one. Repeated rows are exact copies: one
+stays. Further columns, whatever their names, are carried to the last stage.
+"""
 
 from __future__ import annotations
 

@@ -534,3 +534,40 @@ def test_line_dedup_is_the_same_by_shuffle(spark, monkeypatch):
     few = sorted(map(repr, line_dedup.line_dedup(frame, 5).select("n_lines", "n_removed", "kept_text").collect()))
     monkeypatch.setattr(line_dedup, "_FEW", 0)
     assert sorted(map(repr, line_dedup.line_dedup(frame, 5).select("n_lines", "n_removed", "kept_text").collect())) == few
+
+
+# Pipeline
+
+
+@pytest.fixture
+def table_folder(spark, tmp_path):
+    def write(rows, schema):
+        spark.createDataFrame(rows, schema).repartition(3).write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
+        return str(tmp_path)
+
+    return write
+
+
+WIDE = "doc_id long, text string, lang string, source string, n_chars long, row string, row_key int, `a``b` int"
+
+
+def test_pipeline_of_odd_tables(spark, table_folder):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    assert corpus_pipeline.run(spark, table_folder([], WIDE)).count() == 0
+    good = [(i, t, lang, h, len(t), "r", 1, 2) for i, t, lang, _, h in rows_of_two_languages(200) if lang and len(t.split()) > 15]
+    odd = [(None,) * 8, (None, good[0][1], None, None, None, None, None, None), (5000, "", "en", "s", 0, "r", 1, 2), (5001, None, "en", "s", 0, "r", 1, 2)]
+    long = (6000, " ".join(good[1][1].split() * 4000), good[1][2], "s", 1, "r", 1, 2)
+    folder = table_folder([*good, *good[:40], *odd, long, (5002, "qx zv " * 40, None, None, 1, "r", 1, 2)], WIDE)
+    docs, ids = queries.documents(spark, folder), []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == queries.documents(spark, folder).columns, name
+        docs.write.mode("overwrite").parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        ids.append([r.doc_id for r in docs.select("doc_id").collect()])
+    assert not {5000, 5001, 5002} & set(ids[0]) and {g[0] for g in good} | {6000} <= set(ids[0])
+    assert len(ids[1]) == len(set(ids[1])) and set(ids[1]) <= {g[0] for g in good} | {6000, None}
+    assert set(ids[3]) <= set(ids[2]) <= set(ids[1])
+    pieces = corpus_pipeline.run(spark, folder).collect()
+    assert {p.doc_id for p in pieces} == set(ids[3])
+    assert all(p.length <= 2048 for p in pieces)
