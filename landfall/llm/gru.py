@@ -146,12 +146,19 @@ class Gru:
             part = slice(at, at + window)
             counted = None if real[-1, part].all() and real[:, part].all() else real[:, part]
             grads, h = self._window(inputs[:, part], targets[:, part], h, counted)
+            # Of the table of inputs only the rows that were read.
+            read = np.flatnonzero(np.bincount(inputs[:, part].ravel(), minlength=len(self.p["inputs"])))
             for k, g in grads.items():
-                np.clip(g, -1, 1, out=g)
-                first[k] += 0.1 * (g - first[k])
-                second[k] += 0.01 * (g * g - second[k])
-                corrected = first[k] / (1 - 0.9 ** (turn + 1))
-                self.p[k] -= rate * corrected / (np.sqrt(second[k] / (1 - 0.99 ** (turn + 1))) + 1e-6)
+                at = read if k == "inputs" else slice(None)
+                g = np.clip(g[at], -1, 1)
+                m, v = first[k][at], second[k][at]
+                m += 0.1 * (g - m)
+                v += 0.01 * (g * g - v)
+                if k == "inputs":
+                    first[k][at], second[k][at] = m, v
+                step = np.sqrt(v / (1 - 0.99 ** (turn + 1)))
+                step += 1e-6
+                self.p[k][at] -= rate / (1 - 0.9 ** (turn + 1)) * m / step
             for k in ("to_class", "to_word"):
                 np.clip(self.p[k], -_LARGEST, _LARGEST, out=self.p[k])
             for k in ("class_bias", "word_bias"):

@@ -119,7 +119,8 @@ def train(read: DataFrame, vocabulary: Vocabulary, rounds: int, replica_tokens:
     the rows lie. Each text is read once, in pieces of ``piece`` symbols;
     rows equal in id and symbols are read as one.
     """
-    model = Gru(vocabulary.symbol_counts)
+    counts, kind = vocabulary.symbol_counts, vocabulary.kind  # all that a task needs of the vocabulary
+    model = Gru(counts)
     copies = max(1, min(most_copies, vocabulary.total // (rounds * replica_tokens)))
     mark = F.xxhash64("doc_id", "symbols")
     dealt = read.filter("not held_out").withColumns({
@@ -144,12 +145,12 @@ def train(read: DataFrame, vocabulary: Vocabulary, rounds: int, replica_tokens:
                                 own.train(np.concatenate(held))
                                 learned += size
                                 yield packed()
-                            copy, own, held, size, learned, last = mine, Gru(vocabulary.symbol_counts), [], 0, 0, None
+                            copy, own, held, size, learned, last = mine, Gru(counts), [], 0, 0, None
                             own.unpack(start)
                         if (row, text) == last:
                             continue
                         last = row, text
-                        held.append(np.frombuffer(text, vocabulary.kind).astype(np.int32))
+                        held.append(np.frombuffer(text, kind).astype(np.int32))
                         size += len(held[-1])
                         if size >= piece:
                             own.train(np.concatenate(held))
@@ -201,13 +202,13 @@ def _read(vocabulary: Vocabulary):
     return work
 
 
-def _score(vocabulary: Vocabulary, model: Gru):
+def _score(kind: np.dtype, model: Gru):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         kept = [c.split()[0] for c in MODELED.split(", ")[:-1]]
         for batch in batches:
             # Many texts advance together, so that the ends of the longest cost little.
             for rows in by_size(batch, "symbols", 32 << 20):
-                symbols = [np.frombuffer(s, vocabulary.kind).astype(np.int32) for s in rows["symbols"]]
+                symbols = [np.frombuffer(s, kind).astype(np.int32) for s in rows["symbols"]]
                 yield {c: rows[c] for c in kept} | {"model_log": (model.score(symbols) / np.log(10)).tolist()}
 
     return work
@@ -215,7 +216,7 @@ def _score(vocabulary: Vocabulary, model: Gru):
 
 def lm_scoring(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_words: int = 4096, head_words: int = 65536,
-    rounds: int = 2, replica_tokens: int = 600_000, most_copies: int = 2048, piece: int = 1 << 20,
+    rounds: int = 2, replica_tokens: int = 1_000_000, most_copies: int = 2048, piece: int = 1 << 20,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
@@ -232,7 +233,7 @@ def lm_scoring(
     vocabulary = Vocabulary(most_frequent(words, head_words), model_words, amounts.words, amounts.tokens or 0, n_texts)
     read = staged(per_batch(texts, READ, _read(vocabulary)), "lm-symbols", compression="zstd")
     model = train(read, vocabulary, rounds, replica_tokens, most_copies, piece)
-    scored = per_batch(read.drop("tail", "times"), MODELED, _score(vocabulary, model))
+    scored = per_batch(read.drop("tail", "times"), MODELED, _score(vocabulary.kind, model))
     tail = read.select("row_key", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("row_key", F.col("t.tail").alias("word"), F.col("t.times").alias("times"))
     counted = tail.join(words, "word", "left").groupBy("row_key").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("tail_log"),
