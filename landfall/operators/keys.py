@@ -128,7 +128,7 @@ def detect_keys(columns: DataFrame, keymap: DataFrame, parents: Mapping[str, str
         "table_name",
         key.alias("key_columns"),
         (F.size("own") > 0).alias("is_primary"),
-        F.when(key.isNull(), F.concat(F.lit("No primary key found for table "), F.col("table_name"))).alias("problem"),
+        F.when(key.isNull(), F.concat("table_name", F.lit(": neither an integer id nor a key in the key map"))).alias("problem"),
     )
 
 

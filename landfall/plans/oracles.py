@@ -180,7 +180,7 @@ ORACLES: dict[str, str] = {
             ("customer_profile", "id", True, None),
             ("parts", "brand", False, None),
             ("settings", "id", True, None),
-            ("loose", None, False, "No primary key found for table loose"),
+            ("loose", None, False, "loose: neither an integer id nor a key in the key map"),
         ],
     ),
     "K3_as_singleton": """
@@ -424,5 +424,74 @@ ORACLES: dict[str, str] = {
                CASE WHEN task <> 'task-3' THEN round_even(arg_max(current, time) / 9 * 100, 1) END AS pct
         FROM ({_RUNS}) WHERE current IS NOT NULL GROUP BY run_id, task""",
 }
+
+# Columns of the tables of events by type. A field stands where it is first seen; its type is its first value's.
+
+
+def _activity(shift: int = 0) -> str:
+    return f"""
+        SELECT 'events_' || event_type AS table_name, name, data_type, name = 'id' AS key,
+               row_number() OVER (PARTITION BY event_type ORDER BY first_seen, place) - 1 AS ordinal
+        FROM (
+            SELECT event_type, name, min(event_id) AS first_seen, min(place) AS place,
+                   coalesce(arg_min(type, event_id) FILTER (type IS NOT NULL), 'TEXT') AS data_type
+            FROM (
+                SELECT event_type, event_id, 0 AS place, 'INTEGER' AS type,
+                       CASE WHEN length(event_type) % 2 = 0 THEN 'id' ELSE 'code' END AS name FROM events
+                UNION ALL
+                SELECT event_type, event_id, 1, [NULL, 'DOUBLE', 'BOOLEAN', 'TEXT', 'INTEGER'][(event_id // 5 + length(event_type)) % 5 + 1],
+                       'm' || (user_id % 6 + {shift}) FROM events
+            ) GROUP BY event_type, name
+        )"""
+
+
+def _activity_rows(columns: str, source: str, table_key: str = "CAST(NULL AS VARCHAR)", unique: str = "false") -> str:
+    return f"""
+        SELECT table_name, CAST(ordinal AS BIGINT) AS ordinal, name, data_type, NOT key AS nullable, key AS primary_key,
+               {unique} AS "unique"{f", {table_key} AS table_key" if columns == "all" else ""}
+        FROM ({source})"""
+
+
+#: An ``id`` before the columns of the one table that is a singleton and has none.
+_KEYED = f"""
+    SELECT table_name, name, data_type, key, ordinal + CASE WHEN table_name = 'events_error' THEN 1 ELSE 0 END AS ordinal
+    FROM ({_activity()})
+    UNION ALL SELECT DISTINCT 'events_error', 'id', 'INTEGER', true, 0 FROM events WHERE event_type = 'error'
+"""
+_IS_CLICK_CODE = "(table_name = 'events_click' AND name = 'code')"
+_ID_OF_TABLE = "max(CASE WHEN key THEN name END) OVER (PARTITION BY table_name)"
+_REPINNED = f"""
+    SELECT * FROM ({_activity(1)}) WHERE table_name IN ('events_click', 'events_view')
+    UNION ALL SELECT * FROM ({_activity()}) WHERE table_name NOT IN ('events_click', 'events_view')
+"""
+_DRIFT = f"""
+    SELECT 'activity' AS endpoint, coalesce(a.table_name, p.table_name) AS "table",
+           CASE WHEN p.name IS NULL THEN 'new_column' WHEN a.name IS NULL THEN 'missing_column' ELSE 'type_change' END AS event,
+           coalesce(a.name, p.name) AS "column", CASE WHEN p.name IS NULL THEN a.data_type WHEN a.name IS NULL THEN p.data_type END AS type,
+           CASE WHEN a.name = p.name THEN p.data_type END AS was, CASE WHEN a.name = p.name THEN a.data_type END AS now
+    FROM ({_activity(1)}) a FULL JOIN ({_activity()}) p ON a.table_name = p.table_name AND a.name = p.name
+    WHERE a.data_type IS DISTINCT FROM p.data_type
+"""
+ORACLES |= {
+    "S4_map_event_types": _activity_rows("", _activity()),
+    "S5_event_registry_columns": _activity_rows("all", _KEYED, _ID_OF_TABLE, _IS_CLICK_CODE),
+    "S6_load_event_registry": _activity_rows("all", _REPINNED, _ID_OF_TABLE),
+    "S7_save_event_registry": f"""
+        SELECT table_name, {_ID_OF_TABLE} AS primary_key, CAST(3 AS BIGINT) AS version, CAST(ordinal AS BIGINT) AS pos, name, data_type,
+               CASE WHEN key THEN 'not_null' WHEN {_IS_CLICK_CODE} THEN 'unique' ELSE '' END AS tests
+        FROM ({_KEYED})""",
+    "S8_resolve_event_schema": _activity_rows("all", _REPINNED),
+    "S9_event_drift": f"SELECT endpoint, \"table\", event, \"column\", type FROM ({_DRIFT}) WHERE event = 'new_column'",
+    "S10_event_drift_full": _DRIFT,
+    "K1_detect_event_keys": f"""
+        SELECT table_name, CASE WHEN bool_or(key) THEN 'id' WHEN table_name = 'events_click' THEN 'code' END AS key_columns,
+               bool_or(key) AS is_primary, NOT bool_or(key) AND table_name <> 'events_click' AS no_key
+        FROM ({_activity()}) GROUP BY table_name""",
+    "K3_event_singleton_columns": f"SELECT * FROM ({_activity_rows('', _KEYED)}) WHERE table_name = 'events_error'",
+    "K4_event_unique_column": f"SELECT table_name, name, {_IS_CLICK_CODE} AS \"unique\" FROM ({_KEYED})",
+    "T4_init_event_tables": f"""
+        SELECT table_name, name, CASE WHEN data_type = 'INTEGER' AND NOT (table_name = 'events_error' AND key) THEN 'BIGINT' ELSE data_type END AS data_type, NOT key AS nullable, 'table_created' AS event
+        FROM ({_KEYED})""",
+}
 ORACLES["S2_infer_responses"] = ORACLES["S2_infer_per_response"]
 ORACLES["R1_run_state_stream"] = ORACLES["R1_run_summary"]

@@ -56,7 +56,10 @@ from landfall.operators.tables import column_defaults, replace_table
 from landfall.plans.endpoints import Endpoint
 from landfall.plans.flow import Options, ingest, ingest_fanout, init_tables
 from landfall.plans.samples import (
+    ACTIVITY,
+    ACTIVITY_KEYS,
     ENDPOINTS,
+    activity_landing,
     customer_landing,
     fanout_landing,
     landing,
@@ -360,6 +363,100 @@ def S10_detect_drift_full(spark, sf):
     return detect_drift(*_drift_sides(spark, sf), full=True)
 
 
+# The same operators where names, order and types of columns come from the data
+
+
+def _activity(spark, sf, shift=0):
+    """Columns of the tables that events make, by type."""
+    found = infer_schema(with_endpoints(activity_landing(spark, sf, shift), {ACTIVITY.path: ACTIVITY.prefix}), union_keys=True)
+    return map_types(found)
+
+
+def _activity_keymap(spark):
+    return key_map(spark, ACTIVITY_KEYS)
+
+
+_REPINNED = "table_name IN ('events_click', 'events_view')"
+
+
+@query
+def S4_map_event_types(spark, sf):
+    return _definition_rows(_activity(spark, sf)).drop("table_key")
+
+
+@query
+def S5_event_registry_columns(spark, sf):
+    columns = apply_key_map(_activity(spark, sf), _activity_keymap(spark))
+    return _definition_rows(registry_columns(definitions_of(columns)))
+
+
+@query
+def S6_load_event_registry(spark, sf):
+    """Two of the tables are pinned anew, with other fields."""
+    path = shared_dir(spark, "registry")
+    save_registry(_activity(spark, sf), path, 1)
+    save_registry(_activity(spark, sf, 1).filter(_REPINNED), path, 2)
+    return _definition_rows(load_registry(spark, path))
+
+
+@query
+def S7_save_event_registry(spark, sf):
+    path = shared_dir(spark, "registry")
+    save_registry(apply_key_map(_activity(spark, sf), _activity_keymap(spark)), path, 3)
+    rows = spark.read.parquet(path).select("name", "primary_key", "version", F.posexplode("columns").alias("pos", "c"))
+    return rows.select(
+        F.col("name").alias("table_name"), "primary_key", "version", F.col("pos").cast("bigint").alias("pos"),
+        F.col("c.name").alias("name"), F.col("c.data_type").alias("data_type"),
+        F.array_join("c.tests", ",").alias("tests"),
+    )
+
+
+@query
+def S8_resolve_event_schema(spark, sf):
+    """Two of the tables are pinned with other fields, the rest is not pinned."""
+    return _definition_rows(resolve_schema(_activity(spark, sf), _activity(spark, sf, 1).filter(_REPINNED)))
+
+
+@query
+def S9_event_drift(spark, sf):
+    return detect_drift(_activity(spark, sf, 1), _activity(spark, sf)).drop("was", "now")
+
+
+@query
+def S10_event_drift_full(spark, sf):
+    return detect_drift(_activity(spark, sf, 1), _activity(spark, sf), full=True)
+
+
+@query
+def K1_detect_event_keys(spark, sf):
+    """Tables with an id, one of the key map, and one without a key."""
+    keymap = _activity_keymap(spark)
+    return detect_keys(_activity(spark, sf), keymap).select(
+        "table_name", F.array_join("key_columns", ",").alias("key_columns"), "is_primary", F.col("problem").isNotNull().alias("no_key")
+    )
+
+
+@query
+def K3_event_singleton_columns(spark, sf):
+    columns = apply_key_map(_activity(spark, sf), _activity_keymap(spark)).filter("table_name = 'events_error'")
+    return _definition_rows(columns).drop("table_key")
+
+
+@query
+def K4_event_unique_column(spark, sf):
+    return apply_key_map(_activity(spark, sf), _activity_keymap(spark)).select("table_name", "name", "unique")
+
+
+@query
+def T4_init_event_tables(spark, sf):
+    """Each type of event gets its table, pinned and reported."""
+    store = new_store(spark)
+    init_tables(store, activity_landing(spark, sf), Options(endpoints=(ACTIVITY,), keys=ACTIVITY_KEYS, long_ints=True))
+    events = read_discovery(spark, store.discovery_path).select("table", "event")
+    pinned = load_registry(spark, store.registry_path).select("table_name", "name", "data_type", "nullable")
+    return pinned.join(events, pinned["table_name"] == events["table"]).drop("table")
+
+
 # Keys, tables, integrity
 
 

@@ -121,3 +121,24 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(9).cast("bigint").alias("total"),
         F.when(F.col("event_id") % 2 == 0, F.col("event_id")).alias("current_id"),
     )
+
+
+#: Tables of the events by type; key map of two of them.
+ACTIVITY = Endpoint("activity", prefix="events")
+ACTIVITY_KEYS = {"events_click": ["code"], "events_error": "singleton"}
+
+
+def activity_landing(spark: SparkSession, sf_dir: str, shift: int = 0) -> DataFrame:
+    """One response per event: its type names the table, its user a field, its id the type of that field's value.
+
+    Types of an even number of letters have an ``id``, the others a ``code``.
+    """
+    key = F.when(F.length("event_type") % 2 == 0, "id").otherwise("code")
+    value = F.element_at(
+        F.array(*map(F.lit, ("null", "1.25", "true", '"word"')), F.col("user_id").cast("string")),
+        (F.expr("event_id div 5") + F.length("event_type")).cast("int") % 5 + 1,
+    )
+    body = F.format_string(
+        '{"%s":[{"%s":%d,"m%d":%s}]}', "event_type", key, F.col("event_id"), F.col("user_id") % 6 + shift, value
+    )
+    return landing(load(spark, sf_dir, "events"), ACTIVITY.path, "event_id", body)

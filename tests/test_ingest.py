@@ -30,7 +30,7 @@ def test_missing_table_is_an_error(spark, store):
 
 
 def test_no_key_is_an_error(spark, store):
-    with pytest.raises(IngestError, match="No primary key found for table teams"):
+    with pytest.raises(IngestError, match="teams: neither an integer id nor a key"):
         ingest(store, land(spark, ("x", '{"teams":[{"name":"a"}]}')), init=True)
 
 

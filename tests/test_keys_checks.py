@@ -30,7 +30,7 @@ def test_key_detection(spark):
     assert keys_of(spark, columns) == {
         "t": (["id"], True, None),
         "history": (["element", "fixture"], False, None),
-        "none": (None, False, "No primary key found for table none"),
+        "none": (None, False, "none: neither an integer id nor a key in the key map"),
     }
 
 
