@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -102,6 +103,50 @@ def test_directory_doubles_and_covers():
     assert exact_dedup.directory([], 4, 10) == (0, [0])
 
 
+@pytest.mark.parametrize(("most", "narrow"), [(1, False), (3, False), (3, True), (50, False)])
+def test_buckets_split_as_deep_as_needed(most, narrow):
+    pick = random.Random(most)
+    keys = sorted(5 << 60 | pick.randrange(1 << 60) >> (40 if narrow else 0) for _ in range(300))
+    keys = sorted([*keys, *[keys[7]] * 5])
+    buckets = exact_dedup.Buckets(most)
+    buckets.open(5 << 60, 4)
+    got = [b for k in keys for b in buckets.add((k,))] + list(buckets.close())
+
+    def split(start, depth, inside):
+        if len(inside) <= most or depth == 64:
+            return [(start, depth, (k,)) for k in inside]
+        upper = start | 1 << (63 - depth)
+        return split(start, depth + 1, [k for k in inside if k < upper]) + split(upper, depth + 1, [k for k in inside if k >= upper])
+
+    assert got == split(5 << 60, 4, keys)
+
+
+def test_owner_chains_equal_keys_and_compares_bytes():
+    rows = [(0, 5, b"b", 7, 1, 1), (0, 5, b"a", 1, 1, 2), (0, 5, b"b", 9, 2, 3), (0, 6, b"c", None, 1, 1), (1, -3, b"d", 4, 1, 1), (1, -3, b"b", 2, 1, 1)]
+    names = [c.split()[0] for c in exact_dedup.ENTRY.split(", ")]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in part]) for part in (rows[:2], rows[2:])]
+    (got,) = exact_dedup._own(1, [0, 1], 1)(iter(batches))
+    assert list(zip(got["owner"], got["key"], got["place"], got["keep_id"], got["keep_rows"], got["group_size"], strict=True)) == [
+        (0, 5, 0, 1, 1, 2), (0, 5, 1, 9, 2, 4), (0, 6, 0, None, 1, 1), (1, -3, 0, 2, 1, 1), (1, -3, 1, 4, 1, 1),
+    ]
+    assert got["start"][0] == 5 and got["depth"][0] == 64 and got["start"][-1] == -3
+
+
+def test_index_files_hold_whole_buckets(docs):
+    index, places, depth = exact_dedup.build_index(docs, bucket_bytes=2000, cell_bits=5, bucket_entries=2)
+    assert sorted(r.slot for r in places.collect()) == list(range(1 << depth))
+    owners = {r.slot: r.owner for r in places.collect()}
+    files, sizes, keys = defaultdict(set), Counter(), defaultdict(set)
+    for r in index.withColumn("file", F.input_file_name()).collect():
+        assert owners[(r.key & (1 << 64) - 1) >> 64 - depth] == r.owner
+        assert (r.key ^ r.start) & (1 << 64) - 1 < 1 << 64 - r.depth
+        files[r.owner].add(r.file)
+        sizes[r.start, r.depth] += 1
+        keys[r.start, r.depth].add(r.key)
+    assert all(len(f) == 1 for f in files.values()) and len(files) > 1
+    assert all(n <= 2 or len(keys[b]) == 1 for b, n in sizes.items())
+
+
 def union_find(n, pairs):
     parent = list(range(n))
 
