@@ -234,13 +234,16 @@ def link_stars(nodes: DataFrame, max_bits: int, leaves: int = 1 << 20, least_dep
     while count >> depth > leaves:
         depth += 1
     pairs = _subtrie_pairs(nodes, depth, max_bits)
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     most = max(64, 4 * leaves)  # a pair at depth 60 has 32 at most
     stars = None
     while True:
         heavy = staged(pairs.groupBy("low", "high").count().filter(F.col("count") > most).select("low", "high"), "heavy-pairs")
         last = heavy.isEmpty()
         light = pairs if last else pairs.join(heavy, ["low", "high"], "left_anti")
-        found = light.groupBy("low", "high").applyInPandas(_pair_task(depth, max_bits), "u long, v long")
+        # A named number of tasks: rows are few bytes and much work, so partitions are not to be merged by their size.
+        dealt = light.repartition(tasks, "low", "high")
+        found = dealt.groupBy("low", "high").applyInPandas(_pair_task(depth, max_bits), "u long, v long")
         stars = found if stars is None else stars.unionByName(found)
         if last:
             return stars
