@@ -68,6 +68,8 @@ _COLUMN_SCHEMA = (
     "nullable boolean, n_records bigint, n_present bigint"
 )
 _TABLES_AT_A_TIME = 4
+# What a task that stages records holds at most: this many tables' open files, each with a row group of these bytes.
+_OPEN_TABLES, _STAGED_GROUP = 32, 16 << 20
 
 
 class IngestError(RuntimeError):
@@ -179,7 +181,9 @@ def stage(landing: DataFrame, options: Options = Options()) -> Staged:
     Map-only: each task writes a file per table it meets, so a table with most
     of the records is spread as the landing is, and a body with a very long
     list becomes a file whose row groups are read apart. Later steps read only
-    their table.
+    their table. The files are open side by side, so a task neither sorts its
+    records by table nor holds them, however many it has; only what comes
+    after the first record of one table too many is sorted.
     """
     if options.infer.get("per_response"):
         raise ValueError("per_response is for infer_schema; an ingest has the names of every response")
@@ -189,12 +193,12 @@ def stage(landing: DataFrame, options: Options = Options()) -> Staged:
     routed, seen = route_all(landing, options.largest_body).drop("response_key", "keys"), Observation()
     too_large = F.coalesce(F.col("problem") == TOO_LARGE, F.lit(False))
     path = shared_dir(spark, "records")
-    routed.withColumn("rejected_text", F.when(~too_large, F.col("rejected_text"))).observe(
+    _write_by_table(routed.withColumn("rejected_text", F.when(~too_large, F.col("rejected_text"))).observe(
         seen, F.count_if(too_large).alias("large"), F.count_if(F.col("problem").isNotNull()).alias("bad")
-    ).write.partitionBy("table_name").parquet(path)
+    ), path)
     large = landing.filter(F.octet_length("body") >= options.largest_body) if seen.get["large"] else None
     if large is not None:
-        route_large(large).drop("response_key", "keys").write.mode("append").partitionBy("table_name").parquet(path)
+        _write_by_table(route_large(large).drop("response_key", "keys"), path)
     rows = spark.read.schema(routed.schema).parquet(path)
     good = rows.filter(F.col("problem").isNull()).drop("problem", "rejected_text")
     bad = rows.filter(F.col("problem").isNotNull() & ~too_large).select(
@@ -207,6 +211,17 @@ def stage(landing: DataFrame, options: Options = Options()) -> Staged:
     return Staged(good, bad, local_frame(spark, rows, _COLUMN_SCHEMA), columns, unusable, path, clear)
 
 
+def _write_by_table(records: DataFrame, path: str) -> None:
+    """Append records to the folders of their tables, without a sort by table."""
+    conf, key = records.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    conf.set(key, _OPEN_TABLES)
+    try:
+        records.write.mode("append").option("parquet.block.size", _STAGED_GROUP).partitionBy("table_name").parquet(path)
+    finally:
+        conf.set(key, before)
+
+
 def _usable(columns: list[dict]) -> tuple[list[dict], list[dict]]:
     """Columns a table can have, and those it cannot.
 
