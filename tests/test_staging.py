@@ -1,4 +1,4 @@
-"""How records are staged and their order packed: what a task holds does not grow with its rows."""
+"""How records are staged and which of them is the first: what a task holds does not grow with its rows."""
 
 import glob
 import json
