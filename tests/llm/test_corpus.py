@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from landfall.llm import exact_dedup, line_dedup, lm_scoring, packing, quality_rules, queries, sharding, simhash, substring_dedup
+from landfall.llm import exact_dedup, line_dedup, lm_scoring, packing, quality_rules, queries, sharding, simhash, substring_dedup, tokens
 from landfall.llm.bpe import ByteBpe, encode_decode
 from landfall.llm.components import components
 from landfall.llm.gru import Gru
@@ -298,6 +298,37 @@ def test_word_tokens_are_the_librarys():
         assert np.frombuffer(own.encode([t.encode()])[0], "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_word_tokens_of_many_texts_with_a_small_memo(monkeypatch):
+    monkeypatch.setattr(tokens, "_MOST", 300)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, library, pick = WordTokenizer(path), Tokenizer.from_file(path), random.Random(5)
+    signs = [*"%.,'=<|", "\x01", "\u0338", "é", "É", "ÿ", "ß", "×", "÷", "x", "X", " ", " ", "'s", "<|endoftext|>", "ab", "\u212a", "İ", "क़", "3"]
+    for _ in range(60):
+        texts = ["".join(pick.choice(signs) for _ in range(pick.randint(0, 40))) for _ in range(pick.randint(1, 40))]
+        for t, ids in zip(texts, own.encode([t.encode() for t in texts]), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+        assert len(own.memo) < 1500 and len(own.memo.once) < 1500
+
+
+def test_pieces_are_learned_together_and_those_in_use_are_kept(monkeypatch):
+    asked, ask = [], WordTokenizer._ids
+
+    def counted(*args):
+        asked.extend(args[-1])
+        return ask(*args)
+
+    monkeypatch.setattr(WordTokenizer, "_ids", staticmethod(counted))
+    monkeypatch.setattr(tokens, "_MOST", 1000)
+    own, pick = WordTokenizer(public_tokenizers.path("word_bpe_49k.json")), random.Random(6)
+    common = b"it can't b2b stay caf\xc3\xa9"
+    for _ in range(10):
+        asked.clear()
+        rare = ["".join(pick.choice("abcdé2'") for _ in range(9)) for _ in range(400)]
+        own.encode([common, *(w.encode() for w in rare)])
+        assert len(asked) <= 2
+    assert not {"it", "can't", "b2b", "stay", "café"} & set(" ".join(asked).split())
+
+
 def test_byte_bpe_is_the_librarys():
     path = public_tokenizers.path("byte_bpe_50k.json")
     own, library, pick = ByteBpe(path, public_tokenizers.PATTERN), Tokenizer.from_file(path), random.Random(4)
