@@ -16,10 +16,6 @@ _LARGEST = np.float32(4)  # of the output's weights; states lie within -1 and 1,
 _ROWS = 2048
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 class Gru:
     """Parameters by name, all float32; the biases start as the unigram model."""
 
@@ -53,18 +49,40 @@ class Gru:
     def class_of(self, symbols: np.ndarray) -> np.ndarray:
         return np.where(symbols < self.words, symbols // self.width, self.word_classes + symbols - self.words)
 
+    def blocks(self) -> tuple[np.ndarray, np.ndarray]:
+        """The table of inputs with the gates' biases, and the turn, gate by gate: each gate's values stand together."""
+        n = self.hidden
+        table = (self.p["inputs"] + self.p["gates"]).reshape(-1, 3, n).transpose(1, 0, 2)
+        return np.ascontiguousarray(table), np.ascontiguousarray(self.p["turn"].reshape(n, 3, n).transpose(1, 0, 2))
+
+    @staticmethod
+    def read(
+        seen: np.ndarray, h: np.ndarray, turn: np.ndarray, turned: np.ndarray, gates: np.ndarray, new: np.ndarray, after: np.ndarray
+    ) -> None:
+        """Into ``after`` the state after reading one symbol in each lane, given the symbols' rows of each gate's table.
+
+        ``turned``, ``gates`` (reset, keep) and ``new`` are filled, too: the way back needs them.
+        """
+        np.matmul(h, turn, out=turned)
+        np.add(seen[:2], turned[:2], out=gates)
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        np.add(gates, 1, out=gates)
+        np.divide(1, gates, out=gates)
+        np.multiply(gates[0], turned[2], out=new)
+        np.add(seen[2], new, out=new)
+        np.tanh(new, out=new)
+        np.subtract(h, new, out=after)
+        np.multiply(gates[1], after, out=after)
+        np.add(new, after, out=after)
+
     def step(self, symbols: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
         """The state after reading one symbol in each lane, and what the way back needs."""
-        return self.read(self.p["inputs"][symbols] + self.p["gates"], h)
-
-    def read(self, seen: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
-        """``step``, given the symbols' rows of the input table with the gates' biases."""
-        n = self.hidden
-        turned = h @ self.p["turn"]
-        both = sigmoid(seen[:, : 2 * n] + turned[:, : 2 * n])
-        reset, keep, turned = both[:, :n], both[:, n:], turned[:, 2 * n :]
-        new = np.tanh(seen[:, 2 * n :] + reset * turned)
-        return new + keep * (h - new), (h, turned, reset, keep, new)
+        (lanes, n), kind = h.shape, self.p["turn"].dtype.type
+        table, turn = self.blocks()
+        turned, gates, new, after = (np.empty((*k, lanes, n), kind) for k in ((3,), (2,), (), ()))
+        self.read(table[:, symbols], h, turn, turned, gates, new, after)
+        return after, (turned, gates, new)
 
     def log_probs(self, h: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probability of each target; with ``grads``, adds to them and returns the loss's slope in h."""
@@ -152,13 +170,21 @@ class Gru:
                 at = read if k == "inputs" else slice(None)
                 g = np.clip(g[at], -1, 1)
                 m, v = first[k][at], second[k][at]
-                m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
+                change = g - m
+                change *= 0.1
+                m += change
+                np.multiply(g, g, out=change)
+                change -= v
+                change *= 0.01
+                v += change
                 if k == "inputs":
                     first[k][at], second[k][at] = m, v
-                step = np.sqrt(v / (1 - 0.99 ** (turn + 1)))
-                step += 1e-6
-                self.p[k][at] -= rate / (1 - 0.9 ** (turn + 1)) * m / step
+                np.divide(v, 1 - 0.99 ** (turn + 1), out=change)
+                np.sqrt(change, out=change)
+                change += 1e-6
+                np.multiply(m, rate / (1 - 0.9 ** (turn + 1)), out=g)
+                g /= change
+                self.p[k][at] -= g
             for k in ("to_class", "to_word"):
                 np.clip(self.p[k], -_LARGEST, _LARGEST, out=self.p[k])
             for k in ("class_bias", "word_bias"):
@@ -171,13 +197,17 @@ class Gru:
         n, end, (lanes, steps), kind = self.hidden, self.words + 1, inputs.shape, self.p["turn"].dtype.type
         grads = {k: np.zeros_like(v) for k, v in self.p.items()}
         symbols = inputs.T.ravel()
-        seen = (self.p["inputs"][symbols] + self.p["gates"]).reshape(steps, lanes, 3 * n)
-        ends = (inputs.T == end)[:, :, None]
-        before, turned, reset, keep, new = (np.empty((steps, lanes, n), kind) for _ in range(5))
-        states = np.empty((steps, lanes, n), kind)
+        table, turn = self.blocks()
+        seen = table.take(symbols, axis=1).reshape(3, steps, lanes, n)
+        ends = [np.flatnonzero(e) for e in inputs.T == end]
+        before, new, states = (np.empty((steps, lanes, n), kind) for _ in range(3))
+        turned, gates = np.empty((3, steps, lanes, n), kind), np.empty((2, steps, lanes, n), kind)
         for t in range(steps):
-            h, (before[t], turned[t], reset[t], keep[t], new[t]) = self.read(seen[t], np.where(ends[t], kind(0), h))
-            states[t] = h
+            before[t] = h
+            before[t, ends[t]] = 0
+            self.read(seen[:, t], before[t], turn, turned[:, t], gates[:, t], new[t], states[t])
+            h = states[t]
+        (reset, keep), turned = gates, turned[2]
         wanted, flat = targets.T.ravel(), states.reshape(-1, n)
         if counted is None:
             _, slopes = self.log_probs(flat, wanted, grads)
@@ -193,13 +223,16 @@ class Gru:
         d_seen, d_turned = (np.empty((steps, lanes, 3 * n), kind) for _ in range(2))
         back, turn = np.zeros((lanes, n), kind), np.ascontiguousarray(self.p["turn"].T)
         for t in reversed(range(steps)):
-            d = slopes[t] + back
+            d = np.add(slopes[t], back, out=slopes[t])
             mine = d_turned[t]
             d_new = np.multiply(d, to_new[t], out=d_seen[t, :, 2 * n :])
             np.multiply(d_new, to_reset[t], out=mine[:, :n])
             np.multiply(d, to_keep[t], out=mine[:, n : 2 * n])
             np.multiply(d_new, reset[t], out=mine[:, 2 * n :])
-            back = np.where(ends[t], kind(0), d * keep[t] + mine @ turn)
+            np.matmul(mine, turn, out=back)
+            d *= keep[t]
+            back += d
+            back[ends[t]] = 0
         d_seen[:, :, : 2 * n] = d_turned[:, :, : 2 * n]
         d_seen, d_turned = d_seen.reshape(-1, 3 * n), d_turned.reshape(-1, 3 * n)
         grads["turn"] += before.reshape(-1, n).T @ d_turned
@@ -207,10 +240,25 @@ class Gru:
         order = np.argsort(symbols.astype(np.int16) if len(self.p["inputs"]) < 1 << 15 else symbols, kind="stable")
         ranked = symbols[order]
         starts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-        grads["inputs"][ranked[starts]] = np.add.reduceat(d_seen[order], starts)
+        sizes, sorted_slopes = np.diff(starts, append=len(ranked)), d_seen[order]
+        # Most symbols are read a few times only: those read equally often are summed side by side.
+        for size in range(1, 6):
+            first = starts[sizes == size]
+            total = sorted_slopes[first]
+            if size > 1:
+                rest = sorted_slopes[first + 1]
+                for i in range(2, size):
+                    rest += sorted_slopes[first + i]
+                total += rest
+            grads["inputs"][ranked[first]] = total
+        often = np.repeat(sizes > 5, sizes)
+        if often.any():
+            begins = np.cumsum(sizes[sizes > 5]) - sizes[sizes > 5]
+            grads["inputs"][ranked[starts[sizes > 5]]] = np.add.reduceat(sorted_slopes[often], begins)
         # The loss is a mean over the lanes.
-        share = kind(1 / lanes)
-        return {k: g * share for k, g in grads.items()}, h
+        for g in grads.values():
+            g *= kind(1 / lanes)
+        return grads, h
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Natural log-probability of each whole text; each closes with the end symbol.
@@ -224,11 +272,18 @@ class Gru:
         starts = np.cumsum(lengths) - lengths
         running = len(order) - np.searchsorted(lengths[::-1], np.arange(lengths[0] if len(lengths) else 0), side="right")
         sums = np.zeros(len(order))
-        h = np.zeros((len(order), self.hidden), np.float32)
-        read, table = np.full(len(order), self.words + 1, flat.dtype), self.p["inputs"] + self.p["gates"]
+        n_all, size, kind = len(order), self.hidden, np.float32
+        h, read = np.zeros((n_all, size), kind), np.full(n_all, self.words + 1, flat.dtype)
+        (table, turn), new = self.blocks(), np.empty((n_all, size), kind)
+        turned, gates = np.empty(3 * n_all * size, kind), np.empty(2 * n_all * size, kind)
         states, wanted, owners, held = [], [], [], 0
         for t, n in enumerate(running.tolist()):
-            h, _ = self.read(table[read[:n]], h[:n])
+            after = np.empty((n, size), kind)
+            self.read(
+                table.take(read[:n], axis=1), h[:n], turn, turned[: 3 * n * size].reshape(3, n, size),
+                gates[: 2 * n * size].reshape(2, n, size), new[:n], after,
+            )
+            h = after
             read = flat[starts[:n] + t]
             states.append(h)
             wanted.append(read)

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -102,8 +103,7 @@ class Vocabulary:
 
     def places(self, text: bytes) -> tuple[list[bytes], np.ndarray]:
         words = text.lower().split()
-        find = self.place.get
-        return words, np.array([find(w, -1) for w in words], np.int64)
+        return words, np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
 
     def symbols(self, places: np.ndarray) -> np.ndarray:
         """The text's symbols, the end included."""

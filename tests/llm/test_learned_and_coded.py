@@ -344,6 +344,51 @@ def test_every_symbol_of_a_stream_is_learned():
     assert np.isfinite(models[0]).all() and not np.array_equal(*models)
 
 
+def test_the_state_is_read_into_given_buffers():
+    from landfall.llm.gru import Gru
+
+    random = np.random.default_rng(8)
+    model = Gru(np.ones(9), width=3, hidden=4)
+    symbols, h, p = random.integers(0, 9, 6), random.uniform(-1, 1, (6, 4)).astype(np.float32), model.p
+    table, turn = model.blocks()
+    buffers = [np.full((*k, 6, 4), np.nan, np.float32) for k in ((3,), (2,), (), ())]
+    assert model.read(table[:, symbols], h, turn, *buffers) is None
+    seen, turned = p["inputs"][symbols] + p["gates"], h @ p["turn"]
+    reset, keep = (1 / (1 + np.exp(-seen[:, at : at + 4] - turned[:, at : at + 4])) for at in (0, 4))
+    new = np.tanh(seen[:, 8:] + reset * turned[:, 8:])
+    for got, wanted in zip(buffers, (turned.reshape(6, 3, 4).swapaxes(0, 1), (reset, keep), new, (1 - keep) * new + keep * h), strict=True):
+        assert np.allclose(got, wanted, atol=1e-6)
+    assert np.array_equal(model.step(symbols, h)[0], buffers[-1])
+
+
+def test_slopes_of_symbols_read_once_to_many_times():
+    from landfall.llm.gru import Gru
+
+    random = np.random.default_rng(9)
+    model = Gru(np.ones(12), width=4, hidden=4)
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    inputs = random.permutation(np.repeat(np.arange(10), np.arange(1, 11))).reshape(5, 11)  # symbol k is read k + 1 times
+    targets, h = random.integers(0, 12, (5, 11)), np.zeros((5, 4))
+
+    def loss():
+        state, out = h, 0.0
+        for k in range(11):
+            state, _ = model.step(inputs[:, k], state)
+            out -= model.log_probs(state, targets[:, k])[0].sum() / 5
+        return out
+
+    slopes = model._window(inputs, targets, h)[0]["inputs"]
+    for symbol in range(10):
+        for column in (1, 6, 10):
+            model.p["inputs"][symbol, column] += 1e-5
+            high = loss()
+            model.p["inputs"][symbol, column] -= 2e-5
+            low = loss()
+            model.p["inputs"][symbol, column] += 1e-5
+            assert slopes[symbol, column] == pytest.approx((high - low) / 2e-5, rel=1e-4, abs=1e-8)
+    assert not slopes[10:].any()
+
+
 # Packing
 
 
